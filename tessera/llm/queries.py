@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exactdedup, mixing, tokencount, tokenids
+from . import decontaminate, exactdedup, mixing, tokencount, tokenids
 
 _ALL = {
     "op2_exact_dedup": exactdedup,
     "op3_source_mix": mixing,
     "op7_token_ids": tokenids,
     "op1_token_counts": tokencount,
+    "op6_decontaminate": decontaminate,
 }
 
 
