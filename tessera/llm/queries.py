@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exactdedup, mixing, tokencount, tokenids
+from . import decontaminate, exactdedup, licenses, mixing, tokencount, tokenids
 
 _ALL = {
     "op2_exact_dedup": exactdedup,
@@ -10,6 +10,7 @@ _ALL = {
     "op7_token_ids": tokenids,
     "op1_token_counts": tokencount,
     "op6_decontaminate": decontaminate,
+    "op9_license_scan": licenses,
 }
 
 
