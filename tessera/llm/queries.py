@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exactdedup, licenses, mixing, tokencount, tokenids
+from . import decontaminate, exactdedup, licenses, mixing, tokencount, tokenids, warc
 
 _ALL = {
     "op2_exact_dedup": exactdedup,
@@ -11,6 +11,7 @@ _ALL = {
     "op1_token_counts": tokencount,
     "op6_decontaminate": decontaminate,
     "op9_license_scan": licenses,
+    "op5_warc": warc,
 }
 
 
