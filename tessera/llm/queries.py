@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exactdedup, licenses, mixing, tokencount, tokenids, warc
+from . import decontaminate, exactdedup, licenses, mixing, ngramjoin, tokencount, tokenids, warc
 
 _ALL = {
     "op2_exact_dedup": exactdedup,
@@ -12,6 +12,7 @@ _ALL = {
     "op6_decontaminate": decontaminate,
     "op9_license_scan": licenses,
     "op5_warc": warc,
+    "op10_ngram_join": ngramjoin,
 }
 
 
