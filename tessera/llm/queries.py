@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exactdedup, licenses, mixing, ngramjoin, tokencount, tokenids, warc
+from . import decontaminate, exactdedup, licenses, mixing, ngramjoin, secrets, tokencount, tokenids, toxicity, warc
 
 _ALL = {
     "op2_exact_dedup": exactdedup,
@@ -13,12 +13,19 @@ _ALL = {
     "op9_license_scan": licenses,
     "op5_warc": warc,
     "op10_ngram_join": ngramjoin,
+    "op8_toxicity": toxicity,
+    "op4_secret_scan": secrets,
 }
 
 
 def queries() -> dict:
-    return {name: module.query for name, module in _ALL.items()}
+    import corpus_pipeline
+
+    return {name: module.query for name, module in _ALL.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: module.ORACLE for name, module in _ALL.items() if getattr(module, "ORACLE", None)}
+    import corpus_pipeline
+
+    found = {name: module.ORACLE for name, module in _ALL.items() if getattr(module, "ORACLE", None)}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
