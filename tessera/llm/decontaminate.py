@@ -273,5 +273,42 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<long>")
 
 
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents, with all their columns, in which no window of an item occurs."""
+    blocks, at = blocks_of(items, window), docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def flush():
+            if not kept:
+                return
+            n_hit = answers([None] * len(sizes), sizes, [np.concatenate(x) for x in held], blocks)[0]
+            start = 0
+            for batch in kept:
+                yield batch.filter(pa.array(n_hit[start : start + batch.num_rows] == 0))
+                start += batch.num_rows
+            kept.clear(), sizes.clear(), [x.clear() for x in held]
+
+        kept, sizes, held, n = [], [], [[] for _ in blocks], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kept.append(batch)
+            for text in C.byte_rows(batch.column(at)):
+                words = (text or b"").translate(C.WORDS).split()
+                sizes.append(len(words))
+                for x, path in zip(held, blocks, strict=True):
+                    x.append(np.fromiter(map(_phrases(path).ids.get, words, repeat(0)), np.int32, len(words)))
+                n += len(words)
+            if n >= SHARD:
+                yield from flush()
+                n = 0
+        yield from flush()
+
+    C.prepare(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(C.documents(spark, sf_dir), C.table(spark, sf_dir, "benchmark")).drop("spans")

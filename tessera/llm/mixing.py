@@ -26,11 +26,15 @@ from . import common as C
 WEIGHTS, CAP, RANGE, SEED = (5.0, 2.0, 1.0), 3.0, 20_000, "mix-1"
 
 
+def words(column: str):
+    """Number of words of a text; the white space before each, and at the start one is put, is what the pattern splits at."""
+    return (F.size(F.split(F.concat(F.lit(" "), F.coalesce(column, F.lit(""))), "[\\x20\\x09-\\x0D]+(?=[^\\x20\\x09-\\x0D])")) - 1).cast("long")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, k, u): words, the random key and its first 32 bits."""
-    words = F.size(F.split(F.concat(F.lit(" "), F.coalesce("text", F.lit(""))), "[\\x20\\x09-\\x0D]+(?=[^\\x20\\x09-\\x0D])")) - 1
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(SEED)).cast("binary"))
-    return docs.select("doc_id", "source", words.cast("long").alias("size"), key.alias("k")).withColumn("u", F.conv(F.substring("k", 1, 8), 16, 10).cast("long"))
+    return docs.select("doc_id", "source", words("text").alias("size"), key.alias("k")).withColumn("u", F.conv(F.substring("k", 1, 8), 16, 10).cast("long"))
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def targets(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
+    """(doc_id, source, size, source_size, target, taken, times) of every document: times it is taken, and the words that makes."""
     rows = C.handed(sizes(docs), "sizes")
     goals = C.handed(targets(rows), "targets").withColumn("ranges", F.greatest(F.lit(1), F.ceil(F.col("n") / RANGE)))
     same = F.col("r.source").eqNullSafe(F.col("g.source"))
@@ -61,10 +65,20 @@ def mix(docs: DataFrame) -> DataFrame:
     offsets = totals.withColumn("offset", F.sum("in_range").over(Window.partitionBy("source").orderBy("range")) - F.col("in_range"))
     at = joined.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).alias("r").join(offsets.alias("o"), same_as("source") & (F.col("r.range") == F.col("o.range")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    at = at.select("r.doc_id", "r.size", "r.source_size", "r.target", (F.col("inside") + F.col("offset")).alias("before")).withColumn("epochs", epochs)
+    at = at.select("r.doc_id", "r.source", "r.size", "r.source_size", "r.target", (F.col("inside") + F.col("offset")).alias("before")).withColumn("epochs", epochs)
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     once_more = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= rest)
-    return at.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + once_more.cast("int"))).cast("long").alias("taken"))
+    times = (F.col("epochs") + once_more.cast("int")).cast("long")
+    return at.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"), times.alias("times"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents, each as often as the mix takes it. Rows of equal id, source and size are taken equally often, as the most of them."""
+    times = mix(docs).filter("times > 0").groupBy("doc_id", "source", "size").agg(F.max("times").alias("times"))
+    rows = docs.withColumn("_size", words("text"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")) & (F.col("d._size") == F.col("m.size"))
+    taken = rows.alias("d").join(times.alias("m"), same).select(*(F.col(f"d.`{c}`") for c in docs.columns), F.col("m.times").alias("_times"))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def same_as(name: str):
@@ -72,7 +86,7 @@ def same_as(name: str):
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(C.documents(spark, sf_dir, "doc_id", "text", "source"))
+    return mix(C.documents(spark, sf_dir, "doc_id", "text", "source")).drop("source", "times")
 
 
 ORACLE = """

@@ -548,5 +548,17 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.join(by_node, (F.col("node") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each class, the one with the smallest id; of rows with that same id, one."""
+    from pyspark.sql import Window
+
+    kept = C.handed(join(docs, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
+    rows = docs.alias("d").join(kept.select(F.col("doc_id").alias("kept_id")), F.col("d.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    if kept.filter("n > 1 AND doc_id IS NOT NULL").limit(1).count():
+        one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        rows = rows.withColumn("_one", one).filter("_one = 1 OR doc_id IS NULL").drop("_one")
+    return rows
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(C.documents(spark, sf_dir, "doc_id", "text"))
