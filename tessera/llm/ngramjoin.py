@@ -39,10 +39,13 @@ from .components import components
 
 SIZE, PERCENT = 5, 75
 #: Shingles a worker gathers before it deals them out; shingles of a bucket; share of nodes and least number of a frequent shingle.
-CHUNK, BUCKET, HOT, HOT_LEAST, HOT_LOCAL = 2_000_000, 1_000_000, 0.002, 1000, 8
+CHUNK, BUCKET, HOT, HOT_LEAST, HOT_LOCAL = 2_000_000, 4_000_000, 0.002, 1000, 8
 #: Shingles of a group searched in one go; nodes that all blocks of a larger group hold; bytes of groups in a task; words a worker keeps.
-GROUP, HUBS, BIN, MEMO = 2_000_000, 32, 1_000_000, 400_000
-HOT_DF = (1 << 31) - 1
+GROUP, HUBS, BIN, MEMO = 250_000, 32, 250_000, 400_000
+#: Frequencies are told apart up to here; the order needs no more. The frequent shingles' stands for all above.
+HOT_DF = 255
+#: Bits of a hash that are kept besides its bucket's number.
+KEPT = np.uint64((1 << 48) - 1)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -158,6 +161,12 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, node long, n long, hot boolean")
 
 
+def keys_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket and KEPT bits of the rest: more bits the more buckets there are. Stands for the hash from here on."""
+    b = np.uint64(buckets)
+    return ((hashes // b) & KEPT) * b + hashes % b
+
+
 def deal(docs: DataFrame, hot_path: str, buckets: int, parts: int) -> DataFrame:
     """(bucket, data): each chunk's shingles by bucket; frequent ones go to bucket -1 - part of their node."""
 
@@ -176,15 +185,15 @@ def deal(docs: DataFrame, hot_path: str, buckets: int, parts: int) -> DataFrame:
             part = _part(nodes, parts)
             bucket = np.where(often, -1 - part[owner], (hashes % np.uint64(buckets)).astype(np.int64))
             order = np.argsort(bucket, kind="stable")
-            bucket, hashes, owner = bucket[order], hashes[order], owner[order]
+            bucket, hashes, owner = bucket[order], keys_of(hashes[order], buckets), owner[order]
             cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1)).tolist()
             keys, blobs = [], []
             for s, e in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
                 who = owner[s:e]
                 run_at = np.flatnonzero(np.diff(who, prepend=-1))
-                of = who[run_at]
                 keys.append(int(bucket[s]))
-                blobs.append(_blob(hashes[s:e], nodes[of], sizes[of].astype(np.uint32), np.diff(run_at, append=e - s).astype(np.uint32)))
+                rest = (hashes[s:e] // np.uint64(buckets)).view(np.uint8).reshape(-1, 8)[:, :6] if bucket[s] >= 0 else hashes[s:e]
+                blobs.append(_blob(rest, nodes[who[run_at]], np.diff(run_at, append=e - s).astype(np.uint32)))
             for i in range(0, len(keys), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 64], pa.int32()), pa.array(blobs[i : i + 64], pa.binary())], names=["bucket", "data"])
 
@@ -205,59 +214,76 @@ def _part(nodes: np.ndarray, parts: int) -> np.ndarray:
     return (_mixed(nodes.view(np.uint64) * _ODD[3]) % np.uint64(parts)).astype(np.int64)
 
 
-def _gather(column) -> list[np.ndarray]:
-    """hash, node, n of each entry of the blobs."""
-    got = [_parts(x, "<u8", "<i8", "<u4", "<u4") for x in column.to_pylist()]
-    hashes, nodes, sizes, runs = (np.concatenate([g[i] for g in got]) for i in range(4))
-    return [hashes, np.repeat(nodes, runs), np.repeat(sizes, runs)]
+def _gather(column, bucket: int, buckets: int) -> list[np.ndarray]:
+    """key, node of each entry of the blobs."""
+    got = [_parts(x, "u1", "<i8", "<u4") for x in column.to_pylist()]
+    raw, nodes, runs = (np.concatenate([g[i] for g in got]) for i in range(3))
+    if bucket < 0:
+        keys = raw.view(np.uint64)
+    else:
+        wide = np.zeros((len(raw) // 6, 8), np.uint8)
+        wide[:, :6] = raw.reshape(-1, 6)
+        keys = wide.view(np.uint64).ravel() * np.uint64(buckets) + np.uint64(bucket)
+    return [keys, np.repeat(nodes, runs)]
 
 
-def share(dealt: DataFrame, parts: int) -> DataFrame:
+def share(dealt: DataFrame, buckets: int, parts: int) -> DataFrame:
     """(part, data): of each bucket, the shingles that two nodes or more have, with their frequency, by part of the node."""
 
     def run(table):
         import pyarrow as pa
 
         bucket = table.column("bucket")[0].as_py()
-        hashes, nodes, sizes = _gather(table.column("data"))
+        hashes, nodes = _gather(table.column("data"), bucket, buckets)
         order = np.lexsort((nodes, hashes))
-        hashes, nodes, sizes = hashes[order], nodes[order], sizes[order]
+        hashes, nodes = hashes[order], nodes[order]
         # copies of a node in several chunks count once
         new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1])])
-        hashes, nodes, sizes = hashes[new], nodes[new], sizes[new]
+        hashes, nodes = hashes[new], nodes[new]
         if bucket < 0:
             df = np.full(len(hashes), HOT_DF, np.int64)
         else:
             first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
             count = np.diff(first, append=len(hashes))
-            df = np.repeat(count, count)
+            df = np.minimum(np.repeat(count, count), HOT_DF - 1)
             more = df > 1
-            hashes, nodes, sizes, df = hashes[more], nodes[more], sizes[more], df[more]
+            hashes, nodes, df = hashes[more], nodes[more], df[more]
         part = _part(nodes, parts)
         order = np.lexsort((nodes, part))
-        hashes, nodes, sizes, df, part = hashes[order], nodes[order], sizes[order], df[order], part[order]
+        hashes, nodes, df, part = hashes[order], nodes[order], df[order], part[order]
         cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
         keys, blobs = [], []
         for s, e in zip(cuts, [*cuts[1:], len(part)], strict=True):
             at = np.flatnonzero(np.concatenate([[True], nodes[s + 1 : e] != nodes[s : e - 1]]))
             keys.append(int(part[s]))
-            blobs.append(_blob(hashes[s:e], nodes[s:e][at], sizes[s:e][at], np.diff(at, append=e - s).astype(np.uint32), np.minimum(df[s:e], HOT_DF).astype(np.uint32)))
+            blobs.append(_blob(hashes[s:e], nodes[s:e][at], np.diff(at, append=e - s).astype(np.uint32), df[s:e].astype(np.uint8)))
         return pa.table({"part": pa.array(keys, pa.int32()), "data": pa.array(blobs, pa.binary())})
 
     return dealt.groupBy("bucket").applyInArrow(run, "part int, data binary")
 
 
-def active(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
+def active(shared: DataFrame, about: DataFrame, parts: int, percent: int = PERCENT) -> DataFrame:
     """(node, n, k, hashes, hot): nodes that can have partners; hashes by frequency, the first k of them in the prefix; hot: of these, the last so many are frequent."""
 
-    def run(table):
+    def place(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_part(batch.column(0).to_numpy(), parts), pa.int32()), batch.column(0), batch.column(1)], names=["part", "node", "n"])
+
+    def run(left, right):
         import pyarrow as pa
 
-        got = [_parts(x, "<u8", "<i8", "<u4", "<u4", "<u4") for x in table.column("data").to_pylist()]
-        hashes, nodes, sizes, runs, df = (np.concatenate([g[i] for g in got]) for i in range(5))
-        nodes, sizes = np.repeat(nodes, runs), np.repeat(sizes, runs).astype(np.int64)
+        if not left.num_rows:
+            return pa.table({"node": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "k": pa.array([], pa.int64()), "hashes": pa.array([], pa.binary()), "hot": pa.array([], pa.int64())})
+        got = [_parts(x, "<u8", "<i8", "<u4", "u1") for x in left.column("data").to_pylist()]
+        hashes, nodes, runs, df = (np.concatenate([g[i] for g in got]) for i in range(4))
+        nodes = np.repeat(nodes, runs)
         order = np.lexsort((hashes, df, nodes))
-        hashes, nodes, sizes, df = hashes[order], nodes[order], sizes[order], df[order]
+        hashes, nodes, df = hashes[order], nodes[order], df[order]
+        names = right.column("node").to_numpy()
+        by = np.argsort(names)
+        sizes = right.column("n").to_numpy()[by][np.searchsorted(names[by], nodes)]
         first = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.empty(0, np.int64)
         count = np.diff(first, append=len(nodes))
         n = sizes[first]
@@ -270,7 +296,8 @@ def active(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
         hot = [int((df[s : s + x] == HOT_DF).sum()) for s, x in zip(at.tolist(), k.tolist(), strict=True)]
         return pa.table({"node": nodes[at], "n": n[good], "k": k, "hashes": pa.array(blobs, pa.binary()), "hot": pa.array(hot, pa.int64())})
 
-    return shared.groupBy("part").applyInArrow(run, "node long, n long, k long, hashes binary, hot long")
+    sized = about.select("node", "n").mapInArrow(place, "part int, node long, n long")
+    return shared.groupBy("part").cogroup(sized.groupBy("part")).applyInArrow(run, "node long, n long, k long, hashes binary, hot long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -538,7 +565,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     C.write_bytes(hot_path, frequent.tobytes())
     buckets = int(max(C.partitions(spark), total // BUCKET))
     parts = int(max(C.partitions(spark), buckets // 4))
-    kept = C.handed(active(share(deal(docs, hot_path, buckets, parts), parts), percent), "active")
+    kept = C.handed(active(share(deal(docs, hot_path, buckets, parts), buckets, parts), nodes, parts, percent), "active")
     groups = components(meetings(kept, parts, percent))
     found = classes(kept, groups, percent)
     root = nodes.join(found, F.col("node") == F.col("v"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
