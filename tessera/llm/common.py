@@ -49,12 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def handed(df: DataFrame, name: str = "t", by: list[str] | None = None) -> DataFrame:
+def handed(df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
     """Write the rows to the shared folder as Parquet and read them back: later jobs start from files, not from lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -98,11 +97,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def wide(df: DataFrame, at_least: int | None = None) -> DataFrame:
-    """The same rows over at least as many partitions as the session has cores: for small inputs in one file."""
-    return df
-
-
 def small(df: DataFrame, max_rows: int, what: str) -> list:
     """Collect a table whose size has a proven bound; more rows than that are an error, never a silent cut."""
     rows = df.limit(max_rows + 1).collect()

@@ -12,9 +12,13 @@ null ids come first. An empty table gives no files and no rows. Other columns of
 
 from __future__ import annotations
 
+import gc
 import struct
 import uuid
 import zlib
+from array import array
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,8 +29,39 @@ from . import common as C
 MAGIC = b"TIDS0001"
 #: Ids of a block, ids between two checkpoints, longest code in bits, ids of a file.
 BLOCK, CHECKPOINT, MAX_BITS, FILE_IDS = 1 << 16, 256, 18, 2_000_000
-#: Words whose ids one worker keeps.
-MEMO = 500_000
+#: Words whose ids one worker keeps; of these, the frequent ones that are asked first.
+MEMO, HOT = 1_000_000, 1 << 14
+
+
+#: The pre-tokenizer's letters for bytes: printable ones stand for themselves, the others for the letters from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BYTES[124] = 124
+#: Marks that may follow a word's letters as one piece; the apostrophe, which begins pieces of its own, isn't one.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this process; a worker keeps the words it knows from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def _pieces(word: str) -> list[str] | None:
+    """What the pre-tokenizer makes of letters and marks, with single line feeds between; None for other words."""
+    out: list[str] = []
+    for i, line in enumerate(word.split("\n") if "\n" in word else (word,)):
+        letters = line.rstrip(_MARKS)
+        if not letters.isalpha():
+            return None
+        if i:
+            out.append("\n")
+        out.append(letters)
+        if len(letters) < len(line):
+            out.append(line[len(letters) :])
+    return out
 
 
 class Encoder:
@@ -53,49 +88,95 @@ class Encoder:
         self.opens = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes | bool] = {}
+        self.bare: dict[str, bytes] = {}
+        self.hot: dict[str, bytes | bool] = {}  # the most frequent words, few enough for the processor's cache
+        self.by_word = self.by_word and not any(t["content"].replace("|", "").isalpha() for t in about.get("added_tokens", []))
         self.end = np.zeros(1, self.dtype).tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() if text else b""
 
-    def learn(self, words: set[str]) -> None:
-        """Ids of the words as they stand after a space; None for those that no cut may stand beside."""
+    def learn(self, words: set[str]) -> dict[str, bytes | bool]:
+        """Ids of the words as they stand after a space; False for those that no cut may stand beside.
+
+        Letters, then marks, then a line feed between two of these are pieces of their own to the pre-tokenizer, so such
+        words are put together from their pieces, and kept only where the first piece was known; others go to the library as they are."""
         if len(self.known) > MEMO:
-            self.known.clear()
-        good = []
+            kept = {w: x for w, x in self.known.items() if x and len(x) <= 2 * self.dtype.itemsize}
+            self.known = kept if len(kept) < MEMO // 2 else {}
+            self.bare.clear()
+        known, bare, odd, made, spaced, plain, out = self.known, self.bare, [], [], set(), set(), {}
         for w in words:
-            if not w or w[0].isspace() or w[-1].isspace():
-                self.known[w] = None
+            if w.isalpha():
+                spaced.add(w)
+            elif w[:-1].isalpha() and w[-1] in _MARKS:
+                made.append((w, (w[:-1], w[-1])))
+            elif not w or w[0].isspace() or w[-1].isspace():
+                known[w] = out[w] = False
+            elif parts := _pieces(w):
+                made.append((w, parts))
             else:
-                good.append(w)
-        for at in range(0, len(good), 20_000):
-            some = good[at : at + 20_000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, self.dtype)
-            cuts = np.flatnonzero(self.opens[ids]).tolist()
-            assert len(cuts) == len(some)
-            raw, size = ids.tobytes(), self.dtype.itemsize
-            for w, s, e in zip(some, cuts, [*cuts[1:], len(ids)], strict=True):
-                self.known[w] = raw[s * size : e * size]
+                odd.append(w)
+        often = [w for w, parts in made if parts[0] in known]
+        spaced.update(parts[0] for _, parts in made if parts[0] not in known)
+        for _, parts in made:
+            plain.update(parts[1:])
+        self.letters(spaced, " ", known)
+        self.letters({x for x in plain if x not in bare and x.isalpha()}, "", bare)
+        for x in plain:
+            if x not in bare:
+                bare[x] = self.whole(x)
+        for w, parts in made:
+            out[w] = known[parts[0]] + bare[parts[1]] if len(parts) == 2 else known[parts[0]] + b"".join(map(bare.__getitem__, parts[1:]))
+        known.update({w: out[w] for w in often})
+        for at in range(0, len(odd), 10_000):
+            some = odd[at : at + 10_000]
+            self.share(some, np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, self.dtype), known)
+        return out
+
+    def letters(self, words: set[str], before: str, to: dict) -> None:
+        """Ids of words of letters, each one piece: only the library's model runs over them, not its splitting."""
+        some = list(words)
+        if not some:
+            return
+        mapped = "|".join(before + w for w in some).encode().decode("latin-1").translate(_BYTES).split("|")
+        run, kind = self.tokenizer.model.tokenize, "H" if self.dtype.itemsize == 2 else "I"
+        to.update(zip(some, [array(kind, [t.id for t in run(w)]).tobytes() for w in mapped], strict=True))
+
+    def share(self, words: list[str], ids: np.ndarray, to: dict) -> None:
+        cuts = (np.flatnonzero(self.opens[ids]) * self.dtype.itemsize).tolist()
+        assert len(cuts) == len(words)
+        raw = ids.tobytes()
+        to.update(zip(words, [raw[s:e] for s, e in zip(cuts, [*cuts[1:], len(raw)])], strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes, the end id last."""
         if not self.by_word:
             return [self.whole(x or "") + self.end for x in texts]
         split = [(x or "").split(" ") for x in texts]
-        new: set[str] = set()
-        for parts in split:
-            new.update(set(parts[1:]).difference(self.known))
-        if len(self.known) > MEMO:
-            new = {w for parts in split for w in parts[1:]}
-        self.learn(new)
-        get, out = self.known.__getitem__, []
+        words = list(chain.from_iterable(split))
+        ids = list(map(self.hot.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        known = self.known.get
+        for i in new:
+            ids[i] = known(words[i])
+        new = [i for i in new if ids[i] is None]
+        made = self.learn({words[i] for i in new})
+        for i in new:
+            x = made.get(words[i])
+            ids[i] = self.known[words[i]] if x is None else x
+        if not self.hot and len(words) > 4 * HOT:
+            at = dict(zip(words, ids, strict=True))
+            self.hot = {w: at[w] for w, _ in Counter(words).most_common(HOT)}
+        out, at = [], 0
         for text, parts in zip(texts, split, strict=True):
+            at += len(parts)
             first = parts[0]
             try:
                 if len(parts) > 1 and (not first or first[-1].isspace()):
                     raise TypeError
-                out.append(self.whole(first) + b"".join(map(get, parts[1:])) + self.end)
+                out.append((self.bare.get(first) or self.whole(first)) + b"".join(ids[at - len(parts) + 1 : at]) + self.end)
             except TypeError:
                 out.append(self.runs(parts) + self.end)
         return out
@@ -114,7 +195,7 @@ class Encoder:
 
     def piece(self, before: str, held: list[str]) -> bytes:
         ids = self.known.get(held[0]) if before and len(held) == 1 else None
-        return self.whole(before + " ".join(held)) if ids is None else ids
+        return ids or self.whole(before + " ".join(held))
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -123,14 +204,18 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         counts = np.zeros(encoder.size, np.int64)
+        gc.disable()  # the many short lists of words hold no cycles
         empty = pa.array([None], pa.binary())
         for batch in batches:
             ids = encoder(batch.column(1).to_pylist())
             counts += np.bincount(np.frombuffer(b"".join(ids), encoder.dtype), minlength=encoder.size)
             n = [len(x) // encoder.dtype.itemsize for x in ids]
+            gc.enable()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
+            gc.disable()
+        gc.enable()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), empty, pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
@@ -194,19 +279,28 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The codes one after another, highest bit first, and the bit offset of every CHECKPOINT-th id."""
+    """The codes one after another, highest bit first, and the bit offset of every CHECKPOINT-th id.
+
+    Three codes, of 63 bits at most, are put together first; each such word touches two of the output at most."""
     size = lengths[ids].astype(np.int64)
+    marks = np.add.reduceat(size, np.arange(0, len(size), CHECKPOINT))
     value = codes[ids]
+    if rest := -len(ids) % 3:
+        size, value = np.append(size, [0] * rest), np.append(value, np.zeros(rest, np.uint64))
+    s, v = size.reshape(-1, 3), value.reshape(-1, 3)
+    last, middle = s[:, 2].astype(np.uint64), s[:, 1].astype(np.uint64)
+    value, size = (((v[:, 0] << middle) | v[:, 1]) << last) | v[:, 2], s.sum(1)
     ends = np.cumsum(size)
     starts = ends - size
     word, shift = starts >> 6, 64 - (starts & 63) - size
-    over = shift < 0
-    high = np.where(over, value >> np.where(over, -shift, 0).astype(np.uint64), value << np.where(over, 0, shift).astype(np.uint64))
+    over = np.flatnonzero(shift < 0)
+    high = value << np.maximum(shift, 0).astype(np.uint64)
+    high[over] = value[over] >> (-shift[over]).astype(np.uint64)
     out = np.zeros(int(ends[-1] >> 6) + 2, np.uint64)
     first = np.flatnonzero(np.diff(word, prepend=-1))
     out[word[first]] = np.bitwise_or.reduceat(high, first)
     out[word[over] + 1] |= value[over] << (64 + shift[over]).astype(np.uint64)
-    return out.astype(">u8").tobytes()[: int(ends[-1] + 7) // 8], starts[::CHECKPOINT].astype("<u4")
+    return out.astype(">u8").tobytes()[: int(ends[-1] + 7) // 8], (np.cumsum(marks) - marks).astype("<u4")
 
 
 def file_bytes(doc_ids: list, sizes: np.ndarray, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> bytes:
@@ -229,7 +323,7 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
     spans = (1 << (bits - lengths[order].astype(np.int64)))
-    ids, size = np.zeros(1 << bits, np.uint32), np.ones(1 << bits, np.uint8)
+    ids, size = np.zeros(1 << bits, np.uint16 if len(lengths) <= 1 << 16 else np.uint32), np.ones(1 << bits, np.uint8)
     ids[: spans.sum()] = np.repeat(order, spans)
     size[: spans.sum()] = np.repeat(lengths[order], spans)
     return ids, size, bits
@@ -263,13 +357,19 @@ def parse(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
         raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.uint32)
         ahead = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
         place, left = np.concatenate(starts), np.concatenate(counts)
-        out = np.empty((len(place), CHECKPOINT), np.uint32)
+        out = np.empty((CHECKPOINT, len(place)), symbol.dtype)
         last = len(ahead) - 1
         for k in range(int(left.max())):
             nxt = (ahead[np.minimum(place >> 3, last)] << (place & 7).astype(np.uint32)) >> np.uint32(32 - bits)
-            out[:, k] = symbol[nxt]
+            out[k] = symbol[nxt]
             place = place + size[nxt]
-        ids = out[np.arange(CHECKPOINT)[None, :] < left[:, None]]
+        out = np.ascontiguousarray(out.T)
+        full = np.flatnonzero(left < CHECKPOINT)  # the last stretch of a block may be short
+        cuts, pieces, at = full.tolist(), [], 0
+        for i in cuts:
+            pieces += [out[at:i].ravel(), out[i, : left[i]]]
+            at = i + 1
+        ids = np.concatenate([*pieces, out[at:].ravel()])
     assert len(ids) == n_ids
     return [None if x else int(y) for x, y in zip(null, names, strict=True)], sizes, ids
 
@@ -279,7 +379,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None) -> Dat
     spark = docs.sparkSession
     C.prepare(spark)
     folder = folder or C.shared_dir(spark)
-    encoded = C.handed(encode(docs, tokenizer), "encoded")
+    encoded = C.handed(encode(docs, tokenizer), "encoded", codec="snappy")
     rows = C.small(id_counts(encoded), 1 << 20, "ids of the vocabulary")
     counts = np.zeros(max([r.id for r in rows], default=0) + 1, np.int64)
     for r in rows:
