@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-WEIGHTS, CAP, RANGE, SEED = (5.0, 2.0, 1.0), 3.0, 20_000, "mix-1"
+WEIGHTS, CAP, RANGE, SEED = (5.0, 2.0, 1.0), 3.0, 4_000, "mix-1"
 
 
 def words(column: str):
