@@ -1,0 +1,154 @@
+"""Blocking, features, assignment and scoring of a many-to-one record linkage, as lazy DataFrame plans.
+
+Records have entity_id, pos (a unique ordinal), source and the normalized columns; targets are matched to records of S1."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tessera.functions import similarity as S
+
+FEATURES = ["name_core_exact", "name_compact_exact", "address_exact", "addr_number_overlap", "state_match", "city_match", "legal_form_match", "country_match", "name_len_diff", "address_len_diff", "addr_component_jaccard", "name_jaccard"]
+
+
+def block_keys(records: DataFrame) -> DataFrame:
+    """(entity_id, pos, source, key): country, number and state for each address number, and country and token for those of the
+    first four name tokens in alphabetical order that have three characters. None without a country."""
+    country = F.lower(F.trim("country"))
+    numbers = F.transform("addr_numbers", lambda x: F.concat_ws("|", F.lit("a"), country, x, F.col("state_canon")))
+    words = F.filter(F.slice(F.array_sort(F.array_distinct("name_tokens")), 1, 4), lambda x: F.length(x) >= 3)
+    keys = F.array_union(numbers, F.transform(words, lambda x: F.concat_ws("|", F.lit("n"), country, x)))
+    return records.filter(country != "").select("entity_id", "pos", "source", F.explode(keys).alias("key"))
+
+
+def semi_reduced(target_keys: DataFrame, s1_keys: DataFrame) -> DataFrame:
+    """Target keys that some S1 record has."""
+    return target_keys.join(s1_keys.select("key"), "key", "left_semi")
+
+
+def candidates(s1_keys: DataFrame, target_keys: DataFrame, cap: int | None = 30) -> DataFrame:
+    """(s1_id, s1_pos, target_id, target_source, target_pos): pairs that share a key, of each S1 record and source the cap lowest target positions."""
+    left = s1_keys.select(F.col("entity_id").alias("s1_id"), F.col("pos").alias("s1_pos"), "key")
+    right = semi_reduced(target_keys, s1_keys).select(F.col("entity_id").alias("target_id"), F.col("source").alias("target_source"), F.col("pos").alias("target_pos"), "key")
+    pairs = left.join(right, "key").drop("key").distinct()
+    if cap is None:
+        return pairs
+    w = Window.partitionBy("s1_id", "target_source").orderBy("target_pos", "target_id")
+    return pairs.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= cap).drop("r")
+
+
+def rare_token_pairs(s1: DataFrame, targets: DataFrame, share: float = 0.01) -> DataFrame:
+    """(s1_id, target_id): pairs with a name token that less than the share of the targets have."""
+    word = lambda df, name: df.select(F.col("entity_id").alias(name), F.explode(F.array_distinct("name_tokens")).alias("token"))
+    t = word(targets, "target_id")
+    n = targets.agg(F.count(F.lit(1)).alias("n"))
+    rare = t.groupBy("token").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).filter(F.col("df") < share * F.col("n")).select("token")
+    return word(s1, "s1_id").join(t.join(rare, "token"), "token").select("s1_id", "target_id").distinct()
+
+
+def features(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """The pairs with the set-based features of both records."""
+    cols = ["name_core", "name_compact", "name_tokens", "addr_norm", "addr_numbers", "addr_components", "state_canon", "city_canon", "legal_form", "country"]
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in cols])
+    both = pairs.join(side("a_", "s1_id"), "s1_id").join(side("b_", "target_id"), "target_id")
+    a, b = (lambda c: F.col("a_" + c)), (lambda c: F.col("b_" + c))
+    same = lambda c: S.same(a(c), b(c))
+    return both.select(
+        *pairs.columns, same("name_core").alias("name_core_exact"), same("name_compact").alias("name_compact_exact"), same("addr_norm").alias("address_exact"), S.overlap(a("addr_numbers"), b("addr_numbers")).alias("addr_number_overlap"),
+        same("state_canon").alias("state_match"), same("city_canon").alias("city_match"), same("legal_form").alias("legal_form_match"), (a("country") == b("country")).cast("int").alias("country_match"),
+        F.abs(F.length(a("name_core")) - F.length(b("name_core"))).alias("name_len_diff"), F.abs(F.length(a("addr_norm")) - F.length(b("addr_norm"))).alias("address_len_diff"),
+        S.jaccard(a("addr_components"), b("addr_components")).alias("addr_component_jaccard"), S.jaccard(a("name_tokens"), b("name_tokens")).alias("name_jaccard"),
+    )
+
+
+def string_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """The pairs with the edit-based ratios of names and addresses: one Arrow call a text pair."""
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in ("name_core", "addr_norm")])
+    both = pairs.join(side("a_", "s1_id"), "s1_id").join(side("b_", "target_id"), "target_id")
+    both = both.withColumn("n", S.ratios("a_name_core", "b_name_core")).withColumn("d", S.ratios("a_addr_norm", "b_addr_norm"))
+    both = both.withColumn("c", S.ratio(F.trim(F.concat_ws(" ", "a_name_core", "a_addr_norm")), F.trim(F.concat_ws(" ", "b_name_core", "b_addr_norm"))))
+    return both.select(*pairs.columns, F.col("n.ratio").alias("name_core_ratio"), F.col("n.partial").alias("name_core_partial"), F.col("n.token_set").alias("name_core_token_set"), F.col("n.token_sort").alias("name_core_token_sort"), F.col("d.ratio").alias("address_ratio"), F.col("d.partial").alias("address_partial"), F.col("c").alias("combined_ratio"))
+
+
+def score(featured: DataFrame) -> DataFrame:
+    """A fixed linear score in place of a trained one: probability, rounded to 6 places."""
+    p = 0.6 * F.col("name_jaccard") + 0.2 * F.col("addr_component_jaccard") + 0.1 * F.col("state_match") + 0.1 * F.col("name_core_exact")
+    return featured.withColumn("probability", F.round(p, 6))
+
+
+def accepted(scored: DataFrame, threshold: float, guard: bool = True) -> DataFrame:
+    """Pairs at or above the threshold; the guard drops those with name and address both unlike and another state."""
+    kept = scored.filter(F.col("probability") >= threshold)
+    return kept.filter(~((F.col("name_jaccard") < 0.35) & (F.col("addr_component_jaccard") < 0.20) & (F.col("state_match") == 0))) if guard else kept
+
+
+def many_to_one(pairs: DataFrame, *also: str) -> DataFrame:
+    """Of each target the S1 record with the highest probability, ties to the lowest position."""
+    w = Window.partitionBy("target_source", "target_id", *also).orderBy(F.desc("probability"), "s1_pos")
+    return pairs.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
+
+
+def margins(pairs: DataFrame) -> DataFrame:
+    """The pairs with best, second best (0 if none; ties count) and their difference over each target."""
+    w = Window.partitionBy("target_source", "target_id")
+    o = w.orderBy(F.desc("probability")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    best, second = F.max("probability").over(w), F.coalesce(F.nth_value("probability", 2).over(o), F.lit(0.0))
+    return pairs.withColumn("best_score", best).withColumn("second_best_score", second).withColumn("margin", F.round(best - second, 6))
+
+
+def listed(s1: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """Every S1 id with its targets' ids, sorted and comma-joined; empty without any."""
+    ids = pairs.groupBy(F.col("s1_id").alias("entity_id")).agg(F.array_join(F.array_sort(F.collect_set("target_id")), ",").alias("ids"))
+    return s1.select("entity_id").join(ids, "entity_id", "left").select(F.col("entity_id").alias("source1_entity_id"), F.coalesce("ids", F.lit("")).alias(name))
+
+
+def labelled(pairs: DataFrame, truth: DataFrame) -> DataFrame:
+    """The pairs with label 1 if they are in truth (s1_id, target_id)."""
+    return pairs.join(truth.select("s1_id", "target_id", F.lit(1).alias("label")), ["s1_id", "target_id"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
+
+
+def recall(truth: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row: true pairs, those among the pairs, recall (1 if there are none)."""
+    found = truth.join(pairs.select("s1_id", "target_id", F.lit(1).alias("hit")).distinct(), ["s1_id", "target_id"], "left")
+    return found.agg(F.count(F.lit(1)).alias("n_true"), F.coalesce(F.sum("hit"), F.lit(0)).cast("bigint").alias("n_found")).withColumn("recall", F.coalesce(F.try_divide("n_found", "n_true"), F.lit(1.0)))
+
+
+def f_half(s1: DataFrame, truth: DataFrame, predicted: DataFrame, *also: str, singleton: float = 1.0) -> DataFrame:
+    """(also..., n, macro_f05): F0.5 of each S1 record, averaged. singleton: of a record rightly left alone (1 by definition, 0 as some score it)."""
+    t = truth.groupBy("s1_id").agg(F.count(F.lit(1)).alias("t"))
+    p = predicted.groupBy("s1_id", *also).agg(F.count(F.lit(1)).alias("p"))
+    hit = predicted.join(truth.select("s1_id", "target_id"), ["s1_id", "target_id"]).groupBy("s1_id", *also).agg(F.count(F.lit(1)).alias("tp"))
+    every = s1.select(F.col("entity_id").alias("s1_id"), *also)
+    n = every.join(t, "s1_id", "left").join(p, ["s1_id", *also], "left").join(hit, ["s1_id", *also], "left").na.fill(0, ["t", "p", "tp"])
+    precision, rec = F.coalesce(F.try_divide("tp", "p"), F.lit(0.0)), F.coalesce(F.try_divide("tp", "t"), F.lit(1.0))
+    f = F.when((F.col("t") == 0) & (F.col("p") == 0), F.lit(singleton)).otherwise(F.coalesce(F.try_divide(1.25 * precision * rec, 0.25 * precision + rec), F.lit(0.0)))
+    return n.withColumn("f", f).groupBy(*also).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("f"), 6).alias("macro_f05"))
+
+
+def sweep(s1: DataFrame, truth: DataFrame, scored: DataFrame, thresholds: list[float], guard: bool = True) -> DataFrame:
+    """(threshold, n, macro_f05) of every threshold, in one job: each pair is counted under the thresholds it reaches."""
+    each = F.explode(F.array(*[F.lit(t) for t in thresholds]))
+    pairs = accepted(scored, thresholds[0], guard).withColumn("threshold", each).filter(F.col("probability") >= F.col("threshold"))
+    return f_half(s1.withColumn("threshold", each), truth, many_to_one(pairs, "threshold"), "threshold")
+
+
+def tfidf(texts: DataFrame, pool: DataFrame | None = None) -> DataFrame:
+    """(entity_id, gram, w): character trigrams of name_core, term count times ln((1 + N) / (1 + df)) + 1 of the pool, unit length."""
+    def grams(df):
+        g = F.when(F.length("name_core") >= 3, F.transform(F.sequence(F.lit(1), F.length("name_core") - 2), lambda i: F.substring(F.col("name_core"), i, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+        return df.select("entity_id", F.explode(g).alias("gram")).groupBy("entity_id", "gram").agg(F.count(F.lit(1)).alias("tf"))
+
+    pool = texts if pool is None else pool
+    df = grams(pool).groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(pool.agg(F.count(F.lit(1)).alias("n"))))
+    weighted = grams(texts).join(df, "gram").withColumn("x", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
+    norm = weighted.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    return weighted.join(norm, "entity_id").select("entity_id", "gram", (F.col("x") / F.col("norm")).alias("w"))
+
+
+def nearest(queries: DataFrame, pool: DataFrame, k: int) -> DataFrame:
+    """(s1_id, target_id, similarity, rank): of each query the k most similar rows of the pool, by the product over shared grams."""
+    q, p = queries.select(F.col("entity_id").alias("s1_id"), "gram", F.col("w").alias("v")), pool.select(F.col("entity_id").alias("target_id"), "gram", "w")
+    sim = q.join(p, "gram").groupBy("s1_id", "target_id").agg(F.round(F.sum(F.col("v") * F.col("w")), 6).alias("similarity"))
+    w = Window.partitionBy("s1_id").orderBy(F.desc("similarity"), "target_id")
+    return sim.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -1,11 +1,481 @@
-"""Named queries and the SQL that each must equal."""
+"""Named queries over the test tables, and the SQL that each must equal.
+
+Records come from documents: three sources by id, names the first 40 characters, addresses made of columns. True pairs are
+records of S1 and of another source with the same text, each target with the lowest such S1 record."""
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tessera.functions import similarity as S
+from tessera.functions import text as X
+from tessera.operators import aliases as A
+from tessera.operators import linkage as L
+from tessera.operators import profile as P
+
+THRESHOLDS = [round(0.30 + 0.02 * i, 2) for i in range(33)]
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def records(spark: SparkSession, sf: str, text: bool = False) -> DataFrame:
+    s = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
+    address = F.concat((F.col("n_chars") % 50).cast("string"), F.lit(" st, "), "source", F.lit(", "), "lang")
+    cols = [F.concat(s, F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"), F.col("doc_id").alias("pos"), s.alias("source"), F.substring("text", 1, 40).alias("business_name"), address.alias("business_address"), F.col("lang").alias("country")]
+    return _t(spark, sf, "documents").select(*cols, *(["text"] if text else []))
+
+
+def norm(spark: SparkSession, sf: str) -> DataFrame:
+    return X.normalized(records(spark, sf))
+
+
+def truth(spark: SparkSession, sf: str) -> DataFrame:
+    r = records(spark, sf, True).withColumn("h", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
+    first = r.filter("source = 'S1'").groupBy("h").agg(F.min_by("entity_id", "pos").alias("s1_id"))
+    return r.filter("source <> 'S1'").join(first, "h").select("s1_id", F.col("entity_id").alias("target_id"), F.col("source").alias("target_source"), "country")
+
+
+def sides(r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return r.filter("source = 'S1'"), r.filter("source <> 'S1'")
+
+
+def pairs(spark: SparkSession, sf: str, cap: int = 30) -> tuple[DataFrame, DataFrame]:
+    n = norm(spark, sf)
+    s1, other = sides(L.block_keys(n))
+    return n, L.candidates(s1, other, cap)
+
+
+def scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    n, p = pairs(spark, sf)
+    return n, L.score(L.features(p, n))
+
+
+def matched(spark: SparkSession, sf: str, t: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    n, s = scored(spark, sf)
+    return n, L.many_to_one(L.accepted(s, t))
+
+
+_Q: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _q(name: str, sql: str | None = None):
+    def keep(f):
+        _Q[name] = f
+        if sql:
+            _SQL[name] = sql
+        return f
+
+    return keep
+
+
+def _map(m: dict) -> str:
+    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in m.items()) + "}"
+
+
+_N = r"trim(regexp_replace(strip_accents(lower({})), '[\p{{P}}\p{{S}}\p{{Z}}\p{{C}}]+', ' ', 'g'))"
+_LEGAL, _ABBR = _map(X.LEGAL["US"]), _map(X.ABBREVIATIONS)
+_REC = "rec AS (SELECT 'S' || (d.doc_id % 3 + 1) || '-' || d.doc_id AS entity_id, d.doc_id AS pos, 'S' || (d.doc_id % 3 + 1) AS source, substr(d.text, 1, 40) AS business_name, (d.n_chars % 50) || ' st, ' || d.source || ', ' || d.lang AS business_address, d.lang AS country, d.text FROM documents d)"
+_NORM = _REC + rf""", n0 AS (SELECT *, {_N.format('business_name')} AS name_norm, regexp_matches(business_name, '{X.DOMAIN}') AS is_domain FROM rec),
+n1 AS (SELECT *, list_filter(string_split(name_norm, ' '), x -> x <> '') AS toks FROM n0),
+n2 AS (SELECT *, list_filter(toks, x -> len(map_extract({_LEGAL}, x)) = 0 AND NOT (is_domain AND x IN {tuple(X.DOMAIN_TOKENS)})) AS name_tokens,
+  list_sort(list_distinct(list_transform(list_filter(toks, x -> len(map_extract({_LEGAL}, x)) > 0), x -> map_extract({_LEGAL}, x)[1]))) AS forms,
+  list_transform(list_filter(list_transform(string_split(business_address, ','), p -> {_N.format('p')}), p -> p <> '' AND p NOT IN {tuple(X.NULL_LIKE)}),
+    p -> array_to_string(list_transform(string_split(p, ' '), t -> coalesce(map_extract({_ABBR}, t)[1], t)), ' ')) AS addr_components,
+  list_distinct(list_transform(regexp_extract_all(business_address, '[0-9]+'), x -> regexp_replace(x, '^0+(.)', '\1'))) AS addr_numbers FROM n1),
+norm AS (SELECT *, array_to_string(name_tokens, ' ') AS name_core, array_to_string(name_tokens, '') AS name_compact, array_to_string(forms, '_') AS legal_form, array_to_string(addr_components, ' ') AS addr_norm,
+  coalesce(addr_components[-1], '') AS state_canon, coalesce(addr_components[-2], '') AS city_canon FROM n2)"""
+_KEYS = _NORM + """, keys AS (SELECT DISTINCT entity_id, pos, source, unnest(list_concat(list_transform(addr_numbers, x -> 'a|' || lower(trim(country)) || '|' || x || '|' || state_canon),
+  list_transform(list_filter(list_sort(list_distinct(name_tokens))[1:4], x -> length(x) >= 3), x -> 'n|' || lower(trim(country)) || '|' || x))) AS key FROM norm WHERE trim(country) <> '')"""
+_CAND = _KEYS + """, allp AS (SELECT DISTINCT a.entity_id AS s1_id, a.pos AS s1_pos, b.entity_id AS target_id, b.source AS target_source, b.pos AS target_pos FROM keys a JOIN keys b ON a.key = b.key WHERE a.source = 'S1' AND b.source <> 'S1'),
+cand AS (SELECT * FROM allp QUALIFY row_number() OVER (PARTITION BY s1_id, target_source ORDER BY target_pos, target_id) <= 30)"""
+_TRUTH = ", truth AS (SELECT f.s1_id, t.entity_id AS target_id, t.source AS target_source, t.country FROM rec t JOIN (SELECT text, arg_min(entity_id, pos) AS s1_id FROM rec WHERE source = 'S1' GROUP BY text) f USING (text) WHERE t.source <> 'S1')"
+_J = "CASE WHEN len(list_distinct(list_concat({0}, {1}))) = 0 THEN 0.0 ELSE len(list_intersect({0}, {1})) / len(list_distinct(list_concat({0}, {1}))) END"
+_SAME = "CAST(a.{0} = b.{0} AND a.{0} <> '' AS INT)"
+_FEAT = _CAND + f""", feat AS (SELECT c.*, {_SAME.format('name_core')} AS name_core_exact, {_SAME.format('name_compact')} AS name_compact_exact, {_SAME.format('addr_norm')} AS address_exact,
+  CAST(len(list_intersect(a.addr_numbers, b.addr_numbers)) AS INT) AS addr_number_overlap, {_SAME.format('state_canon')} AS state_match, {_SAME.format('city_canon')} AS city_match, {_SAME.format('legal_form')} AS legal_form_match,
+  CAST(a.country = b.country AS INT) AS country_match, CAST(abs(length(a.name_core) - length(b.name_core)) AS INT) AS name_len_diff, CAST(abs(length(a.addr_norm) - length(b.addr_norm)) AS INT) AS address_len_diff,
+  {_J.format('a.addr_components', 'b.addr_components')} AS addr_component_jaccard, {_J.format('a.name_tokens', 'b.name_tokens')} AS name_jaccard
+  FROM cand c JOIN norm a ON a.entity_id = c.s1_id JOIN norm b ON b.entity_id = c.target_id),
+scored AS (SELECT *, round(0.6 * name_jaccard + 0.2 * addr_component_jaccard + 0.1 * state_match + 0.1 * name_core_exact, 6) AS probability FROM feat),
+acc AS (SELECT * FROM scored WHERE NOT (name_jaccard < 0.35 AND addr_component_jaccard < 0.20 AND state_match = 0)),
+won AS (SELECT * FROM acc WHERE probability >= 0.7 QUALIFY row_number() OVER (PARTITION BY target_source, target_id ORDER BY probability DESC, s1_pos) = 1)"""
+
+
+def _f(pred: str, by: str = "", single: str = "1.0") -> str:
+    also = f"{by}, " if by else ""
+    every = f"(SELECT entity_id AS s1_id{', ' + by if by else ''} FROM rec{', th' if by else ''} WHERE source = 'S1')"
+    on = f"e.s1_id = p.s1_id{f' AND e.{by} = p.{by}' if by else ''}"
+    return f""", pt AS (SELECT {also}s1_id, count(*) AS p, count(*) FILTER (WHERE (s1_id, target_id) IN (SELECT (s1_id, target_id) FROM truth)) AS tp FROM {pred} GROUP BY ALL), tt AS (SELECT s1_id, count(*) AS t FROM truth GROUP BY 1),
+ev AS (SELECT e.*, coalesce(t, 0) AS t, coalesce(p, 0) AS p, coalesce(tp, 0) AS tp FROM {every} e LEFT JOIN tt USING (s1_id) LEFT JOIN pt p ON {on}),
+pr AS (SELECT *, CASE WHEN p = 0 THEN 0.0 ELSE tp / p END AS pre, CASE WHEN t = 0 THEN 1.0 ELSE tp / t END AS re FROM ev)
+SELECT {also}count(*) AS n, round(avg(CASE WHEN t = 0 AND p = 0 THEN {single} WHEN 0.25 * pre + re = 0 THEN 0.0 ELSE 1.25 * pre * re / (0.25 * pre + re) END), 6) AS macro_f05 FROM pr {'GROUP BY ' + by if by else ''}"""
+
+
+@_q("scan_project", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 1000")
+def scan_project(spark, sf):
+    return _t(spark, sf, "orders").filter("o_orderstatus = 'F' AND o_totalprice >= 1000").select("o_orderkey", "o_totalprice")
+
+
+@_q("normalize_name", f"WITH {_NORM} SELECT entity_id, name_norm, name_core, array_to_string(list_sort(name_tokens), ' ') AS name_sorted, name_compact FROM norm")
+def normalize_name(spark, sf):
+    return norm(spark, sf).select("entity_id", "name_norm", "name_core", "name_sorted", "name_compact")
+
+
+_PART = f"p0 AS (SELECT p_partkey, list_filter(string_split({_N.format('p_name || chr(32) || ' + chr(39) + 'Co. Ltd' + chr(39))}, ' '), x -> x <> '') AS w FROM part)"
+
+
+@_q("legal_strip", f"WITH {_PART} SELECT p_partkey, array_to_string(list_filter(w, x -> len(map_extract({_LEGAL}, x)) = 0), ' ') AS rest, array_to_string(list_sort(list_distinct(list_transform(list_filter(w, x -> len(map_extract({_LEGAL}, x)) > 0), x -> map_extract({_LEGAL}, x)[1]))), '_') AS form FROM p0")
+def legal_strip(spark, sf):
+    w = X.tokens(X.base_norm(F.concat("p_name", F.lit(" Co. Ltd"))))
+    rest, form = X.legal_form(w, F.lit("US"))
+    return _t(spark, sf, "part").select("p_partkey", F.array_join(rest, " ").alias("rest"), form.alias("form"))
+
+
+@_q("domain_flag", f"SELECT page_id, regexp_matches(url, '{X.DOMAIN}') AS is_domain FROM pages")
+def domain_flag(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", X.is_domain(F.col("url")).alias("is_domain"))
+
+
+@_q("addr_components", f"WITH {_NORM} SELECT entity_id, array_to_string(addr_components, '|') AS components, state_canon, city_canon FROM norm")
+def addr_components(spark, sf):
+    return norm(spark, sf).select("entity_id", F.array_join("addr_components", "|").alias("components"), "state_canon", "city_canon")
+
+
+@_q("addr_numbers", f"WITH {_NORM} SELECT entity_id, array_to_string(list_sort(addr_numbers), '|') AS numbers FROM norm")
+def addr_numbers(spark, sf):
+    return norm(spark, sf).select("entity_id", F.array_join(F.array_sort("addr_numbers"), "|").alias("numbers"))
+
+
+_AL = "al AS (SELECT n_name AS canonical, left(n_name, 2) AS variant, r_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+
+
+def _alias_rows(spark, sf):
+    return _t(spark, sf, "customer").join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("canonical"), F.left("n_name", F.lit(2)).alias("variant"), F.col("r_name").alias("country"))
+
+
+_MINED = _AL + ", mined AS (SELECT country, variant, canonical, count(*) AS cnt FROM al GROUP BY country, variant, canonical QUALIFY row_number() OVER (PARTITION BY country, variant ORDER BY count(*) DESC, canonical) = 1), mi AS (SELECT * FROM mined WHERE cnt >= 3)"
+
+
+@_q("alias_mine", f"WITH {_MINED} SELECT * FROM mi")
+def alias_mine(spark, sf):
+    return A.mine(_alias_rows(spark, sf))
+
+
+@_q("alias_lookup", f"WITH {_MINED} SELECT al.country, al.variant, al.canonical, CASE WHEN mi.canonical IS NOT NULL AND (length(al.variant) < 2 OR cnt < 20) THEN '' ELSE coalesce(mi.canonical, al.variant) END AS named FROM al LEFT JOIN mi USING (country, variant)")
+def alias_lookup(spark, sf):
+    rows = _alias_rows(spark, sf)
+    mined = A.mine(rows)
+    got = A.lookup(rows.withColumn("v", F.concat("variant", F.lit("_"))), mined.withColumn("variant", F.concat("variant", F.lit("_"))), "v", 20)
+    return got.select("country", "variant", "canonical", F.when(F.col("v_canon") == F.col("v"), F.col("variant")).otherwise(F.col("v_canon")).alias("named"))
+
+
+@_q("alias_pair_pred", rf"SELECT n_nationkey, n_name <> left(n_name, 3) AND regexp_matches(replace(n_name, ' ', ''), '^[\p{{L}}\p{{M}}]+$') AND (regexp_matches(left(n_name, 3), '[^\x00-\x{{24F}}]') OR length(n_name) > 3) AS is_pair FROM nation")
+def alias_pair_pred(spark, sf):
+    return _t(spark, sf, "nation").select("n_nationkey", A.alias_pair(F.col("n_name"), F.left("n_name", F.lit(3))).alias("is_pair"))
+
+
+@_q("block_keys", f"WITH {_KEYS} SELECT entity_id, key FROM keys")
+def block_keys(spark, sf):
+    return L.block_keys(norm(spark, sf)).select("entity_id", "key")
+
+
+@_q("semi_reduced_keys", f"WITH {_KEYS} SELECT entity_id, key FROM keys WHERE source <> 'S1' AND key IN (SELECT key FROM keys WHERE source = 'S1')")
+def semi_reduced_keys(spark, sf):
+    s1, other = sides(L.block_keys(norm(spark, sf)))
+    return L.semi_reduced(other, s1).select("entity_id", "key")
+
+
+@_q("candidates_capped", f"WITH {_CAND} SELECT s1_id, target_id, target_source FROM cand")
+def candidates_capped(spark, sf):
+    return pairs(spark, sf)[1].select("s1_id", "target_id", "target_source")
+
+
+@_q("candidates_union", f"WITH {_CAND} SELECT target_source, count(*) AS n, count(DISTINCT s1_id) AS n_s1 FROM cand GROUP BY 1")
+def candidates_union(spark, sf):
+    return pairs(spark, sf)[1].groupBy("target_source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s1_id").alias("n_s1"))
+
+
+_WORD = _NORM + ", word AS (SELECT entity_id, source, unnest(list_distinct(name_tokens)) AS token FROM norm), rare AS (SELECT token FROM word WHERE source <> 'S1' GROUP BY 1 HAVING count(*) < 0.01 * (SELECT count(*) FROM norm WHERE source <> 'S1')), rp AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS target_id FROM word a JOIN word b ON a.token = b.token JOIN rare r ON r.token = a.token WHERE a.source = 'S1' AND b.source <> 'S1')"
+
+
+@_q("rare_token_block", f"WITH {_WORD} SELECT * FROM rp")
+def rare_token_block(spark, sf):
+    return L.rare_token_pairs(*sides(norm(spark, sf)))
+
+
+@_q("union_strategy", f"WITH {_CAND + _WORD[len(_NORM):]} SELECT s1_id, target_id FROM rp UNION SELECT s1_id, target_id FROM cand")
+def union_strategy(spark, sf):
+    n, p = pairs(spark, sf)
+    return L.rare_token_pairs(*sides(n)).union(p.select("s1_id", "target_id")).distinct()
+
+
+@_q("recall_at_cap", f"WITH {_CAND + _TRUTH} SELECT count(*) AS n_true, count(c.s1_id) AS n_found, CASE WHEN count(*) = 0 THEN 1.0 ELSE count(c.s1_id) / count(*) END AS recall FROM truth t LEFT JOIN cand c ON t.s1_id = c.s1_id AND t.target_id = c.target_id")
+def recall_at_cap(spark, sf):
+    return L.recall(truth(spark, sf), pairs(spark, sf)[1])
+
+
+@_q("label_pairs", f"WITH {_CAND + _TRUTH} SELECT c.s1_id, c.target_id, CAST(t.s1_id IS NOT NULL AS INT) AS label FROM cand c LEFT JOIN truth t ON t.s1_id = c.s1_id AND t.target_id = c.target_id")
+def label_pairs(spark, sf):
+    return L.labelled(pairs(spark, sf)[1], truth(spark, sf)).select("s1_id", "target_id", "label")
+
+
+@_q("features_setwise", f"WITH {_FEAT} SELECT s1_id, target_id, {', '.join(c if 'jaccard' not in c else f'round({c}, 9) AS {c}' for c in L.FEATURES)} FROM feat")
+def features_setwise(spark, sf):
+    n, p = pairs(spark, sf)
+    return L.features(p, n).select("s1_id", "target_id", *[F.round(c, 9).alias(c) if "jaccard" in c else F.col(c) for c in L.FEATURES])
+
+
+@_q("many_to_one", f"WITH {_FEAT} SELECT s1_id, target_id, probability FROM won")
+def many_to_one(spark, sf):
+    return matched(spark, sf)[1].select("s1_id", "target_id", "probability")
+
+
+@_q("second_best_margin", f"WITH {_FEAT} SELECT s1_id, target_id, max(probability) OVER w AS best_score, coalesce(nth_value(probability, 2) OVER o, 0.0) AS second_best_score, round(max(probability) OVER w - coalesce(nth_value(probability, 2) OVER o, 0.0), 6) AS margin FROM scored WINDOW w AS (PARTITION BY target_source, target_id), o AS (PARTITION BY target_source, target_id ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+def second_best_margin(spark, sf):
+    return L.margins(scored(spark, sf)[1]).select("s1_id", "target_id", "best_score", "second_best_score", "margin")
+
+
+@_q("match_results", f"WITH {_FEAT}, g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM won GROUP BY 1) SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids FROM rec LEFT JOIN g ON s1_id = entity_id WHERE source = 'S1'")
+def match_results(spark, sf):
+    n, won = matched(spark, sf)
+    return L.listed(n.filter("source = 'S1'"), won, "matched_entity_ids")
+
+
+@_q("candidate_output", f"WITH {_CAND}, g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM cand GROUP BY 1) SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS candidate_entity_ids FROM rec LEFT JOIN g ON s1_id = entity_id WHERE source = 'S1'")
+def candidate_output(spark, sf):
+    n, p = pairs(spark, sf)
+    return L.listed(n.filter("source = 'S1'"), p, "candidate_entity_ids")
+
+
+@_q("macro_f05_spec", f"WITH {_FEAT + _TRUTH}" + _f("won"))
+def macro_f05_spec(spark, sf):
+    n, won = matched(spark, sf)
+    return L.f_half(n.filter("source = 'S1'"), truth(spark, sf), won)
+
+
+@_q("macro_f05_code", f"WITH {_FEAT + _TRUTH}" + _f("won", single="0.0"))
+def macro_f05_code(spark, sf):
+    n, won = matched(spark, sf)
+    return L.f_half(n.filter("source = 'S1'"), truth(spark, sf), won, singleton=0.0)
+
+
+_TH = f", th AS (SELECT unnest({THRESHOLDS})::DOUBLE AS threshold), sw AS (SELECT a.*, threshold FROM acc a JOIN th ON probability >= threshold QUALIFY row_number() OVER (PARTITION BY target_source, target_id, threshold ORDER BY probability DESC, s1_pos) = 1)"
+
+
+@_q("threshold_sweep", f"WITH {_FEAT + _TRUTH + _TH}" + _f("sw", "threshold"))
+def threshold_sweep(spark, sf):
+    n, s = scored(spark, sf)
+    return L.sweep(n.filter("source = 'S1'"), truth(spark, sf), s, THRESHOLDS)
+
+
+@_q("inventory", f"WITH {_REC} SELECT source, count(*) AS n_rows, count(DISTINCT entity_id) AS n_ids, count(*) FILTER (WHERE trim(business_name) = '') AS n_empty_name, count(*) FILTER (WHERE lower(trim(business_name)) IN ('null', 'na', 'n/a', 'none', 'nan', '')) AS n_null_like, count(*) FILTER (WHERE NOT regexp_matches(entity_id, '^S[123]-[0-9]+$')) AS n_bad_id FROM rec GROUP BY 1")
+def inventory(spark, sf):
+    return P.inventory(records(spark, sf))
+
+
+@_q("country_rollup", "SELECT c_mktsegment, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ROLLUP (c_mktsegment, n_name)")
+def country_rollup(spark, sf):
+    c = _t(spark, sf, "customer").join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return c.rollup("c_mktsegment", "n_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@_q("match_histogram", f"WITH {_REC + _TRUTH} SELECT CAST(least(coalesce(t, 0), 5) AS BIGINT) AS matches, count(*) AS n FROM rec LEFT JOIN (SELECT s1_id, count(*) AS t FROM truth GROUP BY 1) ON s1_id = entity_id WHERE source = 'S1' GROUP BY 1")
+def match_histogram(spark, sf):
+    t = truth(spark, sf).groupBy(F.col("s1_id").alias("entity_id")).agg(F.count(F.lit(1)).alias("t"))
+    return records(spark, sf).filter("source = 'S1'").join(t, "entity_id", "left").groupBy(F.least(F.coalesce("t", F.lit(0)), F.lit(5)).cast("bigint").alias("matches")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_q("multiplicity_check", "SELECT count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_multiple, max(n) AS most FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1)")
+def multiplicity_check(spark, sf):
+    return _t(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("n") > 1).alias("n_multiple"), F.max("n").alias("most"))
+
+
+@_q("unmatched_anti", f"WITH {_REC + _TRUTH} SELECT source, country, count(*) AS n FROM rec WHERE source <> 'S1' AND entity_id NOT IN (SELECT target_id FROM truth) GROUP BY ALL")
+def unmatched_anti(spark, sf):
+    t = truth(spark, sf).select(F.col("target_id").alias("entity_id"))
+    return records(spark, sf).filter("source <> 'S1'").join(t, "entity_id", "left_anti").groupBy("source", "country").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_q("country_crosstab", f"WITH {_REC + _TRUTH} SELECT r.country AS c1, t.country AS c2, count(*) AS n FROM truth t JOIN rec r ON r.entity_id = t.s1_id GROUP BY ALL")
+def country_crosstab(spark, sf):
+    r = records(spark, sf).select(F.col("entity_id").alias("s1_id"), F.col("country").alias("c1"))
+    return truth(spark, sf).withColumnRenamed("country", "c2").join(r, "s1_id").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_q("source_ratios", f"WITH {_REC} SELECT source, country, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY source), 6) AS share FROM rec GROUP BY source, country")
+def source_ratios(spark, sf):
+    n = records(spark, sf).groupBy("source", "country").agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("source")), 6))
+
+
+_BINS = [("0", "j = 0"), ("(0,.25)", "j < 0.25"), ("[.25,.5)", "j < 0.5"), ("[.5,.75)", "j < 0.75"), ("[.75,1)", "j < 1"), ("1", "true")]
+_CASE = "CASE " + " ".join(f"WHEN {c} THEN '{b}'" for b, c in _BINS) + " END"
+
+
+@_q("jaccard_bins", f"WITH {_FEAT}, j AS (SELECT target_source, name_jaccard AS j FROM feat) SELECT target_source, {_CASE} AS bin, count(*) AS n FROM j GROUP BY ALL")
+def jaccard_bins(spark, sf):
+    n, p = pairs(spark, sf)
+    return L.features(p, n).withColumn("j", F.col("name_jaccard")).groupBy("target_source", F.expr(_CASE).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_PCT = ", ".join(f"round(quantile_cont(length(text), {q}), 6) AS p{int(q * 100)}" for q in (0.05, 0.25, 0.5, 0.75, 0.95))
+
+
+@_q("length_percentiles", f"SELECT lang, round(avg(length(text)), 6) AS mean_len, {_PCT}, max(length(text)) AS max_len FROM documents GROUP BY 1")
+def length_percentiles(spark, sf):
+    return P.length_percentiles(_t(spark, sf, "documents"), "text", "lang")
+
+
+@_q("token_topk", f"WITH {_NORM}, w AS (SELECT country, unnest(name_tokens) AS token FROM norm), c AS (SELECT country, token, count(*) AS n FROM w GROUP BY ALL) SELECT country, token, n, round(n / sum(n) OVER (PARTITION BY country), 6) AS share, CAST(row_number() OVER (PARTITION BY country ORDER BY n DESC, token) AS INT) AS rank FROM c QUALIFY row_number() OVER (PARTITION BY country ORDER BY n DESC, token) <= 30")
+def token_topk(spark, sf):
+    return P.top_tokens(norm(spark, sf), "name_tokens", "country", 30)
+
+
+@_q("doc_freq", f"WITH {_NORM}, w AS (SELECT unnest(list_distinct(name_tokens)) AS token FROM norm) SELECT token, count(*) AS df FROM w GROUP BY 1")
+def doc_freq(spark, sf):
+    return norm(spark, sf).select(F.explode(F.array_distinct("name_tokens")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+
+_TF = _NORM + """, g AS (SELECT entity_id, source, substr(name_core, i, 3) AS gram, count(*) AS tf FROM (SELECT entity_id, source, name_core, unnest(range(1, length(name_core) - 1)) AS i FROM norm) GROUP BY ALL),
+df AS (SELECT gram, count(*) AS df FROM g WHERE source <> 'S1' GROUP BY 1),
+x AS (SELECT g.*, tf * (ln((1 + (SELECT count(*) FROM norm WHERE source <> 'S1')) / (1 + df)) + 1) AS x FROM g JOIN df USING (gram)),
+wt AS (SELECT entity_id, source, gram, x / sqrt(sum(x * x) OVER (PARTITION BY entity_id)) AS w FROM x),
+sim AS (SELECT a.entity_id AS s1_id, b.entity_id AS target_id, round(sum(a.w * b.w), 6) AS similarity FROM wt a JOIN wt b USING (gram) WHERE a.source = 'S1' AND a.entity_id LIKE '%0' AND b.source <> 'S1' GROUP BY ALL)"""
+
+
+def _weights(spark, sf):
+    n = norm(spark, sf)
+    s1, pool = sides(n)
+    return L.tfidf(s1, pool), L.tfidf(pool)
+
+
+@_q("tfidf_topk", f"WITH {_TF.replace(chr(39) + '%0' + chr(39), chr(39) + '%' + chr(39))} SELECT s1_id, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY similarity DESC, target_id) AS INT) AS rank, round(similarity, 4) AS similarity FROM sim QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY similarity DESC, target_id) <= 5")
+def tfidf_topk(spark, sf):
+    return L.nearest(*_weights(spark, sf), 5).select("s1_id", "rank", F.round("similarity", 4).alias("similarity"))
+
+
+@_q("cosine_topk", "WITH q AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT q.vec_id AS query_id, b.vec_id AS vec_id, round(list_dot_product(q.e, b.embedding::DOUBLE[]) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 5) AS similarity FROM q, embeddings b WHERE q.vec_id <> b.vec_id) SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INT) AS rank, similarity FROM s QUALIFY rank <= 10")
+def cosine_topk(spark, sf):
+    """A stated query set (ids divisible by 50) against all rows: the queries are the broadcast side while they are few enough."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    e = _t(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"))
+    s = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot(F.col("q"), F.col("e")) / F.sqrt(dot(F.col("q"), F.col("q")) * dot(F.col("e"), F.col("e"))), 5).alias("similarity"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
+    return s.withColumn("rank", F.row_number().over(w)).filter("rank <= 10").select("query_id", "rank", "similarity")
+
+
+@_q("score_distribution", f"WITH {_FEAT} SELECT target_source, round(quantile_cont(probability, 0.05), 6) AS p5, round(quantile_cont(probability, 0.5), 6) AS p50, round(quantile_cont(probability, 0.95), 6) AS p95, round(avg(CAST(probability >= 0.5 AS INT)), 6) AS share50, round(avg(CAST(probability >= 0.9 AS INT)), 6) AS share90 FROM scored GROUP BY 1")
+def score_distribution(spark, sf):
+    s = scored(spark, sf)[1]
+    at = lambda q: F.round(F.percentile("probability", F.lit(q)), 6)
+    over = lambda t: F.round(F.avg((F.col("probability") >= t).cast("int")), 6)
+    return s.groupBy("target_source").agg(at(0.05).alias("p5"), at(0.5).alias("p50"), at(0.95).alias("p95"), over(0.5).alias("share50"), over(0.9).alias("share90"))
+
+
+@_q("hardest_pairs", f"WITH {_FEAT} SELECT target_source, s1_id, target_id, round(name_jaccard, 9) AS name_jaccard FROM feat QUALIFY row_number() OVER (PARTITION BY target_source ORDER BY round(name_jaccard, 9), md5(s1_id || target_id), s1_id, target_id) <= 5")
+def hardest_pairs(spark, sf):
+    n, p = pairs(spark, sf)
+    f = L.features(p, n).select("target_source", "s1_id", "target_id", F.round("name_jaccard", 9).alias("name_jaccard"))
+    w = Window.partitionBy("target_source").orderBy("name_jaccard", F.md5(F.concat("s1_id", "target_id").cast("binary")), "s1_id", "target_id")
+    return f.withColumn("r", F.row_number().over(w)).filter("r <= 5").drop("r")
+
+
+@_q("nonmatch_sample", f"WITH {_CAND + _TRUTH} SELECT s1_id, target_id FROM cand c WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE t.s1_id = c.s1_id AND t.target_id = c.target_id) QUALIFY row_number() OVER (PARTITION BY s1_id, target_source ORDER BY md5(s1_id || target_id || '42'), target_id) = 1")
+def nonmatch_sample(spark, sf):
+    p = pairs(spark, sf)[1].join(truth(spark, sf).select("s1_id", "target_id"), ["s1_id", "target_id"], "left_anti")
+    w = Window.partitionBy("s1_id", "target_source").orderBy(F.md5(F.concat("s1_id", "target_id", F.lit("42")).cast("binary")), "target_id")
+    return p.withColumn("r", F.row_number().over(w)).filter("r = 1").select("s1_id", "target_id")
+
+
+@_q("split_85_15", "SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY md5(c_custkey || '42'), c_custkey) <= ceil(0.15 * count(*) OVER ()) THEN 'valid' ELSE 'train' END AS part FROM customer")
+def split_85_15(spark, sf):
+    return P.split(_t(spark, sf, "customer").select("c_custkey"), 0.15, "42", "c_custkey")
+
+
+@_q("train_downsample", "SELECT doc_id, toxic FROM labels QUALIFY row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id || '42'), doc_id) <= CASE WHEN toxic = 1 THEN 25 ELSE 75 END")
+def train_downsample(spark, sf):
+    w = Window.partitionBy("toxic").orderBy(P.by_hash("doc_id", "42"), "doc_id")
+    return _t(spark, sf, "labels").select("doc_id", "toxic").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.when(F.col("toxic") == 1, 25).otherwise(75)).drop("r")
+
+
+@_q("required_sample", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) UNION ALL (SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) ORDER BY md5(c_custkey || '42'), c_custkey LIMIT 100)")
+def required_sample(spark, sf):
+    req = _t(spark, sf, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return P.required_sample(_t(spark, sf, "customer").select("c_custkey"), req, 100, "42", "c_custkey")
+
+
+@_q("dq_duplicates", "SELECT text, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def dq_duplicates(spark, sf):
+    return P.duplicates(_t(spark, sf, "documents"), "text")
+
+
+_OUT = _CAND + ", g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM cand GROUP BY 1), l AS (SELECT s1_id, string_split(ids || ',S1-1,X-2,' || ids, ',') AS x FROM g)"
+
+
+def _lists(spark, sf):
+    n, p = pairs(spark, sf)
+    return L.listed(n.filter("source = 'S1'"), p, "ids").filter("ids <> ''").select(F.col("source1_entity_id").alias("s1_id"), F.concat("ids", F.lit(",S1-1,X-2,"), "ids").alias("ids"))
+
+
+@_q("dq_list_dupes", f"WITH {_OUT} SELECT s1_id, CAST(len(x) AS BIGINT) AS n_ids, len(x) <> len(list_distinct(x)) AS has_duplicate FROM l")
+def dq_list_dupes(spark, sf):
+    return P.list_problems(_lists(spark, sf), "s1_id", "ids").select("s1_id", "n_ids", "has_duplicate")
+
+
+@_q("dq_prefix", f"WITH {_OUT} SELECT s1_id, CAST(len(list_filter(x, v -> v LIKE 'S1-%')) AS BIGINT) AS n_s1, CAST(len(list_filter(x, v -> NOT regexp_matches(v, '^S[123]-'))) AS BIGINT) AS n_bad_prefix FROM l")
+def dq_prefix(spark, sf):
+    return P.list_problems(_lists(spark, sf), "s1_id", "ids").select("s1_id", "n_s1", "n_bad_prefix")
+
+
+@_q("dq_unknown_ids", f"WITH {_OUT}, i AS (SELECT s1_id, unnest(x) AS id FROM l) SELECT s1_id, id FROM i WHERE id NOT IN (SELECT entity_id FROM rec WHERE source <> 'S1')")
+def dq_unknown_ids(spark, sf):
+    known = records(spark, sf).filter("source <> 'S1'").select(F.col("entity_id").alias("id"))
+    return P.exploded(_lists(spark, sf), "s1_id", "ids").join(known, "id", "left_anti").select("s1_id", "id")
+
+
+@_q("dq_missing_extra", "SELECT 'missing' AS kind, c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT 'extra', o_custkey FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
+def dq_missing_extra(spark, sf):
+    c, o = _t(spark, sf, "customer").select(F.col("c_custkey").alias("id")), _t(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct()
+    side = lambda a, b, kind: a.join(b, "id", "left_anti").select(F.lit(kind).alias("kind"), "id")
+    return side(c, o, "missing").union(side(o, c, "extra"))
+
+
+@_q("dq_subset", f"WITH {_FEAT + _TRUTH} SELECT DISTINCT s1_id FROM truth t WHERE NOT EXISTS (SELECT 1 FROM cand c WHERE c.s1_id = t.s1_id AND c.target_id = t.target_id)")
+def dq_subset(spark, sf):
+    return truth(spark, sf).join(pairs(spark, sf)[1].select("s1_id", "target_id"), ["s1_id", "target_id"], "left_anti").select("s1_id").distinct()
+
+
+@_q("quality_flags", r"SELECT doc_id, regexp_matches(text, '[^\x00-\x7F]') AS non_ascii, regexp_matches(text, '[\x{C0}-\x{24F}]') AS accented, upper(text) = text AND regexp_matches(text, '[A-Z]') AS all_upper FROM documents")
+def quality_flags(spark, sf):
+    t = F.col("text")
+    return _t(spark, sf, "documents").select("doc_id", t.rlike(r"[^\x00-\x7F]").alias("non_ascii"), t.rlike(r"[\x{C0}-\x{24F}]").alias("accented"), ((F.upper(t) == t) & t.rlike("[A-Z]")).alias("all_upper"))
+
+
+@_q("features_full")
+def features_full(spark, sf):
+    n, p = pairs(spark, sf)
+    return L.string_features(p.select("s1_id", "target_id"), n)
+
+
+@_q("gbt_score")
+def gbt_score(spark, sf):
+    from tessera.operators import model
+
+    n, p = pairs(spark, sf)
+    rows = L.labelled(L.features(p, n), truth(spark, sf))
+    return model.predict(model.train(rows, L.FEATURES, 5, 3), rows).select("s1_id", "target_id", "label", "probability")
+
 
 def queries() -> dict:
-    return {}
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: re.sub(r"\b([a-z]) -> ", r"lambda \1: ", sql) for name, sql in _SQL.items()}
