@@ -576,12 +576,15 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each class, the one with the smallest id; of rows with that same id, one."""
+    """One document of each class, the one with the smallest id; of rows with that same id, one. Rows without id, if one of them is kept, all stay."""
     from pyspark.sql import Window
 
-    kept = C.handed(join(docs, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
-    rows = docs.alias("d").join(kept.select(F.col("doc_id").alias("kept_id")), F.col("d.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    if kept.filter("n > 1 AND doc_id IS NOT NULL").limit(1).count():
+    mine = F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")
+    by_id = C.handed(join(docs, percent).groupBy("doc_id").agg(F.sum(mine).alias("n")), "judged")
+    # most documents stay, so those that go are the smaller side
+    gone = C.handed(by_id.filter("n = 0").select(F.col("doc_id").alias("gone_id")), "gone")  # its size decides whether texts are shuffled
+    rows = docs.alias("d").join(gone, F.col("d.doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    if by_id.filter("n > 1 AND doc_id IS NOT NULL").limit(1).count():
         one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
         rows = rows.withColumn("_one", one).filter("_one = 1 OR doc_id IS NULL").drop("_one")
     return rows
