@@ -32,7 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return tokenids.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenids.write_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), memo=200_000)  # its workers have served the other stages
 
 
 STAGES = [

@@ -305,6 +305,7 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield from flush()
                 n = 0
         yield from flush()
+        C.release()
 
     C.prepare(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -39,9 +39,9 @@ from .components import components
 
 SIZE, PERCENT = 5, 75
 #: Shingles a worker gathers before it deals them out; shingles of a bucket; share of nodes and least number of a frequent shingle.
-CHUNK, BUCKET, HOT, HOT_LEAST, HOT_LOCAL = 2_000_000, 4_000_000, 0.002, 1000, 8
+CHUNK, BUCKET, HOT, HOT_LEAST, HOT_LOCAL = 1_500_000, 4_000_000, 0.002, 1000, 8
 #: Shingles of a group searched in one go; nodes that all blocks of a larger group hold; bytes of groups in a task; words a worker keeps.
-GROUP, HUBS, BIN, MEMO = 250_000, 32, 250_000, 400_000
+GROUP, HUBS, BIN, MEMO = 250_000, 32, 250_000, 250_000
 #: Frequencies are told apart up to here; the order needs no more. The frequent shingles' stands for all above.
 HOT_DF = 255
 #: Bits of a hash that are kept besides its bucket's number.
@@ -157,6 +157,8 @@ def describe(docs: DataFrame) -> DataFrame:
                 yield from heavy()
                 chunk = _Chunk()
         yield from heavy()
+        _HASHES.clear()
+        C.release()
 
     return docs.mapInArrow(run, "doc_id long, node long, n long, hot boolean")
 
@@ -188,7 +190,7 @@ def deal(docs: DataFrame, hot_path: str, buckets: int, parts: int) -> DataFrame:
             bucket, hashes, owner = bucket[order], keys_of(hashes[order], buckets), owner[order]
             cuts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1)).tolist()
             keys, blobs = [], []
-            for s, e in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+            for s, e in zip(cuts, [*cuts[1:], len(bucket)], strict=False):
                 who = owner[s:e]
                 run_at = np.flatnonzero(np.diff(who, prepend=-1))
                 keys.append(int(bucket[s]))
@@ -206,6 +208,8 @@ def deal(docs: DataFrame, hot_path: str, buckets: int, parts: int) -> DataFrame:
                     yield from out()
                     chunk = _Chunk()
         yield from out()
+        _HASHES.clear()
+        C.release()
 
     return docs.mapInArrow(run, "bucket int, data binary")
 
@@ -253,7 +257,7 @@ def share(dealt: DataFrame, buckets: int, parts: int) -> DataFrame:
         hashes, nodes, df, part = hashes[order], nodes[order], df[order], part[order]
         cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
         keys, blobs = [], []
-        for s, e in zip(cuts, [*cuts[1:], len(part)], strict=True):
+        for s, e in zip(cuts, [*cuts[1:], len(part)], strict=False):
             at = np.flatnonzero(np.concatenate([[True], nodes[s + 1 : e] != nodes[s : e - 1]]))
             keys.append(int(part[s]))
             blobs.append(_blob(hashes[s:e], nodes[s:e][at], np.diff(at, append=e - s).astype(np.uint32), df[s:e].astype(np.uint8)))
@@ -345,7 +349,7 @@ def meetings(nodes: DataFrame, buckets: int, percent: int = PERCENT) -> DataFram
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist()
             keys, blobs = [], []
-            for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            for s, e in zip(cuts, [*cuts[1:], len(order)], strict=False):
                 at = order[s:e]
                 keys.append(int(bucket[at[0]]))
                 blobs.append(_blob(hashes[at], names[who[at]], np.where(free[at], 0, n[who[at]]).astype(np.uint32)))
@@ -472,7 +476,7 @@ def search_groups(nodes: DataFrame, key: list[str], percent: int) -> DataFrame:
         order = np.lexsort((name, group))
         cuts = np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1)).tolist()
         a, b = [], []
-        for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True):
+        for s, e in zip(cuts, [*cuts[1:], len(order)], strict=False):
             at = order[s:e]
             root = search_group(n[at], [np.frombuffer(blobs[i], np.uint64) for i in at.tolist()], percent)
             a.append(name[at])

@@ -42,10 +42,11 @@ _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c !=
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, memo: int = MEMO) -> Encoder:
     """The encoder of this process; a worker keeps the words it knows from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].memo = memo
     return _ENCODERS[path]
 
 
@@ -93,6 +94,7 @@ class Encoder:
         self.hot: dict[str, bytes | bool] = {}  # the most frequent words, few enough for the processor's cache
         self.by_word = self.by_word and not any(t["content"].replace("|", "").isalpha() for t in about.get("added_tokens", []))
         self.end = np.zeros(1, self.dtype).tobytes()
+        self.memo = MEMO
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() if text else b""
@@ -102,9 +104,9 @@ class Encoder:
 
         Letters, then marks, then a line feed between two of these are pieces of their own to the pre-tokenizer, so such
         words are put together from their pieces, and kept only where the first piece was known; others go to the library as they are."""
-        if len(self.known) > MEMO:
+        if len(self.known) > self.memo:
             kept = {w: x for w, x in self.known.items() if x and len(x) <= 2 * self.dtype.itemsize}
-            self.known = kept if len(kept) < MEMO // 2 else {}
+            self.known = kept if len(kept) < self.memo // 2 else {}
             self.bare.clear()
         known, bare, odd, made, spaced, plain, out = self.known, self.bare, [], [], set(), set(), {}
         for w in words:
@@ -198,13 +200,13 @@ class Encoder:
         return ids or self.whole(before + " ".join(held))
 
 
-def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, memo: int = MEMO) -> DataFrame:
     """(doc_id, n_tokens, ids, counts): a row a document, and a last row of each task with its id counts (counts not null)."""
 
     def run(batches):
         import pyarrow as pa
 
-        encoder = encoder_of(tokenizer)
+        encoder = encoder_of(tokenizer, memo)
         counts = np.zeros(encoder.size, np.int64)
         gc.disable()  # the many short lists of words hold no cycles
         empty = pa.array([None], pa.binary())
@@ -216,6 +218,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
             gc.disable()
         gc.enable()
+        C.release()
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), empty, pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
@@ -374,12 +377,12 @@ def parse(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [None if x else int(y) for x, y in zip(null, names, strict=True)], sizes, ids
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
+def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, memo: int = MEMO) -> DataFrame:
     """Write the ids of all texts; return the manifest (part, file, path, n_docs, n_tokens, base), base being the ids before the file."""
     spark = docs.sparkSession
     C.prepare(spark)
     folder = folder or C.shared_dir(spark)
-    encoded = C.handed(encode(docs, tokenizer), "encoded", codec="snappy")
+    encoded = C.handed(encode(docs, tokenizer, memo), "encoded", codec="snappy")
     rows = C.small(id_counts(encoded), 1 << 20, "ids of the vocabulary")
     counts = np.zeros(max([r.id for r in rows], default=0) + 1, np.int64)
     for r in rows:
@@ -439,14 +442,18 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 ends = np.cumsum(sizes)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * (e - s) : 4 * e]) for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                if _ENCODERS:  # all texts are encoded by now
+                    _ENCODERS.clear()
+                    C.release()
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(ends - sizes + base), pa.array(sizes), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = C.partitions(manifest.sparkSession)
     return manifest.select("path", "base").repartition(n, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def write_and_read(docs: DataFrame, tokenizer: str) -> DataFrame:
-    return read_ids(write_ids(docs, tokenizer))
+def write_and_read(docs: DataFrame, tokenizer: str, memo: int = MEMO) -> DataFrame:
+    """memo: words a worker keeps; fewer take less memory and more time."""
+    return read_ids(write_ids(docs, tokenizer, memo=memo))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
