@@ -46,6 +46,59 @@ def script(c: Column) -> Column:
     return F.when(top == 0, "other").when(latin == top, F.when(F.greatest(*counts) == top, named).otherwise("latin")).otherwise(named)
 
 
+#: Readings of the Indic blocks, which share one layout: independent vowels from offset 0x05, consonants from 0x15, vowel signs from 0x3E.
+_VOWELS = "a ā i ī u ū r l e e e ai o o o au".split()
+_CONSONANTS = "k kh g gh n c ch j jh n t th d dh n t th d dh n n p ph b bh m y r r l l l v s s s h".split()
+_SIGNS = "ā i ī u ū r r e e e ai o o o au".split()
+_NUKTA, _VIRAMA = 0x3C, 0x4D
+_OTHER = {0x01: "m", 0x02: "n", 0x03: "h", 0x70: "n"} | {0x66 + d: str(d) for d in range(10)}
+
+
+def read_indic(text: str) -> str:
+    """Indic letters in Latin ones, other characters as they are: a consonant carries an a unless a vowel sign or the virama follows.
+
+    The bare a that ends a word of two letters or more is dropped; then marks go, the case is lowered and ph is read f."""
+    out, bare = [], False
+    for c in text:
+        at = ord(c) - 0x900
+        k = at % 0x80 if 0 <= at < 0x480 else -1
+        if bare and k not in (_NUKTA, _VIRAMA) and not 0x3E <= k <= 0x4C:
+            out.append("a")
+        if k == _NUKTA:
+            continue
+        bare = 0x15 <= k <= 0x39
+        if bare:
+            out.append(_CONSONANTS[k - 0x15])
+        elif 0x05 <= k <= 0x14:
+            out.append(_VOWELS[k - 0x05])
+        elif 0x3E <= k <= 0x4C:
+            out.append(_SIGNS[k - 0x3E])
+        elif k != _VIRAMA:
+            out.append(_OTHER.get(k, c))
+    words = ("".join(out) + "a" * bare).split()
+    plain = unicodedata.normalize("NFKD", " ".join(w[:-1] if len(w) > 1 and w[-1] == "a" else w for w in words))
+    return "".join(x for x in plain if not unicodedata.combining(x)).lower().replace("ph", "f")
+
+
+@F.pandas_udf(T.StringType())
+def transliterated(text: pd.Series, of: pd.Series) -> pd.Series:
+    """Texts whose script is Indic in Latin letters; others as they are."""
+    return pd.Series([read_indic(x) if x and s in SCRIPTS else x for x, s in zip(text, of, strict=True)], dtype="object")
+
+
+#: Patterns of postcodes, by country.
+IN_PIN = r"(?<!\d)([1-9]\d{2})\s?(\d{3})(?!\d)"
+US_ZIP = r"(?:\b[A-Za-z]{2}\s+|^\s*|,\s*)(\d{5})(?:-\d{4})?\s*(?:,|$)"
+FR_CP = r"(?:^|,)\s*(\d{5})(?!\s+(?:r\b|r\.|rue|av|bd|boulevard|chemin|place|all|impasse|route|quai|cours))(?:\s+[^\d,][^,]*)?\s*(?=,|$)"
+
+
+def postcode(address: Column, country: Column) -> Column:
+    """The first postcode of an address as its country writes it; null where there is none, and for other countries."""
+    pin = F.concat(*[F.regexp_extract(address, "(?U)" + IN_PIN, g) for g in (1, 2)])
+    found = F.when(country == "India", pin).when(country == "US", F.regexp_extract(address, "(?U)" + US_ZIP, 1)).when(country == "France", F.regexp_extract(address, "(?iU)" + FR_CP, 1))
+    return F.nullif(found, F.lit(""))
+
+
 #: Legal forms by country; keys are normalized before use.
 LEGAL = {
     "US": {"inc": "inc", "incorporated": "inc", "llc": "llc", "llp": "llp", "lp": "lp", "corp": "corp", "corporation": "corp", "co": "co", "company": "co", "ltd": "ltd", "limited": "ltd", "pllc": "pllc", "pc": "pc"},
@@ -93,14 +146,17 @@ def address_numbers(address: Column) -> Column:
 
 
 def normalized(df, name: str = "business_name", address: str = "business_address", country: str = "country", full: bool = False):
-    """The table with name_norm, name_core, name_sorted, name_compact, legal_form, is_domain, addr_norm, addr_components, addr_numbers, state_canon, city_canon, script."""
+    """The table with name_norm, name_core, name_sorted, name_compact, legal_form, is_domain, addr_norm, addr_components, addr_numbers, state_canon, city_canon, script, name_translit.
+
+    name_translit is name_core, in full mode with names of Indic scripts in Latin letters."""
     c = F.col(country)
     df = df.withColumn("name_norm", base_norm(F.col(name), full)).withColumn("is_domain", is_domain(F.col(name)))
     core, form = legal_form(tokens(F.col("name_norm")), c)
     core = F.when(F.col("is_domain"), F.filter(core, lambda x: ~x.isin(DOMAIN_TOKENS))).otherwise(core)
     df = df.withColumn("name_tokens", core).withColumn("legal_form", form).withColumn("addr_components", address_components(F.col(address), c))
+    joined = F.array_join("name_tokens", " ")
     return df.select(
-        *df.columns, F.array_join("name_tokens", " ").alias("name_core"), F.array_join(F.array_sort("name_tokens"), " ").alias("name_sorted"), F.array_join("name_tokens", "").alias("name_compact"),
+        *df.columns, joined.alias("name_core"), (transliterated(joined, script(F.col(name))) if full else joined).alias("name_translit"), F.array_join(F.array_sort("name_tokens"), " ").alias("name_sorted"), F.array_join("name_tokens", "").alias("name_compact"),
         F.array_join("addr_components", " ").alias("addr_norm"), address_numbers(F.col(address)).alias("addr_numbers"), script(F.col(name)).alias("script"),
         F.coalesce(F.try_element_at("addr_components", F.lit(-1)), F.lit("")).alias("state_canon"), F.coalesce(F.try_element_at("addr_components", F.lit(-2)), F.lit("")).alias("city_canon"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import similarity as S
+from tessera.functions import text as X
 
 FEATURES = ["name_core_exact", "name_compact_exact", "address_exact", "addr_number_overlap", "state_match", "city_match", "legal_form_match", "country_match", "name_len_diff", "address_len_diff", "addr_component_jaccard", "name_jaccard"]
 
@@ -63,12 +64,16 @@ def features(pairs: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def string_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """The pairs with the edit-based ratios of names and addresses: one Arrow call a text pair."""
-    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in ("name_core", "addr_norm")])
+    """The pairs with the edit-based ratios of names and addresses: one Arrow call a text pair.
+
+    name_best_ratio: where a side isn't latin, the better of the ratios of the names as written and of those in Latin letters."""
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in ("name_core", "name_translit", "addr_norm", "script")])
     both = pairs.join(side("a_", "s1_id"), "s1_id").join(side("b_", "target_id"), "target_id")
     both = both.withColumn("n", S.ratios("a_name_core", "b_name_core")).withColumn("d", S.ratios("a_addr_norm", "b_addr_norm"))
     both = both.withColumn("c", S.ratio(F.trim(F.concat_ws(" ", "a_name_core", "a_addr_norm")), F.trim(F.concat_ws(" ", "b_name_core", "b_addr_norm"))))
-    return both.select(*pairs.columns, F.col("n.ratio").alias("name_core_ratio"), F.col("n.partial").alias("name_core_partial"), F.col("n.token_set").alias("name_core_token_set"), F.col("n.token_sort").alias("name_core_token_sort"), F.col("d.ratio").alias("address_ratio"), F.col("d.partial").alias("address_partial"), F.col("c").alias("combined_ratio"))
+    other = (F.col("a_script") != "latin") | (F.col("b_script") != "latin")
+    best = F.when(other, F.greatest("n.ratio", S.ratio("a_name_translit", "b_name_translit"))).otherwise(F.col("n.ratio"))
+    return both.select(*pairs.columns, best.alias("name_best_ratio"), F.col("n.ratio").alias("name_core_ratio"), F.col("n.partial").alias("name_core_partial"), F.col("n.token_set").alias("name_core_token_set"), F.col("n.token_sort").alias("name_core_token_sort"), F.col("d.ratio").alias("address_ratio"), F.col("d.partial").alias("address_partial"), F.col("c").alias("combined_ratio"))
 
 
 def score(featured: DataFrame) -> DataFrame:
@@ -152,3 +157,9 @@ def nearest(queries: DataFrame, pool: DataFrame, k: int) -> DataFrame:
     sim = q.join(p, "gram").groupBy("s1_id", "target_id").agg(F.round(F.sum(F.col("v") * F.col("w")), 6).alias("similarity"))
     w = Window.partitionBy("s1_id").orderBy(F.desc("similarity"), "target_id")
     return sim.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def postcode_block(queries: DataFrame, pool: DataFrame, address: str = "business_address", country: str = "country") -> DataFrame:
+    """(s1_id, target_id) of records of one country with the same postcode; records without one are in no pair."""
+    side = lambda df, key: df.select(F.col("entity_id").alias(key), country, X.postcode(F.col(address), F.col(country)).alias("postcode")).filter("postcode IS NOT NULL")
+    return side(queries, "s1_id").join(side(pool, "target_id"), [country, "postcode"]).select("s1_id", "target_id", "postcode")

@@ -458,6 +458,26 @@ def quality_flags(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", t.rlike(r"[^\x00-\x7F]").alias("non_ascii"), t.rlike(r"[\x{C0}-\x{24F}]").alias("accented"), ((F.upper(t) == t) & t.rlike("[A-Z]")).alias("all_upper"))
 
 
+_ZIP = "CASE WHEN {0}_acctbal < 0 THEN {0}_name ELSE {0}_name || ', 12 Main St, CA ' || (10000 + {0}_nationkey * 1000 + {1} % 1000) || CASE WHEN {1} % 7 = 0 THEN '-0001' ELSE '' END END"
+_FOUND = "nullif(regexp_extract({0}, '" + X.US_ZIP.replace("{", "{{").replace("}", "}}") + "', 1), '')"
+
+
+def shops(spark, sf, table: str, prefix: str, key: str) -> DataFrame:
+    address = F.expr(_ZIP.format(prefix, key))
+    return _t(spark, sf, table).select(F.col(key).alias("entity_id"), address.alias("business_address"), F.lit("US").alias("country"))
+
+
+@_q("postcode", f"SELECT c_custkey AS entity_id, {_FOUND.format(_ZIP.format('c', 'c_custkey'))} AS postcode FROM customer")
+def postcode(spark, sf):
+    c = shops(spark, sf, "customer", "c", "c_custkey")
+    return c.select("entity_id", X.postcode(F.col("business_address"), F.col("country")).alias("postcode"))
+
+
+@_q("postcode_block", f"SELECT s1_id, target_id, postcode FROM (SELECT c_custkey AS s1_id, {_FOUND.format(_ZIP.format('c', 'c_custkey'))} AS postcode FROM customer) JOIN (SELECT s_suppkey AS target_id, {_FOUND.format(_ZIP.format('s', 's_suppkey'))} AS postcode FROM supplier) USING (postcode)")
+def postcode_block(spark, sf):
+    return L.postcode_block(shops(spark, sf, "customer", "c", "c_custkey"), shops(spark, sf, "supplier", "s", "s_suppkey"))
+
+
 @_q("features_full")
 def features_full(spark, sf):
     n, p = pairs(spark, sf)

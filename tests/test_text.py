@@ -24,6 +24,33 @@ def test_names(spark):
     assert one(spark, "ఆనంద్ ఫుడ్", country="India").script == "telugu"
 
 
+def test_translit(spark):
+    assert one(spark, "आनंद", country="India").name_translit == "anand"
+    assert one(spark, "शर्मा फल", country="India").name_translit == "sarma fal"
+    assert one(spark, "ఆనంద్ ఫుడ్", country="India").name_translit == "anand fud"
+    assert one(spark, "Crème Œuvre").name_translit == one(spark, "Crème Œuvre").name_core
+    assert X.read_indic("") == "" and X.read_indic("क १२") == "k 12"
+
+
+def test_postcodes(spark):
+    cases = [
+        ("12 MG Road, Pune 411 001", "India", "411001"), ("Pune 411001", "India", "411001"), ("No 0123456", "India", None), ("1234567", "India", None),
+        ("1 Main St, Reno, NV 89501-1234", "US", "89501"), ("12345 Main St", "US", None), ("1 Main St, 12345, US", "US", "12345"),
+        ("5 rue X, 75001 Paris", "France", "75001"), ("12345 rue de Lille, Paris", "France", None), ("75001", "Germany", None), (None, "US", None), ("", "France", None),
+    ]
+    d = spark.createDataFrame([(i, a, c) for i, (a, c, _) in enumerate(cases)], "i int, a string, c string")
+    got = {r.i: r.p for r in d.select("i", X.postcode(F.col("a"), F.col("c")).alias("p")).collect()}
+    assert [got[i] for i in range(len(cases))] == [x for _, _, x in cases]
+
+
+def test_best_ratio(spark):
+    names = [("S1-1", "Anand Foods"), ("S2-1", "आनंद"), ("S3-1", "Anand Foods")]
+    n = X.normalized(spark.createDataFrame([(i, x, "", "India") for i, x in names], "entity_id string, business_name string, business_address string, country string"), full=True)
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S3-1")], "s1_id string, target_id string")
+    got = {r.target_id: r for r in L.string_features(pairs, n).collect()}
+    assert got["S2-1"].name_best_ratio == S.indel("anand foods", "anand") > got["S2-1"].name_core_ratio and got["S3-1"].name_best_ratio == 1.0
+
+
 def test_addresses(spark):
     assert "rue de dieppe" in one(spark, "Ets Test SAS", "63 R. DE DIEPPE, LILLE", "France").addr_norm
     assert one(spark, "A", "N°237 R. DES BOIS BLANCS", "France").addr_numbers == ["237"]
