@@ -53,7 +53,7 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
 
 def list_problems(rows: DataFrame, key: str, ids: str) -> DataFrame:
     """(key, n_ids, has_duplicate, n_s1, n_bad_prefix) of comma-joined lists; empty items dropped."""
-    x = F.filter(F.transform(F.split(ids, ","), F.trim), lambda v: v != "")
+    x = F.filter(F.transform(F.split(ids, ","), lambda v: F.trim(v)), lambda v: v != "")
     return rows.select(key, x.alias("x")).select(key, F.size("x").cast("bigint").alias("n_ids"), (F.size("x") != F.size(F.array_distinct("x"))).alias("has_duplicate"), F.size(F.filter("x", lambda v: v.startswith("S1-"))).cast("bigint").alias("n_s1"), F.size(F.filter("x", lambda v: ~v.rlike("^S[123]-"))).cast("bigint").alias("n_bad_prefix"))
 
 
