@@ -1,10 +1,11 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest. DataFrame operations only.
 
-A candidate is what follows a keyword and a sign of assignment, or a run of at least 16 characters of keys that holds a digit.
+A candidate is what follows a keyword and a sign of assignment, or a run of at least 16 characters of keys that holds a digit or
+begins like a key of a known format.
 Its features are its length, shares and changes of character classes, the likelihood of its letter pairs, how much of it dictionary
 words cover, the path it comes from, and the words beside it. The forest (Spark ML's, in the JVM) is trained from
 labelled findings, a table of (candidate, before, after, path, label); where none is given, from LABELLED findings written
-by rule: keys of known formats and assignments, against commit and order numbers, identifiers, placeholders and names.
+by rule: keys of known formats and assignments, with digits and without, against commit and order numbers, identifiers, placeholders, words and names.
 
 The result has a row a candidate, with the probability that it is a secret and the verdict; the candidate itself shows only
 its first characters and its SHA-256. Null and empty texts have no candidates. Equal rows are searched one by one. A null path is an
@@ -49,7 +50,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, place, candidate, before, after, path), a row a candidate; place counts the text's matches from 0."""
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.regexp_extract_all("text", F.lit(_CANDIDATE), F.lit(0)).alias("found"), F.split("text", _CANDIDATE, -1).alias("parts")).filter(F.size("found") > 0)
     rows = F.transform("found", lambda x, i: F.struct(i.alias("place"), x.alias("raw"), F.right(F.element_at("parts", i + 1), F.lit(BESIDE)).alias("left"), F.left(F.element_at("parts", i + 2), F.lit(BESIDE)).alias("after")))
-    rows = F.filter(rows, lambda r: r["raw"].rlike("[0-9]"))
+    rows = F.filter(rows, lambda r: r["raw"].rlike(f"[0-9]|^{_ASSIGN}|{_KNOWN}"))
     out = cut.select("doc_id", "path", F.explode(rows).alias("r")).select("doc_id", "path", "r.*")
     value = F.regexp_replace("raw", f"^{_ASSIGN}", "")
     before = F.concat("left", F.substring("raw", F.lit(1), F.length("raw") - F.length(value)))
@@ -91,6 +92,7 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
     word = lambda salt: F.element_at(w, (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(DICTIONARY))) + 1).cast("int"))
     hexa = F.sha2(F.concat(F.lit("f"), F.col("id").cast("string")).cast("binary"), 256)
     b64 = F.translate(F.base64(F.unhex(hexa)), "+/=", "xY7")
+    letters = F.translate(b64, _DIGIT, "qWxZkVjQpG")
     digits = F.lpad(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(10**16)).cast("string"), 16, "4")
     joined = F.concat_ws("-", word(1), word(2), word(3), F.pmod("id", F.lit(99)).cast("string"))
     kinds = [
@@ -102,6 +104,9 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
         (joined, F.concat(word(7), F.lit(" ")), F.lit(" "), 0), (F.concat(F.lit("your_"), word(8), F.lit("_here1")), F.lit("password="), F.lit(" "), 0),
         (F.concat(F.lit("example-token-1234567"), word(9)), F.lit('token = "'), F.lit('"'), 0), (F.concat(word(1), F.lit("/"), word(2), F.lit("/"), word(3), F.lit("/v2")), F.lit("path "), F.lit(" "), 0),
         (F.concat(F.lit("xxxxxxxxxxxxxxxx"), F.pmod("id", F.lit(10)).cast("string")), F.lit("api_key='"), F.lit("'"), 0), (F.concat(word(1), word(2), word(3), F.lit("2")), F.lit("the "), F.lit(" "), 0),
+        (F.substring(letters, 1, 24), F.lit("api_key = "), F.lit(" "), 1), (F.concat(F.lit("AKIA"), F.upper(F.substring(letters, 1, 16))), F.concat(word(4), F.lit(" ")), F.lit(" "), 1),
+        (F.concat(F.initcap(word(1)), F.initcap(word(2)), F.initcap(word(3)), F.lit("!")), F.lit('password="'), F.lit('"'), 1), (F.concat(word(1), F.lit(".")), F.lit("the token: "), F.lit(" "), 0),
+        (F.concat_ws("_", word(1), word(2), word(3)), F.lit("secret = "), F.lit(" "), 0), (F.concat(F.lit("your_"), word(8), F.lit("_here")), F.lit('password="'), F.lit('"'), 0), (F.concat(F.lit("sk-"), F.concat_ws("-", word(1), word(2), word(3))), F.concat(word(7), F.lit(" ")), F.lit(" "), 0),
     ]
     pick = F.pmod("id", F.lit(len(kinds)))
     row = F.coalesce(*[F.when(pick == i, F.struct(c.alias("candidate"), b.alias("before"), a.alias("after"), F.lit(y).alias("label"))) for i, (c, b, a, y) in enumerate(kinds)])
