@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections import Counter
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +33,10 @@ dumm idioten trottel arschloch depp blöd blödmann dummkopf versager mist absch
 imbécile con connard salaud crétin abruti débile ordure merde nul raté bouffon
 estúpido imbécil tonto basura mierda cabrón payaso inútil asqueroso perdedor""".split()
 SECOND = "you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous votre vos usted ustedes ti tú tuyo vosotros".split()
-_LEET = bytes.maketrans(b"013457@$!", b"oieastasi")
+_MASKS = b"013457@$!"
+_LEET = bytes.maketrans(_MASKS, b"oieastasi")
+#: To words after undoing letter substitutions, and to the same words with the substitutions left in.
+_PLAIN, _KEPT = bytes(range(256)).translate(C.LOWER).translate(_LEET).translate(C.WORDS), bytes(b if b in _MASKS else C.WORDS[b] for b in range(256))
 #: Classes of bytes: 1 letter, 2 digit, 3 other ASCII that isn't white space, 0 white space.
 _CLASS = np.array([1 if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 2 if 48 <= b <= 57 else 0 if b in C.SPACES else 3 for b in range(256)], np.uint8)
 NAMES = ["lexicon", "unmasked", "markers", "marker_kinds", "near_second", "second", "capitals", "all_caps", "digits", "marks", "exclaim", "masked", "spaced", "mean_length", "log_words", "repeats", "lexicon_any", "markers_top"]
@@ -48,6 +51,7 @@ class Features:
         self.words = _vocabulary(SECOND, 2) | _vocabulary(LEXICON, 1)
         self.markers = {w.encode(): i + 1 for i, w in enumerate(markers)}
         self.weights = np.array([0.0, *markers.values()])
+        self.bad = (self.markers.keys() | _vocabulary(LEXICON, 1).keys()) - _vocabulary(SECOND, 2).keys()
 
     def __call__(self, text: bytes | None) -> list[float]:
         raw = text or b""
@@ -69,14 +73,15 @@ class Features:
         masked = int(((kind[:-2] == 1) & (kind[1:-1] > 1) & (kind[2:] == 1)).sum()) if len(kind) > 2 else 0
         swaps = 0
         if int(count[48:58].sum() + count[64] + count[36] + count[33]):
-            plain = raw.translate(C.LOWER).translate(_LEET).translate(C.WORDS).split()
-            swaps = sum(map((self.words | self.markers).__contains__, plain)) if len(plain) < 64 else int(np.count_nonzero(np.fromiter(map(self.words.get, plain, repeat(0)), np.int8, len(plain)) == 1))
+            plain = raw.translate(_PLAIN).split()
+            for word in compress(raw.translate(_KEPT).split(), map(self.bad.__contains__, plain)):
+                swaps += self.bad.isdisjoint(word.translate(C.WORDS).split())
         lex, own = int((kinds == 1).sum()), int((marks > 0).sum())
         size = len(raw)
         single = sum(len(w) == 1 for w in words)
         caps = sum(map(bytes.isupper, raw.split())) if count[65:91].sum() > 1 else 0
         return [
-            lex / n, max(0, swaps - lex) / n, own / n, float(len(np.unique(marks)) - 1 + (not (marks == 0).any())), near, len(second) / n,
+            lex / n, swaps / n, own / n, float(len(np.unique(marks)) - 1 + (not (marks == 0).any())), near, len(second) / n,
             float(count[65:91].sum()) / letters, caps / n, float(count[48:58].sum()) / size, float((kind == 3).sum()) / size, float(count[33]) / size,
             masked / n, single / n, size / n, math.log1p(n), 1 - len(set(words)) / n, float(lex > 0), float(self.weights[marks].max()),
         ]

@@ -186,6 +186,19 @@ def test_toxicity_learns(spark):
     assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in held) / len(held) > 0.98
 
 
+def test_unmasked_is_the_same_at_every_length():
+    f, at = toxicity.Features({"zork": 2.0, "you": 2.0, "n0b": 2.0}), toxicity.NAMES.index("unmasked")
+    plain = lambda s: "".join(dict(zip("013457@$!", "oieastasi", strict=True)).get(c, c) for c in s)
+    bad = {*toxicity.LEXICON, "zork", "n0b"} - set(toxicity.SECOND)
+    cases = [("you your z0rk", 1), ("1d1ot ID!OT idiot", 2), ("y0u n0b zork", 0), ("suck$ @$$hole 7", 1), ("z0rk, z0rk. blöd 5tupid", 3)]
+    for text, want in cases:
+        for n in (0, 50, 61, 64, 500):
+            whole = text + " the" * n
+            words = re.findall(r"(?:[0-9a-z@$!]|[^\x00-\x7F])+", low(whole))
+            assert sum(plain(w) in bad and bad.isdisjoint(W.findall(w)) for w in words) == want
+            assert f(whole.encode())[at] == want / len(W.findall(low(whole))), (text, n)
+
+
 def test_licenses():
     x = "All  rights-reserved. CC BY; cc_by x General Public License\nSPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND Apache-2.0"
     n, base, first, last, labels, every, score = licenses.scan(x.encode())
