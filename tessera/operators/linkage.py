@@ -11,6 +11,7 @@ from tessera.functions import similarity as S
 from tessera.functions import text as X
 
 FEATURES = ["name_core_exact", "name_compact_exact", "address_exact", "addr_number_overlap", "state_match", "city_match", "legal_form_match", "country_match", "name_len_diff", "address_len_diff", "addr_component_jaccard", "name_jaccard"]
+ALL_FEATURES = ["name_core_exact", "name_core_ratio", "name_core_partial", "name_core_token_set", "name_core_token_sort", "name_sorted_ratio", "name_compact_exact", "name_compact_ratio", "name_best_ratio", "address_exact", "address_ratio", "address_partial", "addr_component_jaccard", "addr_number_overlap", "state_match", "city_match", "legal_form_match", "country_match", "name_len_diff", "address_len_diff", "combined_ratio"]
 
 
 def block_keys(records: DataFrame) -> DataFrame:
@@ -67,13 +68,19 @@ def string_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """The pairs with the edit-based ratios of names and addresses: one Arrow call a text pair.
 
     name_best_ratio: where a side isn't latin, the better of the ratios of the names as written and of those in Latin letters."""
-    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in ("name_core", "name_translit", "addr_norm", "script")])
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), *[F.col(c).alias(p + c) for c in ("name_core", "name_sorted", "name_compact", "name_translit", "addr_norm", "script")])
     both = pairs.join(side("a_", "s1_id"), "s1_id").join(side("b_", "target_id"), "target_id")
     both = both.withColumn("n", S.ratios("a_name_core", "b_name_core")).withColumn("d", S.ratios("a_addr_norm", "b_addr_norm"))
     both = both.withColumn("c", S.ratio(F.trim(F.concat_ws(" ", "a_name_core", "a_addr_norm")), F.trim(F.concat_ws(" ", "b_name_core", "b_addr_norm"))))
     other = (F.col("a_script") != "latin") | (F.col("b_script") != "latin")
     best = F.when(other, F.greatest("n.ratio", S.ratio("a_name_translit", "b_name_translit"))).otherwise(F.col("n.ratio"))
-    return both.select(*pairs.columns, best.alias("name_best_ratio"), F.col("n.ratio").alias("name_core_ratio"), F.col("n.partial").alias("name_core_partial"), F.col("n.token_set").alias("name_core_token_set"), F.col("n.token_sort").alias("name_core_token_sort"), F.col("d.ratio").alias("address_ratio"), F.col("d.partial").alias("address_partial"), F.col("c").alias("combined_ratio"))
+    compact, sorts = S.ratio("a_name_compact", "b_name_compact").alias("name_compact_ratio"), S.ratio("a_name_sorted", "b_name_sorted").alias("name_sorted_ratio")
+    return both.select(*pairs.columns, best.alias("name_best_ratio"), sorts, compact, F.col("n.ratio").alias("name_core_ratio"), F.col("n.partial").alias("name_core_partial"), F.col("n.token_set").alias("name_core_token_set"), F.col("n.token_sort").alias("name_core_token_sort"), F.col("d.ratio").alias("address_ratio"), F.col("d.partial").alias("address_partial"), F.col("c").alias("combined_ratio"))
+
+
+def all_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """The pairs with ALL_FEATURES, set-based and edit-based."""
+    return string_features(features(pairs, records), records).select(*pairs.columns, *ALL_FEATURES)
 
 
 def score(featured: DataFrame) -> DataFrame:

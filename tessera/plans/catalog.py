@@ -481,7 +481,7 @@ def postcode_block(spark, sf):
 @_q("features_full")
 def features_full(spark, sf):
     n, p = pairs(spark, sf)
-    return L.string_features(p.select("s1_id", "target_id"), n)
+    return L.all_features(p.select("s1_id", "target_id"), n)
 
 
 @_q("gbt_score")
@@ -489,8 +489,8 @@ def gbt_score(spark, sf):
     from tessera.operators import model
 
     n, p = pairs(spark, sf)
-    rows = L.labelled(L.features(p, n), truth(spark, sf))
-    return model.predict(model.train(rows, L.FEATURES, 5, 3), rows).select("s1_id", "target_id", "label", "probability")
+    rows = L.labelled(L.all_features(p, n), truth(spark, sf))
+    return model.predict(model.train(rows, L.ALL_FEATURES), rows).select("s1_id", "target_id", "label", "probability")
 
 
 def queries() -> dict:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from tessera.functions import similarity as S
 from tessera.functions import text as X
 from tessera.operators import linkage as L
+from tessera.operators import model
+from tessera.plans import catalog
 from tessera.sources import tsv
 
 
@@ -51,6 +53,23 @@ def test_best_ratio(spark):
     assert got["S2-1"].name_best_ratio == S.indel("anand foods", "anand") > got["S2-1"].name_core_ratio and got["S3-1"].name_best_ratio == 1.0
 
 
+def test_all_features(spark, monkeypatch):
+    names = [("S1-1", "Sun Light Foods"), ("S2-1", "Foods SunLight"), ("S3-1", "Light Foods Sun")]
+    n = X.normalized(spark.createDataFrame([(i, x, "1 Main St, Rome", "US") for i, x in names], "entity_id string, business_name string, business_address string, country string"))
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S3-1")], "s1_id string, target_id string")
+    all_of = L.all_features(pairs, n)
+    assert all_of.columns == ["s1_id", "target_id", *L.ALL_FEATURES] and len(L.ALL_FEATURES) == 21
+    got = {r.target_id: r for r in all_of.collect()}
+    for i, name in (("S2-1", "foods sunlight"), ("S3-1", "light foods sun")):
+        want = S.indel("foods light sun", " ".join(sorted(name.split()))), S.indel("sunlightfoods", name.replace(" ", ""))
+        assert (got[i].name_sorted_ratio, got[i].name_compact_ratio) == want
+    used = []
+    monkeypatch.setattr(model, "train", lambda rows, features, trees=20, depth=4: used.append((features, trees, depth)))
+    monkeypatch.setattr(model, "predict", lambda m, rows: rows.withColumn("probability", F.lit(0.5)))
+    catalog.queries()["gbt_score"](spark, "/root/testdata/sf0.001")
+    assert used == [(L.ALL_FEATURES, 20, 4)]
+
+
 def test_addresses(spark):
     assert "rue de dieppe" in one(spark, "Ets Test SAS", "63 R. DE DIEPPE, LILLE", "France").addr_norm
     assert one(spark, "A", "N°237 R. DES BOIS BLANCS", "France").addr_numbers == ["237"]
