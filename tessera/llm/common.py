@@ -6,6 +6,7 @@ that one job writes for a later one goes there, so a lost executor costs a task
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -28,13 +29,21 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session; the setting holds when the lazy result runs."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Bound the Arrow batches of this session, where they are larger. The settings stay: a lazy result needs them when it runs."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key)
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
+#: Folders of this process's intermediates, deleted when it ends.
+_MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder URI under spark.checkpoint.dir; where that is unset, under the warehouse, or for a local master under a temporary folder."""
+    """A new folder URI under spark.checkpoint.dir; where that is unset, under the warehouse, or for a local master under a temporary folder.
+
+    A path without a scheme is one of Hadoop's default file system. The folder is deleted when the driver's Python ends, or by ``cleanup``."""
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -43,10 +52,28 @@ def shared_dir(spark: SparkSession) -> str:
             base = "file://" + os.path.join(tempfile.gettempdir(), "tessera-work")
         else:
             base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-    if "://" not in base:
-        base = base.removeprefix("file:") if base.startswith("file:") else base
-        base = "file://" + os.path.abspath(base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    _MADE.append(f"{qualified(spark, base).rstrip('/')}/{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI, by Hadoop's default file system where it has no scheme."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return uri if "://" in uri else uri.replace(":", "://", 1)
+
+
+def cleanup() -> None:
+    """Delete all folders that this process has made; results that still read from them are lost."""
+    while _MADE:
+        try:
+            fs, path = open_fs(_MADE.pop())
+            fs.delete_dir(path)
+        except OSError:
+            pass  # never written to, or its store is gone
+
+
+atexit.register(cleanup)
 
 
 def handed(df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
@@ -57,8 +84,9 @@ def handed(df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions(spark: SparkSession, amount: float = 0, each: float = 1) -> int:
+    """Tasks for so much input at so much a task, the session's shuffle partitions at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount) // int(each)))
 
 
 def open_fs(uri: str):

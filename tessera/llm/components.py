@@ -1,4 +1,8 @@
-"""Connected components of a graph in a table, by minimum labels and pointer jumping; no link or label leaves the executors."""
+"""Connected components of a graph in a table, by minimum labels and pointer jumping; no link or label leaves the executors.
+
+Links may come repeated, in either direction, and from a node to itself; a node with only itself is not returned. Links with a null
+end are left out. An empty table gives no rows. Other columns are ignored. A chain of n nodes takes some log2(n) rounds.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round gives a node the smallest label among its own and its neighbours', then that label's label. Labels of
     a round are written to the shared folder. A node with very many links is joined by the skew join."""
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()  # null ends fall out, too
     both = C.handed(both, "links")
     labels = C.handed(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "v"), "labels")
     while True:
