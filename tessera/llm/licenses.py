@@ -1,17 +1,18 @@
 """Licence statements: identifier tags and notice phrases by Aho-Corasick, licence expressions by shunting-yard.
 
-A text's words, lower-cased and joined by single spaces, run once through an automaton of all phrases, each between
-spaces, so a phrase is found wherever its words stand one after another, whatever stands between them. Where the words
-of a tag are found, the expressions after the tag are read from the text itself, put into postfix order with the
-precedence WITH, AND, OR, and evaluated: an identifier has the freedom of its licence, OR takes the larger,
-AND the smaller, WITH leaves the licence's but lifts strong copyleft to weak.
+A text's words, lower-cased and joined by single spaces, run once through an automaton of all phrases and tags, each
+between spaces, so a phrase is found wherever its words stand one after another, whatever stands between them. After the
+last word of a tag, and a colon or an equals sign, the rest of the line is an expression: it is put into postfix order
+with the precedence WITH, AND, OR, and evaluated. An identifier has the freedom of its licence, OR takes the larger, AND
+the smaller; WITH stands between a licence and an exception, both single identifiers, and lifts strong copyleft to weak.
+Anything else is not understood, and never an error.
 
 The score is the freedom that all statements of the text together leave (their smallest): 1 permissive or public domain,
 0.75 weak copyleft, 0.5 strong copyleft, 0.25 no commerce or no derivatives, 0.1 reserved or not understood,
 and 0 where nothing is stated.
 
 Null counts as empty: no words, no places, empty labels, score 0. Equal rows are answered one by one. An empty
-table gives no rows. Other columns are ignored.
+table gives no rows. Other columns are ignored. A very long text takes memory in proportion to itself, one text at a time.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ NOTICES = {
 }
 BASE_FREEDOM = {"cc-by": 1.0, "gpl": 0.5, "reserved": 0.1}
 TAGS = ("spdx license identifier", "license expression")
-_TAG = re.compile(r"(?i)(?:spdx-license-identifier|license-expression)[ \t]*[:=][ \t]*([^\r\n]*)")
+_AFTER_TAG = re.compile(rb"[ \t]*[:=][ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _RANK = {"OR": 1, "AND": 2, "WITH": 3}
 UNKNOWN = 0.1
@@ -90,23 +91,23 @@ def postfix(expression: str) -> list[str] | None:
 
 
 def evaluate(expression: str) -> tuple[list[str], float]:
-    """The licence identifiers of an expression, and the freedom that it leaves."""
+    """The licence identifiers of an expression, exceptions left out, and the freedom that it leaves."""
     tokens = postfix(expression)
     if tokens is None:
         return [], UNKNOWN
-    names, values = [], []
+    values: list[tuple[set[str], float, bool]] = []  # identifiers, freedom, whether it is a single identifier
     for t in tokens:
-        if t in _RANK:
-            b, a = values.pop(), values.pop()
-            if t == "WITH":
-                names.remove(b[0])
-                values.append((a[0], max(a[1], 0.75) if a[1] == 0.5 else a[1]))
-            else:
-                values.append(("", (max if t == "OR" else min)(a[1], b[1])))
+        if t not in _RANK:
+            values.append(({t}, freedom(t), True))
+            continue
+        (exception, other, single), (names, value, alone) = values.pop(), values.pop()
+        if t != "WITH":
+            values.append((names | exception, (max if t == "OR" else min)(value, other), False))
+        elif single and alone:
+            values.append((names, max(value, 0.75) if value == 0.5 else value, False))
         else:
-            names.append(t)
-            values.append((t, freedom(t)))
-    return sorted(set(names)), values[0][1]
+            return [], UNKNOWN
+    return sorted(values[0][0]), values[0][1]
 
 
 _AUTOMATON = []
@@ -127,31 +128,39 @@ def automaton():
 
 def scan(text: bytes | None) -> tuple[int, int, int | None, int | None, str, str, float]:
     """n_words, n_base, first_word, last_word, base_labels, labels, score of one text in UTF-8."""
-    words = (text or b"").translate(C.WORDS).split()
+    raw = text or b""
+    plain = raw.translate(C.WORDS)
+    words = plain.split()
     line = b" %s " % b" ".join(words)
     found = [(end, phrase) for end, phrase in automaton().iter(line.decode("latin-1"))]
     if not found:
         return len(words), 0, None, None, "", "", 0.0
-    base, own, values, tagged = set(), set(), [], False
-    starts = []
+    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    base, own, values, starts, ends = set(), set(), [], [], []
     for end, phrase in found:
         if phrase in BASE:
             base.add(BASE[phrase])
             starts.append(end - len(phrase) - 1)
-        if phrase in NOTICES:
+        elif phrase in NOTICES:
             label, value = NOTICES[phrase]
             own.add(label)
             values.append(value)
-        tagged |= phrase in TAGS
-    if tagged:
-        for m in _TAG.finditer(text.decode("utf-8", "replace")):
-            names, value = evaluate(m[1])
+        else:
+            ends.append(end)
+    if ends:
+        # where the words end in the text itself: the tag's last word is the one before the gap its match ends with
+        inside = np.concatenate([np.frombuffer(plain, np.uint8) != 32, [False]])
+        stops = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+        for last in (np.searchsorted(gaps, ends) - 1).tolist():
+            if (m := _AFTER_TAG.match(raw, int(stops[last]))) is None:
+                continue
+            names, value = evaluate(m[1].decode("utf-8", "replace"))
             own.update(f"spdx:{x.lower()}" for x in names)
             if not names:
                 own.add("spdx:invalid")
             values.append(value)
     values += [BASE_FREEDOM[x] for x in base]
-    at = np.searchsorted(np.flatnonzero(np.frombuffer(line, np.uint8) == 32), starts) if starts else None
+    at = np.searchsorted(gaps, starts) if starts else None
     first, last = (int(at.min()), int(at.max())) if starts else (None, None)
     return len(words), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(base | own)), min(values, default=0.0)
 
