@@ -2,22 +2,24 @@
 
 ``fingerprints`` gives each text the SHA-256 of its UTF-8 bytes without white space. ``build`` packs the
 distinct digests of the history into shards, each with a minimal perfect hash whose slots hold the full digest and
-the locator of the row that wins (most code points, then smallest id) with the number of its copies. ``absorb``
-looks the distinct digests of a new batch up: a member must equal the digest in its slot byte for byte, and may
-take the slot over; digests that are no members are grouped apart, in the shard's tail. ``resolve`` finds each
-row's digest by the same lookup and names the row that stays.
+the locator of the row that wins (most code points, then smallest id) with the number of its copies. Hash and slots are
+stored side by side, and every later step loads them as they are. ``absorb`` looks the distinct digests of a new batch up: a
+member must equal the digest in its slot byte for byte, and may take the slot over; digests that are no members are
+grouped apart, in the shard's tail. ``resolve`` finds each row's digest by the same lookup and names the row that stays.
 
-A shard holds about KEYS digests whatever the input's size. Rows of one shard are spread by their id over
-as many tasks as their number asks for (the shard is copied to each), and copies are counted before any shuffle, so
-a text that a third of all rows share burdens no task.
+A shard holds about KEYS digests whatever the input's size. Rows of one shard are spread by their id over as many tasks
+as their number asks for, against ROWS and against the mean shard (the shard is copied to each), and copies are counted
+before any shuffle, so a text that a third of all rows share burdens no task.
 
 Null counts as empty text; empty texts are copies of each other. Rows with the same id and text are separate rows
-of one group. A null id loses ties. An empty table gives no rows. Other columns are ignored.
+of one group. A null id loses ties; where all ids of a group are null, keep_id is null and all its rows are kept. An empty
+table gives no rows. Other columns are ignored. Of a very long text only the digest and size leave its batch.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +27,11 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-KEYS, ROWS = 50_000, 100_000
+#: Digests of a shard; rows of a task, at most and before a shard is split at all.
+KEYS, ROWS, LEAST = 50_000, 100_000, 1000
 #: Bits a key for each level of the hash; levels before the rest is kept as a sorted list.
 GAMMA, LEVELS = 2.0, 24
 
-_SHARD = "shard int, digest binary, size long, id long, n long"
-
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, size): size in code points of the whole text."""
@@ -56,39 +57,61 @@ def _mix(words: np.ndarray, level: int) -> np.ndarray:
 
 
 class PerfectHash:
-    """Minimal perfect hash of 32-byte digests: at each level the keys that hit a bit alone get it; the others go on."""
+    """Minimal perfect hash of 32-byte digests: at each level the keys that hit a bit alone get it; the others go on.
+
+    Kept are each level's bits, in 64-bit words, with the number of bits set before each word; a slot is a bit's rank."""
 
     def __init__(self, digests: np.ndarray):
         words = digests.view("<u8").reshape(-1, 4)
-        left, self.levels, self.rest = np.arange(len(words)), [], np.empty(0, "S32")
+        left, self.levels, start = np.arange(len(words)), [], 0
         for level in range(LEVELS):
             if not len(left):
                 break
             m = max(64, int(GAMMA * len(left)))
             at = (_mix(words[left], level) % np.uint64(m)).astype(np.int64)
             alone = np.bincount(at, minlength=m) == 1
-            self.levels.append(alone)
+            packed = np.packbits(alone, bitorder="little")
+            bits = np.frombuffer(packed.tobytes() + b"\0" * (-len(packed) % 8), "<u8")
+            ones = np.cumsum(np.bitwise_count(bits), dtype=np.int64)
+            self.levels.append((m, bits, start + ones - np.bitwise_count(bits)))
+            start += int(ones[-1])
             left = left[~alone[at]]
-        self.ranks = [np.cumsum(x) - x for x in self.levels]
-        self.starts = np.concatenate([[0], np.cumsum([int(x.sum()) for x in self.levels])]).astype(np.int64)
-        self.rest = np.sort(_keys(digests[left]))
+        self.start, self.rest = start, np.sort(_keys(digests[left]))
 
     def __call__(self, digests: np.ndarray) -> np.ndarray:
         """The slot of each digest; any slot, or -1, for one that is not a key."""
         words = digests.view("<u8").reshape(-1, 4)
         slots, left = np.full(len(words), -1, np.int64), np.arange(len(words))
-        for level, bits in enumerate(self.levels):
-            at = (_mix(words[left], level) % np.uint64(len(bits))).astype(np.int64)
-            hit = bits[at]
-            slots[left[hit]] = self.starts[level] + self.ranks[level][at[hit]]
+        for level, (m, bits, ranks) in enumerate(self.levels):
+            at = (_mix(words[left], level) % np.uint64(m)).astype(np.int64)
+            word, bit = bits[at >> 6], np.uint64(1) << (at & 63).astype(np.uint64)
+            hit = (word & bit) != 0
+            slots[left[hit]] = ranks[at[hit] >> 6] + np.bitwise_count(word[hit] & (bit[hit] - np.uint64(1)))
             left = left[~hit]
         if len(self.rest) and len(left):
             keys = _keys(digests[left])
             at = np.minimum(np.searchsorted(self.rest, keys), len(self.rest) - 1)
             same = self.rest[at] == keys
-            slots[left[same]] = self.starts[-1] + at[same]
+            slots[left[same]] = self.start + at[same]
         return slots
 
+    def dump(self) -> bytes:
+        head = struct.pack("<qqq", self.start, len(self.levels), len(self.rest))
+        return head + b"".join(struct.pack("<qq", m, len(bits)) + bits.tobytes() + ranks.astype("<i8").tobytes() for m, bits, ranks in self.levels) + self.rest.tobytes()
+
+    @classmethod
+    def load(cls, blob: bytes) -> PerfectHash:
+        """The hash that was dumped; its arrays are views of the bytes."""
+        self, at = cls.__new__(cls), 24
+        self.start, levels, rest = struct.unpack_from("<qqq", blob)
+        self.levels = []
+        for _ in range(levels):
+            m, n = struct.unpack_from("<qq", blob, at)
+            self.levels.append((m, np.frombuffer(blob, "<u8", n, at + 16), np.frombuffer(blob, "<i8", n, at + 16 + 8 * n)))
+            at += 16 + 16 * n
+        self.rest = np.frombuffer(blob, "S33", rest, at)
+        return self
+
 
 def _keys(digests: np.ndarray) -> np.ndarray:
     """As fixed-width strings that sort and compare; a last byte of one keeps trailing zero bytes."""
@@ -116,19 +139,22 @@ def _winner(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def build(history: DataFrame, shards: int) -> DataFrame:
-    """(shard, slots): the history's digests, a row for each shard, slots a serialized table in slot order."""
+    """(shard, hash, slots): the history's digests, a row for each shard: the perfect hash, and a serialized table in slot order."""
 
     def run(table):
         import pyarrow as pa
 
         digests = _digests(table.column("digest"))
-        slots = PerfectHash(digests)(digests)
+        found = PerfectHash(digests)
+        slots = found(digests)
         order = np.argsort(slots)
-        assert (slots[order] == np.arange(len(slots))).all()
-        return pa.table({"shard": table.column("shard")[:1], "slots": pa.array([_pack(table.take(order).select(["digest", "size", "id", "n"]))], pa.binary())})
+        if not (slots[order] == np.arange(len(slots))).all():
+            raise ValueError("a shard's hash is not minimal and perfect: does a digest stand in it twice?")
+        kept = _pack(table.take(order).select(["digest", "size", "id", "n"]))
+        return pa.table({"shard": table.column("shard")[:1], "hash": pa.array([found.dump()], pa.binary()), "slots": pa.array([kept], pa.binary())})
 
     keyed = _winner(history).withColumn("shard", shard_of(F.col("digest"), shards))
-    return keyed.select("shard", "digest", "size", "id", "n").groupBy("shard").applyInArrow(run, "shard int, slots binary")
+    return keyed.select("shard", "digest", "size", "id", "n").groupBy("shard").applyInArrow(run, "shard int, hash binary, slots binary")
 
 
 def _pack(table) -> bytes:
@@ -148,12 +174,14 @@ def _unpack(blob: bytes):
 
 
 class _Shard:
-    """A shard's members by perfect hash and its tail of digests that came later, by binary search."""
+    """A shard's members by its stored perfect hash; none where the shard is new."""
 
-    def __init__(self, members, tail=None):
-        self.member = [np.empty((0, 32), np.uint8), *[np.empty(0, np.int64)] * 3] if members is None else [_digests(members.column("digest")), *(np.array(members.column(c).to_numpy()) for c in ("size", "id", "n"))]
-        self.hash = PerfectHash(self.member[0])
-        self.tail = tail
+    def __init__(self, row):
+        self.blob = row.column("hash")[0].as_py() if row.num_rows else PerfectHash(np.empty((0, 32), np.uint8)).dump()
+        self.hash = PerfectHash.load(self.blob)
+        members = _unpack(row.column("slots")[0].as_py()) if row.num_rows else None
+        none = [np.empty((0, 32), np.uint8), *[np.empty(0, np.int64)] * 3]
+        self.member = none if members is None else [_digests(members.column("digest")), *(np.array(members.column(c).to_numpy()) for c in ("size", "id", "n"))]
 
     def find(self, digests: np.ndarray) -> np.ndarray:
         """The member slot of each digest whose bytes stand in the slot, else -1."""
@@ -164,18 +192,16 @@ class _Shard:
 
 
 def absorb(state: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
-    """(shard, slots, tail): the history with the batch looked up; members' locators updated, the others grouped in the tail."""
+    """(shard, hash, slots, tail): the history with the batch looked up; members' locators updated, the others grouped in the tail."""
 
     def run(left, right):
         import pyarrow as pa
 
-        members = _unpack(left.column("slots")[0].as_py()) if left.num_rows else None
-        shard = _Shard(members)
+        shard = _Shard(left)
         new = right.select(["digest", "size", "id", "n"]).combine_chunks()
         tail = new
         if new.num_rows:
-            digests = _digests(new.column("digest"))
-            slots = shard.find(digests)
+            slots = shard.find(_digests(new.column("digest")))
             size, ident, n = (new.column(c).to_numpy() for c in ("size", "id", "n"))
             known, (_, s, i, c) = slots >= 0, shard.member
             to = slots[known]  # the batch holds a digest once, so a slot comes once
@@ -186,22 +212,22 @@ def absorb(state: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
             tail = tail.take(np.argsort(_keys(_digests(tail.column("digest"))))) if tail.num_rows else tail
         d, s, i, c = shard.member
         kept = pa.table({"digest": pa.array([x.tobytes() for x in d], pa.binary()), "size": s, "id": i, "n": c})
-        return pa.table({"shard": (left if left.num_rows else right).column("shard")[:1], "slots": pa.array([_pack(kept)], pa.binary()), "tail": pa.array([_pack(tail)], pa.binary())})
+        name = (left if left.num_rows else right).column("shard")[:1]
+        return pa.table({"shard": name, "hash": pa.array([shard.blob], pa.binary()), "slots": pa.array([_pack(kept)], pa.binary()), "tail": pa.array([_pack(tail)], pa.binary())})
 
     keyed = _winner(batch).withColumn("shard", shard_of(F.col("digest"), shards)).select("shard", "digest", "size", "id", "n")
-    return state.groupBy("shard").cogroup(keyed.groupBy("shard")).applyInArrow(run, "shard int, slots binary, tail binary")
+    return state.groupBy("shard").cogroup(keyed.groupBy("shard")).applyInArrow(run, "shard int, hash binary, slots binary, tail binary")
 
 
 def resolve(rows: DataFrame, state: DataFrame, shards: int) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of each row."""
     keyed = rows.withColumn("shard", shard_of(F.col("digest"), shards))
-    share = C.handed(keyed.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / ROWS)).cast("int").alias("parts")), "shares")
-    hot = {r["shard"]: r["parts"] for r in C.small(share.filter("parts > 1"), shards, "shards with many rows")}
-    parts = F.lit(1)
-    if hot:
-        parts = F.coalesce(F.create_map(*[F.lit(x) for kv in hot.items() for x in kv])[F.col("shard")], F.lit(1))
-    dealt = keyed.withColumn("part", (F.abs(F.xxhash64("doc_id", "size")) % parts).cast("int"))
-    copies = state.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    each = min(ROWS, max(LEAST, 2 * rows.count() // shards))
+    split = keyed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / each).cast("int").alias("parts")).filter("parts > 1")
+    split = C.handed(split, "split")  # its size decides how it is joined
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = keyed.join(split, "shard", "left").withColumn("part", (F.abs(F.xxhash64("doc_id", "size")) % parts).cast("int")).drop("parts")
+    copies = state.join(split, "shard", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
 
     def run(left, right):
         import pyarrow as pa
@@ -209,7 +235,7 @@ def resolve(rows: DataFrame, state: DataFrame, shards: int) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64()), ("kept", pa.bool_()), ("text_sha256", pa.string())])
         if not left.num_rows:
             return schema.empty_table()
-        shard, tail = _Shard(_unpack(right.column("slots")[0].as_py())), _unpack(right.column("tail")[0].as_py())
+        shard, tail = _Shard(right), _unpack(right.column("tail")[0].as_py())
         digests = _digests(left.column("digest"))
         slots = shard.find(digests)
         keep, n = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64)
@@ -217,8 +243,9 @@ def resolve(rows: DataFrame, state: DataFrame, shards: int) -> DataFrame:
         keep[known], n[known] = shard.member[2][slots[known]], shard.member[3][slots[known]]
         if (~known).any():
             names, keys = _keys(_digests(tail.column("digest"))), _keys(digests[~known])
-            at = np.searchsorted(names, keys)
-            assert (names[at] == keys).all()
+            at = np.minimum(np.searchsorted(names, keys), max(0, len(names) - 1))
+            if not len(names) or not (names[at] == keys).all():
+                raise ValueError("a digest stands neither in its shard nor in the shard's tail")
             keep[~known], n[~known] = tail.column("id").to_numpy()[at], tail.column("n").to_numpy()[at]
         top = (1 << 63) - 1
         mine = left.column("doc_id").fill_null(top).to_numpy()
@@ -232,7 +259,7 @@ def dedup(history: DataFrame, batch: DataFrame) -> DataFrame:
     spark = history.sparkSession
     both = fingerprints(history.select("doc_id", "text")).withColumn("old", F.lit(True)).unionByName(fingerprints(batch.select("doc_id", "text")).withColumn("old", F.lit(False)))
     rows = C.handed(both, "fingerprints")
-    shards = max(C.partitions(spark), -(-rows.count() // KEYS))
+    shards = C.partitions(spark, rows.count(), KEYS)
     state = C.handed(absorb(build(rows.filter("old"), shards), rows.filter("not old"), shards), "state")
     return resolve(rows.drop("old"), state, shards)
 
