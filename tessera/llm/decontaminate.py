@@ -1,25 +1,31 @@
 """Benchmark passages in documents, by an FM-index of each shard of documents.
 
-A worker gathers documents to shards of about SHARD words. Words that no benchmark item has end a stretch (an
-occurrence can't contain one), and stretches shorter than the shortest window hold none; the word ids of all other
-stretches, with separators, are the text that the shard's FM-index is built of: suffix array by prefix doubling, its
-Burrows-Wheeler transform in a wavelet matrix, suffix positions sampled every SAMPLE words. All windows of the benchmark are
-searched backwards together, one rank query a word and bound; the rows found are walked to their sampled
-positions; and the spans of words are merged.
-
-A window is WINDOW consecutive words of an item, or all of a shorter item. The benchmark's windows are dealt into blocks of
-bounded size, files in the shared folder, and every shard is searched for one block after another: neither its
-growth nor that of the documents meets a bound. No rows are shuffled, whatever passage they share.
+All benchmark words have one numbering: the sorted 64-bit hashes of the distinct words, a file of eight bytes a word. (Two
+words are taken for one if their hashes agree: for 10^7 benchmark and 10^9 document words, a chance of 1 in 2,000 over all.) A
+worker encodes each document once and gathers documents to shards of about SHARD words. Words that no benchmark item has end
+a stretch (an occurrence can't contain one), and stretches shorter than the shortest window hold none; the word ids of all
+other stretches, with separators, are the text that the shard's one FM-index is built of: suffix array by prefix doubling, its
+Burrows-Wheeler transform in a wavelet matrix, suffix positions sampled every SAMPLE words. All windows of a block are
+searched backwards together, one rank query a word and bound; the rows found are walked to their sampled positions; and the
+spans of words are merged.
+
+A window is WINDOW consecutive words of an item, or all of a shorter item. Tasks deal the windows into blocks of at most
+BLOCK windows, arrays in files of the shared folder, and every shard is searched for one block after another; blocks of up to
+CACHE bytes stay in a worker, others are read again for each shard. So neither the benchmark's growth nor that of the documents
+meets a bound. No document rows are shuffled, whatever passage they share.
 
 Null and empty texts have no words; such items no windows. Equal rows are answered one by one; items with equal texts
-all count. Null item ids are left out. Empty tables give no rows, or no hits. Other columns are ignored.
+all count; texts with equal item ids are one item. Windows of items without an id hit, too, but are no items to be counted or named.
+Empty tables give no rows, or no hits. A text longer than SHARD is a shard by itself. Other columns are ignored by ``find`` and kept by
+``clean``, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-import pickle
-from itertools import repeat
+import io
+import uuid
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,26 +33,79 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-WINDOW, SHARD, SAMPLE, BLOCK_BYTES = 10, 2_000_000, 16, 16 << 20
+WINDOW, SHARD, SAMPLE = 10, 2_000_000, 16
+#: Windows of a block; bytes of items a task reads; bytes of blocks, and words with their ids, that a worker keeps.
+BLOCK, TASK_BYTES, CACHE, MEMO = 200_000, 4 << 20, 64 << 20, 250_000
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(C.WORDS).split()
+
+
+def hash_of(word: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(word)
+
+
+class Numbering(dict):
+    """Ids of words, 2 and up, by their place among the sorted hashes of the benchmark's words; 0 for other words."""
+
+    def __init__(self, path: str):
+        self.hashes = memoryview(C.read_bytes(path)).cast("Q")
+
+    def __missing__(self, word: bytes) -> int:
+        h = hash_of(word)
+        at = bisect_left(self.hashes, h)
+        found = self[word] = at + 2 if at < len(self.hashes) and self.hashes[at] == h else 0
+        return found
+
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > MEMO:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 class Phrases:
-    """The distinct windows of items, as rows of word ids (2 and up), and the items of each."""
-
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
-        self.ids: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
-        for name, text in items:
-            words = [self.ids.setdefault(w, len(self.ids) + 2) for w in (text or "").encode("utf-8", "replace").translate(C.WORDS).split()]
-            size = min(window, len(words))
-            for at in range(len(words) - size + 1) if size else ():
-                found.setdefault(tuple(words[at : at + size]), set()).add(name)
-        self.items = list(found.values())
-        self.sizes = np.array([len(w) for w in found], np.int64)
-        self.words = np.zeros((len(found), window), np.int64)
-        for row, w in zip(self.words, found, strict=True):
-            row[window - len(w) :] = w  # flush right: the search goes backwards
-        self.least = int(self.sizes.min(initial=window))
+    """A block: distinct windows as rows of word ids, flush right as the search goes backwards, and the items of each.
+
+    The items of window w are names[i] for i in owners[starts[w]:starts[w + 1]]."""
+
+    def __init__(self, sizes: np.ndarray, words: np.ndarray, starts: np.ndarray, owners: np.ndarray, names: list[str]):
+        self.sizes, self.words, self.starts, self.owners, self.names = sizes, words, starts, owners, names
+
+    @classmethod
+    def of(cls, found: dict[tuple[int, ...], set[str | None]], window: int) -> Phrases:
+        names = sorted({x for s in found.values() for x in s if x is not None})
+        number = {x: i for i, x in enumerate(names)}
+        owners = [sorted(number[x] for x in s if x is not None) for s in found.values()]
+        words = np.zeros((len(found), window), np.int32)
+        for row, w in zip(words, found, strict=True):
+            row[window - len(w) :] = w
+        return cls(np.array([len(w) for w in found], np.int64), words, np.cumsum([0, *map(len, owners)]), np.array([x for o in owners for x in o], np.int64), names)
+
+    def dump(self) -> bytes:
+        out = io.BytesIO()
+        names = [x.encode("utf-8", "surrogatepass") for x in self.names]
+        np.savez(out, sizes=self.sizes, words=self.words, starts=self.starts, owners=self.owners, names=np.frombuffer(b"".join(names), np.uint8), lengths=np.array([len(x) for x in names], np.int64))
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, blob: bytes) -> Phrases:
+        with np.load(io.BytesIO(blob)) as x:
+            raw, ends = x["names"].tobytes(), np.cumsum(x["lengths"]).tolist()
+            names = [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip([0, *ends], ends, strict=False)]
+            return cls(x["sizes"], x["words"], x["starts"], x["owners"], names)
+
+    def items(self, windows: np.ndarray) -> set[int]:
+        return {i for w in windows.tolist() for i in self.owners[self.starts[w] : self.starts[w + 1]].tolist()}
+
+
+class Benchmark:
+    """Where the numbering and the blocks are, and the size of the shortest window."""
+
+    def __init__(self, numbering: str, blocks: list[str], least: int):
+        self.numbering, self.blocks, self.least = numbering, blocks, least
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -159,55 +218,67 @@ class FMIndex:
         return out
 
 
-def search(ids: np.ndarray, ends: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, window, first word) of every occurrence. ids: word ids of all documents, 0 for others; ends: of each document."""
-    none = np.empty(0, np.int64)
-    if not len(phrases.items) or not len(ids):
-        return none, none, none
-    inside = ids > 0
-    edge = np.zeros(len(ids) + 1, bool)
-    edge[[0, len(ids)]] = True
-    edge[ends] = True
-    edge[1:-1] |= inside[1:] != inside[:-1]
-    starts = np.flatnonzero(edge)
-    sizes = np.diff(starts)
-    good = inside[starts[:-1]] & (sizes >= phrases.least)
-    starts, sizes = starts[:-1][good], sizes[good]
-    if not len(starts):
-        return none, none, none
-    # each stretch and a separator (id 1) after it; place: the word each symbol stands for
-    total = sizes + 1
-    offset = np.cumsum(total) - total
-    place = np.repeat(starts - offset, total) + np.arange(int(total.sum()))
-    text = ids[np.minimum(place, len(ids) - 1)].astype(np.int64)
-    text[offset + sizes] = 1
-    index = FMIndex(text)
-    low, high = index.count(phrases.words, phrases.sizes)
-    n = high - low
-    window = np.repeat(np.arange(len(n)), n)
-    rows = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + low[window]
-    word = place[index.locate(rows)]
-    return np.searchsorted(ends, word, side="right"), window, word
-
-
-def answers(names: list, sizes: list[int], words: list[np.ndarray], blocks: list[str]):
-    """The result rows of one shard. words: for each block, the ids of all its words."""
+class Shard:
+    """The stretches of some documents in one FM-index. ids: word ids of all documents, 0 for others; ends: of each document."""
+
+    def __init__(self, ids: np.ndarray, ends: np.ndarray, least: int):
+        self.ends, self.index = ends, None
+        inside = ids > 0
+        edge = np.zeros(len(ids) + 1, bool)
+        edge[[0, len(ids)]] = True
+        edge[ends] = True
+        edge[1:-1] |= inside[1:] != inside[:-1]
+        starts = np.flatnonzero(edge)
+        sizes = np.diff(starts)
+        good = inside[starts[:-1]] & (sizes >= least) if len(ids) else np.zeros(len(sizes), bool)
+        starts, sizes = starts[:-1][good], sizes[good]
+        if not len(starts):
+            return
+        # each stretch and a separator (id 1) after it; place: the word each symbol stands for
+        total = sizes + 1
+        offset = np.cumsum(total) - total
+        self.place = np.repeat(starts - offset, total) + np.arange(int(total.sum()))
+        text = ids[np.minimum(self.place, len(ids) - 1)].astype(np.int64)
+        text[offset + sizes] = 1
+        # the shard's own numbering, dense and in the same order, keeps the wavelet matrix low
+        self.symbols = np.unique(text)
+        self.index = FMIndex(np.searchsorted(self.symbols, text) + 1)
+
+    def find(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, window, first word) of every occurrence of a block's windows."""
+        none = np.empty(0, np.int64)
+        if self.index is None or not len(phrases.sizes):
+            return none, none, none
+        at = np.minimum(np.searchsorted(self.symbols, phrases.words), len(self.symbols) - 1)
+        known = self.symbols[at] == phrases.words
+        possible = np.flatnonzero((known | (phrases.words == 0)).all(1))
+        low, high = self.index.count(at[possible] + 1, phrases.sizes[possible])
+        n = high - low
+        window = np.repeat(possible, n)
+        rows = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        word = self.place[self.index.locate(rows)]
+        return np.searchsorted(self.ends, word, side="right"), window, word
+
+
+def answers(sizes: list[int], ids: np.ndarray, benchmark: Benchmark):
+    """n_hit, names of items and merged spans of each document of a shard."""
     ends = np.cumsum(sizes)
     hit = np.zeros(int(ends[-1]) + 1, np.int64)
     items: dict[int, set[str]] = {}
-    for ids, path in zip(words, blocks, strict=True):
+    shard = Shard(ids, ends, benchmark.least)
+    for path in benchmark.blocks if shard.index is not None else ():
         phrases = _phrases(path)
-        doc, window, word = search(ids, ends, phrases)
+        doc, window, word = shard.find(phrases)
         np.add.at(hit, word, 1)
         np.add.at(hit, word + phrases.sizes[window], -1)
-        for d, w in np.unique(np.stack([doc, window], 1), axis=0).tolist():
-            items.setdefault(d, set()).update(phrases.items[w])
+        pairs = np.unique(np.stack([doc, window], 1), axis=0)
+        for of in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1) if len(pairs) else ():
+            items.setdefault(int(of[0, 0]), set()).update(phrases.names[i] for i in phrases.items(of[:, 1]))
     covered = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
     n_hit = covered[ends] - covered[ends - np.array(sizes)]
-    found = [sorted(items.get(d, ())) for d in range(len(names))]
-    sha = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in found]
+    found = [sorted(items.get(d, ())) for d in range(len(sizes))]
     marks = [_spans(hit, e - s, e) if n else [] for s, e, n in zip(sizes, ends.tolist(), n_hit.tolist(), strict=True)]
-    return n_hit, [len(x) for x in found], sha, marks
+    return n_hit, found, marks
 
 
 def _spans(hit: np.ndarray, start: int, end: int) -> list[int]:
@@ -218,56 +289,122 @@ def _spans(hit: np.ndarray, start: int, end: int) -> list[int]:
 
 
 _LOADED: dict[str, Phrases] = {}
+_NUMBERINGS: dict[str, Numbering] = {}
 
 
 def _phrases(path: str) -> Phrases:
-    if path not in _LOADED:
-        _LOADED.clear()
-        _LOADED[path] = pickle.loads(C.read_bytes(path))
-    return _LOADED[path]
+    """A block; kept as long as all that are kept take CACHE bytes at most, so the blocks of a small benchmark are read once."""
+    if path in _LOADED:
+        return _LOADED[path]
+    found = Phrases.load(C.read_bytes(path))
+    if sum(x.words.nbytes for x in _LOADED.values()) + found.words.nbytes <= CACHE:
+        _LOADED[path] = found
+    return found
+
 
+def _numbering(benchmark: Benchmark) -> Numbering:
+    if benchmark.numbering not in _NUMBERINGS:
+        _NUMBERINGS.clear(), _LOADED.clear()
+        _NUMBERINGS[benchmark.numbering] = Numbering(benchmark.numbering)
+    return _NUMBERINGS[benchmark.numbering]
 
-def blocks_of(items: DataFrame, window: int = WINDOW) -> list[str]:
-    """Write the windows in blocks of at most about BLOCK_BYTES of text; return the paths."""
+
+def prepared(items: DataFrame, window: int = WINDOW) -> Benchmark:
+    """Number the words of the items and write their windows in blocks."""
     spark = items.sparkSession
-    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item_id")), F.lit(0))).first()[0]
-    n, folder, paths = max(1, -(-total // BLOCK_BYTES)), C.shared_dir(spark), []
-    for b in range(n):
-        some = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-        phrases = Phrases([(r.item_id, r.text) for r in some.toLocalIterator()], window)
-        paths.append(f"{folder}/phrases-{b:05d}")
-        C.write_bytes(paths[-1], pickle.dumps(phrases, protocol=5))
-    return paths
+    C.prepare(spark)
+    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL")
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    folder = C.shared_dir(spark)
+
+    def distinct(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = {hash_of(w) for text in C.byte_rows(batch.column(1)) for w in words_of(text)}
+            yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(found, np.uint64, len(found)).view(np.int64))], names=["h"])
+
+    def merged(batches):
+        import pyarrow as pa
+
+        # hashes come ascending as signed numbers: those of the upper half first
+        path = f"{folder}/numbering-{uuid.uuid4().hex}"
+        signed = np.concatenate([np.empty(0, np.int64), *(batch.column(0).to_numpy() for batch in batches)])
+        C.write_bytes(path, np.roll(signed, -int((signed < 0).sum())).view(np.uint64).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    # one task, eight bytes a distinct word of the benchmark
+    hashes = rows.mapInArrow(distinct, "h long").distinct().repartition(1).sortWithinPartitions("h")
+    written = C.handed(hashes.mapInArrow(merged, "path string"), "numbering").first()
+    numbering = written["path"] if written else f"{folder}/numbering-none"
+    if written is None:  # no words, so perhaps no task
+        C.write_bytes(numbering, b"")
+
+    def blocks(batches):
+        import pyarrow as pa
+
+        def flush():
+            path = f"{folder}/windows-{uuid.uuid4().hex}"
+            C.write_bytes(path, Phrases.of(found, window).dump())
+            row = pa.RecordBatch.from_arrays([pa.array([path]), pa.array([min(map(len, found))], pa.int64())], names=["path", "least"])
+            found.clear()
+            return row
+
+        number, found = Numbering(numbering), {}
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), C.byte_rows(batch.column(1)), strict=True):
+                ids = number.encode(words_of(text)).tolist()
+                size = min(window, len(ids))
+                for at in range(len(ids) - size + 1) if size else ():
+                    found.setdefault(tuple(ids[at : at + size]), set()).add(name)
+                    if len(found) >= BLOCK:
+                        yield flush()
+        if found:
+            yield flush()
+
+    dealt = rows.repartition(max(1, -(-total // TASK_BYTES)), F.xxhash64("item_id", "text"))
+    paths = C.handed(dealt.mapInArrow(blocks, "path string, least long"), "blocks")
+    # a path a block: 10^12 bytes of benchmark are some 10^6 blocks
+    found = C.small(paths, 1 << 22, "blocks of benchmark windows")
+    return Benchmark(numbering, sorted(r["path"] for r in found), min((r["least"] for r in found), default=window))
+
+
+class _Gathered:
+    """Sizes and word ids of the documents of a shard, as they come."""
+
+    def __init__(self):
+        self.sizes, self.ids, self.n = [], [], 0
+
+    def add(self, text: bytes | None, number: Numbering) -> None:
+        words = words_of(text)
+        self.sizes.append(len(words))
+        self.ids.append(number.encode(words))
+        self.n += len(words)
 
 
 def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans): spans as starts and ends of words in turn."""
-    blocks = blocks_of(items, window)
+    benchmark = prepared(items, window)
 
     def run(batches):
         import pyarrow as pa
 
         def flush():
-            if not names:
-                return
-            n_hit, n_items, sha, spans = answers(names, sizes, [np.concatenate(x) for x in held], blocks)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(sha), pa.array(n_hit > 0), pa.array(spans, pa.list_(pa.int64()))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-            names.clear(), sizes.clear(), [x.clear() for x in held]
+            n_hit, found, spans = answers(held.sizes, np.concatenate(held.ids), benchmark)
+            sha = [hashlib.sha256(",".join(x).encode("utf-8", "surrogatepass")).hexdigest() for x in found]
+            columns = [pa.array(names, pa.int64()), pa.array(held.sizes, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0), pa.array(spans, pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
 
-        names, sizes, held, n = [], [], [[] for _ in blocks], 0
+        number, names, held = _numbering(benchmark), [], _Gathered()
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), C.byte_rows(batch.column(1)), strict=True):
-                words = (text or b"").translate(C.WORDS).split()
                 names.append(name)
-                sizes.append(len(words))
-                for x, path in zip(held, blocks, strict=True):
-                    x.append(np.fromiter(map(_phrases(path).ids.get, words, repeat(0)), np.int32, len(words)))
-                n += len(words)
-                if n >= SHARD:
-                    yield from flush()
-                    n = 0
-        yield from flush()
+                held.add(text, number)
+                if held.n >= SHARD:
+                    yield flush()
+                    names, held = [], _Gathered()
+        if names:
+            yield flush()
 
     C.prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<long>")
@@ -275,36 +412,29 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents, with all their columns, in which no window of an item occurs."""
-    blocks, at = blocks_of(items, window), docs.columns.index("text")
+    benchmark, at = prepared(items, window), docs.columns.index("text")
 
     def run(batches):
         import pyarrow as pa
 
         def flush():
-            if not kept:
-                return
-            n_hit = answers([None] * len(sizes), sizes, [np.concatenate(x) for x in held], blocks)[0]
-            start = 0
+            n_hit, start = answers(held.sizes, np.concatenate(held.ids), benchmark)[0], 0
             for batch in kept:
                 yield batch.filter(pa.array(n_hit[start : start + batch.num_rows] == 0))
                 start += batch.num_rows
-            kept.clear(), sizes.clear(), [x.clear() for x in held]
 
-        kept, sizes, held, n = [], [], [[] for _ in blocks], 0
+        number, kept, held = _numbering(benchmark), [], _Gathered()
         for batch in batches:
             if not batch.num_rows:
                 continue
             kept.append(batch)
             for text in C.byte_rows(batch.column(at)):
-                words = (text or b"").translate(C.WORDS).split()
-                sizes.append(len(words))
-                for x, path in zip(held, blocks, strict=True):
-                    x.append(np.fromiter(map(_phrases(path).ids.get, words, repeat(0)), np.int32, len(words)))
-                n += len(words)
-            if n >= SHARD:
+                held.add(text, number)
+            if held.n >= SHARD:
                 yield from flush()
-                n = 0
-        yield from flush()
+                kept, held = [], _Gathered()
+        if kept:
+            yield from flush()
         C.release()
 
     C.prepare(docs.sparkSession)
