@@ -1,7 +1,7 @@
 """WARC archives with a two-level capture index.
 
-``write`` stores a record per page, each compressed by itself, in files of bounded size: the payload for a response; for a
-revisit only the reference. Of payloads of at least REVISIT bytes that are equal (SHA-1 and length) the largest page id is
+``write`` stores a record per page, each compressed by itself, in files of bounded size that begin with a warcinfo record: an HTTP
+message with the payload for a response; for a revisit its head and the reference. Of payloads of at least REVISIT bytes that are equal (SHA-1 and length) the largest page id is
 the response. ``index`` sorts the captures by reversed-host URL key, then page id, into compressed blocks of LINES captures,
 and keeps of each block its first capture, its file and its place: the sparse directory, itself split by part file, with
 a top level of one entry a part. ``lookup`` finds the part of a capture in the top level, its block in the part's
@@ -13,7 +13,7 @@ payloads are reduced to their response before any shuffle; joining it back is le
 
 Null html is an empty payload; a null URL has the key ")". Rows with equal id and payload are one capture each, all of the same
 type, with the same answer. Null ids sort first and are never a response that others refer to. An empty table gives no
-files and no rows. Other columns are ignored.
+files and no rows. Other columns are ignored. A very long payload is one record, and takes memory in proportion to itself.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from . import common as C
 
 #: Smallest payload that is replaced by a revisit; bytes of an archive; captures of a block; captures of an index part.
 REVISIT, FILE_BYTES, LINES, PART = 1000, 32 << 20, 500, 50_000
-#: Ranges closer than this are read at once, up to so many bytes.
-GAP, READ = 64 << 10, 8 << 20
+#: Ranges closer than this are read at once, up to so many bytes; bytes of records that a task reads.
+GAP, READ, TASK_BYTES = 64 << 10, 8 << 20, 64 << 20
 _RECORDS = "key string, page_id long, path string, offset long, length long"
 
 
@@ -49,19 +49,28 @@ def rank(page_id: int | None) -> int:
     return -(1 << 63) if page_id is None else page_id
 
 
+def _packed(head: list[str], body: bytes) -> bytes:
+    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return pack.compress("\r\n".join([*head, f"Content-Length: {len(body)}", "", ""]).encode() + body + b"\r\n\r\n") + pack.flush()
+
+
+def info(name: str, stamp: str) -> bytes:
+    """The warcinfo record that a file begins with."""
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>", f"WARC-Date: {stamp}", f"WARC-Filename: {name}", "Content-Type: application/warc-fields"]
+    return _packed(head, b"software: tessera\r\nformat: WARC File Format 1.1\r\n")
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, stamp: str) -> bytes:
     """One compressed record. The digest is hex; in the archive it stands in base 32, as usual there."""
     sha = "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
-    body = payload if refers_to is None else b""
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        f"WARC-Date: {stamp}", f"WARC-Target-URI: {re.sub(r'[\x00-\x20]', '', url or '')}", f"WARC-Payload-Digest: {sha}", f"WARC-Payload-Length: {len(payload)}",
+        f"WARC-Date: {stamp}", f"WARC-Target-URI: {re.sub(r'[\x00-\x20]', '', url or '')}", f"WARC-Payload-Digest: {sha}",
     ]
     if refers_to is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
-    head += ["Content-Type: text/html", f"Content-Length: {len(body)}", "", ""]
-    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-    return pack.compress("\r\n".join(head).encode() + body + b"\r\n\r\n") + pack.flush()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    return _packed([*head, "Content-Type: application/http; msgtype=response"], http + (payload if refers_to is None else b""))
 
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -69,11 +78,18 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     raw = zlib.decompress(data, 31)
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
-    n = int(fields["Content-Length"])
-    assert raw.startswith(b"WARC/1.1\r\n") and rest[n:] == b"\r\n\r\n"
+    n = int(fields.get("Content-Length", -1))
+    if not raw.startswith(b"WARC/1.1\r\n") or rest[n:] != b"\r\n\r\n":
+        raise ValueError("not a WARC record")
     return fields, rest[:n]
 
 
+def payload_of(block: bytes) -> tuple[int, bytes]:
+    """The length that the HTTP head of a block gives, and what follows the head."""
+    head, _, body = block.partition(b"\r\n\r\n")
+    return int(re.search(rb"(?i)\r\ncontent-length: (\d+)", head)[1]), body
+
+
 def revisits(pages: DataFrame) -> DataFrame:
     """(page_id, digest, refers_to) of the pages that revisit another."""
     about = pages.filter(F.col("bytes") >= REVISIT).select("page_id", "digest", "bytes")
@@ -101,10 +117,11 @@ def write(pages: DataFrame, folder: str | None = None, stamp: str = "2024-01-01T
                 found = []
                 for page, url, payload, digest, refers in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                     if out is None:
-                        path, at = f"{folder}/pages-{uuid.uuid4().hex}.warc.gz", 0
+                        path = f"{folder}/pages-{uuid.uuid4().hex}.warc.gz"
                         fs, local = C.open_fs(path)
                         fs.create_dir(local.rpartition("/")[0], recursive=True)
                         out = fs.open_output_stream(local, compression=None)
+                        at = out.write(info(local.rpartition("/")[2], stamp))
                     data = record(page, url, payload, digest, refers, stamp)
                     out.write(data)
                     found.append((surt(url), page, path, at, len(data)))
@@ -125,7 +142,7 @@ def index(captures: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the index blocks; return the directory (part, key, page_id, path, offset, length), the first capture of each block."""
     spark = captures.sparkSession
     folder = folder or C.shared_dir(spark)
-    parts = max(C.partitions(spark), -(-captures.count() // PART))
+    parts = C.partitions(spark, captures.count(), PART)
 
     def run(batches):
         import pyarrow as pa
@@ -206,8 +223,9 @@ def lookup(wanted: DataFrame, directory: DataFrame) -> DataFrame:
     return asked.groupBy("part").cogroup(directory.groupBy("part")).applyInArrow(find, "page_id long, path string, offset long, length long")
 
 
-def fetch(places: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the records at the places; responses are checked against their digest."""
+def fetch(places: DataFrame, size: int = 0) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the records at the places; responses are checked against
+    their digest. size: bytes of the records in all, for the number of tasks."""
 
     def run(batches):
         import pyarrow as pa
@@ -229,10 +247,12 @@ def fetch(places: DataFrame) -> DataFrame:
                     opened = fs.open_input_file(local)
                 data = opened.read_at(end - start, start)
                 for _, at, n in rows[i : j + 1]:
-                    fields, body = parse(data[at - start : at - start + n])
+                    fields, block = parse(data[at - start : at - start + n])
+                    size, body = payload_of(block)
                     kind, digest = fields["WARC-Type"], base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-                    size, refers = int(fields["WARC-Payload-Length"]), fields.get("WARC-Refers-To")
-                    assert kind == "revisit" or (hashlib.sha1(body).hexdigest() == digest and len(body) == size), "a record doesn't hold its payload"
+                    refers = fields.get("WARC-Refers-To")
+                    if kind != "revisit" and (hashlib.sha1(body).hexdigest() != digest or len(body) != size):
+                        raise ValueError("a record doesn't hold its payload")
                     page = fields["WARC-Record-ID"][10:-1]
                     found.append((int(page) if page else None, size, digest, kind, int(refers[10:-1]) if refers else None))
                 i = j + 1
@@ -241,7 +261,7 @@ def fetch(places: DataFrame) -> DataFrame:
         if opened is not None:
             opened.close()
 
-    n = C.partitions(places.sparkSession)
+    n = C.partitions(places.sparkSession, size, TASK_BYTES)
     ordered = places.select("path", "offset", "length").repartition(n, "path", F.floor(F.col("offset") / READ)).sortWithinPartitions("path", "offset")
     return ordered.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
@@ -249,7 +269,8 @@ def fetch(places: DataFrame) -> DataFrame:
 def archive(pages: DataFrame) -> DataFrame:
     """Write the pages and their index, look every page up and read it back."""
     captures = write(pages)
-    return fetch(lookup(pages, index(captures)))
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return fetch(lookup(pages, index(captures)), size)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
