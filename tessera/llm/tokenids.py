@@ -2,12 +2,13 @@
 
 ``encode`` turns texts into ids, ``write_ids`` writes them in ascending document order to files of independent
 blocks, coded by one canonical length-limited Huffman code over the global id counts, and ``read_ids`` reads
-the files back. Every block starts on a byte and carries the bit offset of every ``CHECKPOINT``-th id, so any
-block, and any stretch between checkpoints, decodes by itself; the decoder walks all stretches of a file at once
-through one table lookup an id.
+the files back. Every block starts on a byte and carries the bit offset of every ``CHECKPOINT``-th id, and a file's head
+has the place of every block, so any stretch between checkpoints decodes by itself: ``read_stretch`` reads only the ranges of
+a file that hold the ids asked for. The decoder walks all stretches at once through one table lookup an id.
 
 Null and empty texts hold only the end id. Rows with equal document id keep the order of their length and ids;
-null ids come first. An empty table gives no files and no rows. Other columns of the input are ignored.
+null ids come first. An empty table gives no files and no rows. Other columns of the input are ignored. A very long text
+is one row of ids, and one file if it has FILE_IDS or more.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-MAGIC = b"TIDS0001"
-#: Ids of a block, ids between two checkpoints, longest code in bits, ids of a file.
-BLOCK, CHECKPOINT, MAX_BITS, FILE_IDS = 1 << 16, 256, 18, 2_000_000
+MAGIC = b"TIDS0002"
+_HEAD = struct.Struct("<8sIIIQII")
+#: Ids of a block, ids between two checkpoints, longest code in bits, ids of a file, ids that a task writes, files that a task reads.
+BLOCK, CHECKPOINT, MAX_BITS, FILE_IDS, TASK_IDS, TASK_FILES = 1 << 16, 256, 18, 2_000_000, 32_000_000, 16
 #: Words whose ids one worker keeps; of these, the frequent ones that are asked first.
 MEMO, HOT = 1_000_000, 1 << 14
 
@@ -307,17 +309,19 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
 
 
 def file_bytes(doc_ids: list, sizes: np.ndarray, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> bytes:
-    """One file: the code lengths, the document table, then the blocks."""
+    """One file: the code lengths, the document table, the places of the blocks, then the blocks."""
     table = zlib.compress(lengths.tobytes(), 6)
     null = np.array([x is None for x in doc_ids], np.uint8)
     names = np.array([x or 0 for x in doc_ids], "<i8")
     about = zlib.compress(null.tobytes() + names.tobytes() + sizes.astype("<i8").tobytes(), 6)
-    out = [MAGIC, struct.pack("<IIIQII", len(lengths), len(table), len(doc_ids), len(ids), len(about), (len(ids) + BLOCK - 1) // BLOCK), table, about]
+    blocks = []
     for at in range(0, len(ids), BLOCK):
         part = ids[at : at + BLOCK]
         data, marks = pack(part, codes, lengths)
-        out += [struct.pack("<III", len(part), len(marks), len(data)), marks.tobytes(), data]
-    return b"".join(out)
+        blocks.append(struct.pack("<III", len(part), len(marks), len(data)) + marks.tobytes() + data)
+    first = _HEAD.size + len(table) + len(about) + 8 * (len(blocks) + 1)
+    places = np.cumsum([first, *map(len, blocks)]).astype("<i8")
+    return b"".join([_HEAD.pack(MAGIC, len(lengths), len(table), len(doc_ids), len(ids), len(about), len(blocks)), table, about, places.tobytes(), *blocks])
 
 
 def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -332,49 +336,87 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     return ids, size, bits
 
 
+class Head:
+    """What stands before the blocks of a file. read: bytes of the file from an offset."""
+
+    def __init__(self, read):
+        magic, vocabulary, n_table, self.n_docs, self.n_ids, n_about, n_blocks = _HEAD.unpack(read(0, _HEAD.size))
+        if magic != MAGIC:
+            raise ValueError("not a file of token ids")
+        at = _HEAD.size
+        self.lengths = np.frombuffer(zlib.decompress(read(at, n_table)), np.uint8)
+        self._about = (at + n_table, n_about)
+        self.places = np.frombuffer(read(at + n_table + n_about, 8 * (n_blocks + 1)), "<i8")
+
+    def documents(self, read) -> tuple[list, np.ndarray]:
+        """Document ids and their numbers of ids."""
+        about = zlib.decompress(read(*self._about))
+        null, names = np.frombuffer(about, np.uint8, self.n_docs), np.frombuffer(about, "<i8", self.n_docs, self.n_docs)
+        return [None if x else int(y) for x, y in zip(null, names, strict=True)], np.frombuffer(about, "<i8", self.n_docs, self.n_docs * 9)
+
+
+def decoded(data: bytes, places: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids of stretches that begin at these bits of the data, so many of each."""
+    if not len(places):
+        return np.empty(0, np.uint32)
+    symbol, size, bits = decode_table(lengths)
+    raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.uint32)
+    ahead = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
+    out = np.empty((int(counts.max()), len(places)), symbol.dtype)
+    last = len(ahead) - 1
+    for k in range(len(out)):
+        nxt = (ahead[np.minimum(places >> 3, last)] << (places & 7).astype(np.uint32)) >> np.uint32(32 - bits)
+        out[k] = symbol[nxt]
+        places = places + size[nxt]
+    out = np.ascontiguousarray(out.T)
+    pieces, at = [], 0
+    for i in np.flatnonzero(counts < out.shape[1]).tolist():  # the last stretch of a block may be short
+        pieces += [out[at:i].ravel(), out[i, : counts[i]]]
+        at = i + 1
+    return np.concatenate([*pieces, out[at:].ravel()])
+
+
+def _stretches(n: int, marks: np.ndarray) -> np.ndarray:
+    """How many ids stand in each stretch of a block of n."""
+    counts = np.full(len(marks), CHECKPOINT, np.int64)
+    counts[-1] = n - CHECKPOINT * (len(marks) - 1)
+    return counts
+
+
 def parse(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     """Document ids, their numbers of ids, all ids of a file."""
-    assert data[:8] == MAGIC, "not a file of token ids"
-    vocabulary, n_table, n_docs, n_ids, n_about, n_blocks = struct.unpack_from("<IIIQII", data, 8)
-    at = 8 + struct.calcsize("<IIIQII")
-    lengths = np.frombuffer(zlib.decompress(data[at : at + n_table]), np.uint8)
-    at += n_table
-    about = zlib.decompress(data[at : at + n_about])
-    at += n_about
-    null = np.frombuffer(about, np.uint8, n_docs)
-    names, sizes = np.frombuffer(about, "<i8", n_docs, n_docs), np.frombuffer(about, "<i8", n_docs, n_docs * 9)
-    starts, counts = [], []
-    for _ in range(n_blocks):
-        n, n_marks, n_data = struct.unpack_from("<III", data, at)
-        at += 12
-        marks = np.frombuffer(data, "<u4", n_marks, at).astype(np.int64)
-        at += 4 * n_marks
-        starts.append(marks + 8 * at)
-        left = np.full(n_marks, CHECKPOINT, np.int64)
-        left[-1] = n - CHECKPOINT * (n_marks - 1)
-        counts.append(left)
-        at += n_data
-    ids = np.empty(0, np.uint32)
-    if n_blocks:
-        symbol, size, bits = decode_table(lengths)
-        raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.uint32)
-        ahead = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-        place, left = np.concatenate(starts), np.concatenate(counts)
-        out = np.empty((CHECKPOINT, len(place)), symbol.dtype)
-        last = len(ahead) - 1
-        for k in range(int(left.max())):
-            nxt = (ahead[np.minimum(place >> 3, last)] << (place & 7).astype(np.uint32)) >> np.uint32(32 - bits)
-            out[k] = symbol[nxt]
-            place = place + size[nxt]
-        out = np.ascontiguousarray(out.T)
-        full = np.flatnonzero(left < CHECKPOINT)  # the last stretch of a block may be short
-        cuts, pieces, at = full.tolist(), [], 0
-        for i in cuts:
-            pieces += [out[at:i].ravel(), out[i, : left[i]]]
-            at = i + 1
-        ids = np.concatenate([*pieces, out[at:].ravel()])
-    assert len(ids) == n_ids
-    return [None if x else int(y) for x, y in zip(null, names, strict=True)], sizes, ids
+    read = lambda at, n: data[at : at + n]
+    head, places, counts = Head(read), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in head.places[:-1].tolist():
+        n, n_marks, _ = struct.unpack_from("<III", data, at)
+        marks = np.frombuffer(data, "<u4", n_marks, at + 12).astype(np.int64)
+        places.append(marks + 8 * (at + 12 + 4 * n_marks))
+        counts.append(_stretches(n, marks))
+    ids = decoded(data, np.concatenate(places), np.concatenate(counts), head.lengths)
+    if len(ids) != head.n_ids:
+        raise ValueError(f"{len(ids)} ids where the file's head has {head.n_ids}")
+    return *head.documents(read), ids
+
+
+def read_stretch(uri: str, first: int, n: int) -> np.ndarray:
+    """n ids of a file from the first on, by reading its head and the stretches between checkpoints that hold them."""
+    fs, path = C.open_fs(uri)
+    with fs.open_input_file(path) as f:
+        read = lambda at, size: f.read_at(size, at)
+        head, out, end = Head(read), [np.empty(0, np.uint32)], first + n
+        if not 0 <= first <= end <= head.n_ids:
+            raise ValueError(f"ids {first} to {end} of a file of {head.n_ids}")
+        for b in range(first // BLOCK, -(-end // BLOCK) if n else 0):
+            at = int(head.places[b])
+            size, n_marks, n_data = struct.unpack("<III", read(at, 12))
+            marks = np.frombuffer(read(at + 12, 4 * n_marks), "<u4").astype(np.int64)
+            low, high = max(0, first - b * BLOCK), min(size, end - b * BLOCK)
+            s, e = low // CHECKPOINT, -(-high // CHECKPOINT)
+            begin, stop = int(marks[s]) >> 3, n_data if e == n_marks else -(-int(marks[e]) >> 3) + 1
+            data = read(at + 12 + 4 * n_marks + begin, min(stop, n_data) - begin)
+            ids = decoded(data, marks[s:e] - 8 * begin, _stretches(size, marks)[s:e], head.lengths)
+            out.append(ids[low - s * CHECKPOINT : high - s * CHECKPOINT])
+    return np.concatenate(out)
 
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, memo: int = MEMO) -> DataFrame:
@@ -416,7 +458,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, memo:
         if held:
             yield flush()
 
-    ordered = encoded.filter(F.col("counts").isNull()).select("doc_id", "n_tokens", "ids").repartitionByRange(C.partitions(spark), "doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
+    ordered = encoded.filter(F.col("counts").isNull()).select("doc_id", "n_tokens", "ids").repartitionByRange(C.partitions(spark, int(counts.sum()), TASK_IDS), "doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
     manifest = C.handed(ordered.mapInArrow(run, "part int, file int, path string, n_docs long, n_tokens long"), "manifest")
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
     before = parts.select("part", (F.sum("in_part").over(Window.orderBy("part")) - F.col("in_part")).alias("before"))
@@ -447,7 +489,7 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                     C.release()
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(ends - sizes + base), pa.array(sizes), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    n = C.partitions(manifest.sparkSession)
+    n = C.partitions(manifest.sparkSession, manifest.count(), TASK_FILES)
     return manifest.select("path", "base").repartition(n, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
