@@ -7,8 +7,9 @@ hash of their id, never from the fold held out; that sample's parts serve the wo
 in turn. Scoring is one pass over whole texts.
 
 Null and empty texts have all features 0 and get the score the model gives these. Several labels of one id count as
-toxic if any is; a null label is none. Equal rows are scored one by one. Without labels of both kinds every score is 0. An
-empty table gives no rows. Other columns are ignored: labels, language, source and id are no features.
+toxic if any is; a null label is none. Equal rows are scored one by one; a null id is never held out. Without labels of both kinds every
+score is 0, and ``screen`` keeps all. An empty table gives no rows. A very long text is scored whole, one text at a time. Other columns are
+ignored by ``score`` and kept by ``screen``, whatever their names: labels, language, source and id are no features.
 """
 
 from __future__ import annotations
