@@ -1,7 +1,6 @@
 """Benchmark passages in documents, by an FM-index of each shard of documents.
 
-All benchmark words have one numbering: the sorted 64-bit hashes of the distinct words, a file of eight bytes a word. (Two
-words are taken for one if their hashes agree: for 10^7 benchmark and 10^9 document words, a chance of 1 in 2,000 over all.) A
+All benchmark words have one numbering: their order among the distinct words, which stand in one file. A
 worker encodes each document once and gathers documents to shards of about SHARD words. Words that no benchmark item has end
 a stretch (an occurrence can't contain one), and stretches shorter than the shortest window hold none; the word ids of all
 other stretches, with separators, are the text that the shard's one FM-index is built of: suffix array by prefix doubling, its
@@ -25,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import io
 import uuid
-from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,36 +32,30 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW, SHARD, SAMPLE = 10, 2_000_000, 16
-#: Windows of a block; bytes of items a task reads; bytes of blocks, and words with their ids, that a worker keeps.
-BLOCK, TASK_BYTES, CACHE, MEMO = 200_000, 4 << 20, 64 << 20, 250_000
+#: Windows of a block; bytes of items a task reads; bytes of blocks that a worker keeps; words that are numbered at once, at least.
+BLOCK, TASK_BYTES, CACHE, PIECE = 200_000, 4 << 20, 64 << 20, 100_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(C.WORDS).split()
 
 
-def hash_of(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word)
-
-
-class Numbering(dict):
-    """Ids of words, 2 and up, by their place among the sorted hashes of the benchmark's words; 0 for other words."""
+class Numbering:
+    """Ids of words, 2 and up, by their place among the benchmark's distinct words; 0 for other words."""
 
     def __init__(self, path: str):
-        self.hashes = memoryview(C.read_bytes(path)).cast("Q")
+        import pyarrow as pa
 
-    def __missing__(self, word: bytes) -> int:
-        h = hash_of(word)
-        at = bisect_left(self.hashes, h)
-        found = self[word] = at + 2 if at < len(self.hashes) and self.hashes[at] == h else 0
-        return found
+        self.words = pa.ipc.open_stream(C.read_bytes(path)).read_all().column(0).combine_chunks()
+        # a look-up builds a hash table of all these words, so it should be of many words
+        self.piece = max(PIECE, len(self.words))
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        at = pc.index_in(pa.array(words, pa.binary()), value_set=self.words)
+        return pc.fill_null(at, -2).to_numpy() + np.int32(2)
 
 
 class Phrases:
@@ -309,6 +301,12 @@ def _numbering(benchmark: Benchmark) -> Numbering:
     return _NUMBERINGS[benchmark.numbering]
 
 
+def pa_table(words: list[bytes]):
+    import pyarrow as pa
+
+    return pa.table({"word": pa.array(words, pa.binary())})
+
+
 def prepared(items: DataFrame, window: int = WINDOW) -> Benchmark:
     """Number the words of the items and write their windows in blocks."""
     spark = items.sparkSession
@@ -321,24 +319,28 @@ def prepared(items: DataFrame, window: int = WINDOW) -> Benchmark:
         import pyarrow as pa
 
         for batch in batches:
-            found = {hash_of(w) for text in C.byte_rows(batch.column(1)) for w in words_of(text)}
-            yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(found, np.uint64, len(found)).view(np.int64))], names=["h"])
+            found = {w for text in C.byte_rows(batch.column(1)) for w in words_of(text)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], names=["word"])
+
+    def written(table):
+        import pyarrow as pa
+
+        sink, path = pa.BufferOutputStream(), f"{folder}/numbering-{uuid.uuid4().hex}"
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        C.write_bytes(path, sink.getvalue().to_pybytes())
+        return path
 
     def merged(batches):
         import pyarrow as pa
 
-        # hashes come ascending as signed numbers: those of the upper half first
-        path = f"{folder}/numbering-{uuid.uuid4().hex}"
-        signed = np.concatenate([np.empty(0, np.int64), *(batch.column(0).to_numpy() for batch in batches)])
-        C.write_bytes(path, np.roll(signed, -int((signed < 0).sum())).view(np.uint64).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+        words = [w for batch in batches for w in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([written(pa_table(words))])], names=["path"])
 
-    # one task, eight bytes a distinct word of the benchmark
-    hashes = rows.mapInArrow(distinct, "h long").distinct().repartition(1).sortWithinPartitions("h")
-    written = C.handed(hashes.mapInArrow(merged, "path string"), "numbering").first()
-    numbering = written["path"] if written else f"{folder}/numbering-none"
-    if written is None:  # no words, so perhaps no task
-        C.write_bytes(numbering, b"")
+    # one task, the distinct words of the benchmark
+    words = rows.mapInArrow(distinct, "word binary").distinct().repartition(1).sortWithinPartitions("word")
+    found = C.handed(words.mapInArrow(merged, "path string"), "numbering").first()
+    numbering = found["path"] if found else written(pa_table([]))  # no words, so perhaps no task
 
     def blocks(batches):
         import pyarrow as pa
@@ -352,8 +354,11 @@ def prepared(items: DataFrame, window: int = WINDOW) -> Benchmark:
 
         number, found = Numbering(numbering), {}
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), C.byte_rows(batch.column(1)), strict=True):
-                ids = number.encode(words_of(text)).tolist()
+            texts = [words_of(text) for text in C.byte_rows(batch.column(1))]
+            ends = np.cumsum([0, *map(len, texts)])
+            every = number.encode([w for words in texts for w in words])
+            for k, name in enumerate(batch.column(0).to_pylist()):
+                ids = every[ends[k] : ends[k + 1]].tolist()
                 size = min(window, len(ids))
                 for at in range(len(ids) - size + 1) if size else ():
                     found.setdefault(tuple(ids[at : at + size]), set()).add(name)
@@ -372,14 +377,24 @@ def prepared(items: DataFrame, window: int = WINDOW) -> Benchmark:
 class _Gathered:
     """Sizes and word ids of the documents of a shard, as they come."""
 
-    def __init__(self):
-        self.sizes, self.ids, self.n = [], [], 0
+    def __init__(self, number: Numbering):
+        self.number, self.sizes, self.words, self.ids, self.n = number, [], [], [], 0
 
-    def add(self, text: bytes | None, number: Numbering) -> None:
+    def add(self, text: bytes | None) -> None:
         words = words_of(text)
         self.sizes.append(len(words))
-        self.ids.append(number.encode(words))
+        self.words += words
         self.n += len(words)
+        if len(self.words) >= self.number.piece:
+            self._encode()
+
+    def _encode(self) -> None:
+        self.ids.append(self.number.encode(self.words))
+        self.words = []
+
+    def answers(self, benchmark: Benchmark):
+        self._encode()
+        return answers(self.sizes, np.concatenate(self.ids), benchmark)
 
 
 def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -390,19 +405,20 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
         import pyarrow as pa
 
         def flush():
-            n_hit, found, spans = answers(held.sizes, np.concatenate(held.ids), benchmark)
+            n_hit, found, spans = held.answers(benchmark)
             sha = [hashlib.sha256(",".join(x).encode("utf-8", "surrogatepass")).hexdigest() for x in found]
             columns = [pa.array(names, pa.int64()), pa.array(held.sizes, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0), pa.array(spans, pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
 
-        number, names, held = _numbering(benchmark), [], _Gathered()
+        number = _numbering(benchmark)
+        names, held = [], _Gathered(number)
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), C.byte_rows(batch.column(1)), strict=True):
                 names.append(name)
-                held.add(text, number)
+                held.add(text)
                 if held.n >= SHARD:
                     yield flush()
-                    names, held = [], _Gathered()
+                    names, held = [], _Gathered(number)
         if names:
             yield flush()
 
@@ -418,21 +434,22 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
         import pyarrow as pa
 
         def flush():
-            n_hit, start = answers(held.sizes, np.concatenate(held.ids), benchmark)[0], 0
+            n_hit, start = held.answers(benchmark)[0], 0
             for batch in kept:
                 yield batch.filter(pa.array(n_hit[start : start + batch.num_rows] == 0))
                 start += batch.num_rows
 
-        number, kept, held = _numbering(benchmark), [], _Gathered()
+        number = _numbering(benchmark)
+        kept, held = [], _Gathered(number)
         for batch in batches:
             if not batch.num_rows:
                 continue
             kept.append(batch)
             for text in C.byte_rows(batch.column(at)):
-                held.add(text, number)
+                held.add(text)
             if held.n >= SHARD:
                 yield from flush()
-                kept, held = [], _Gathered()
+                kept, held = [], _Gathered(number)
         if kept:
             yield from flush()
         C.release()
