@@ -18,8 +18,6 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections import Counter
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,9 +29,8 @@ MAGIC = b"TIDS0002"
 _HEAD = struct.Struct("<8sIIIQII")
 #: Ids of a block, ids between two checkpoints, longest code in bits, ids of a file, ids that a task writes, files that a task reads.
 BLOCK, CHECKPOINT, MAX_BITS, FILE_IDS, TASK_IDS, TASK_FILES = 1 << 16, 256, 18, 2_000_000, 32_000_000, 16
-#: Words whose ids one worker keeps; of these, the frequent ones that are asked first.
-MEMO, HOT = 1_000_000, 1 << 14
-
+#: Bytes of text that a worker encodes at once; words, and pieces after a mark or line feed, that it keeps.
+AT_ONCE, MEMO = 16 << 20, 200_000
 
 #: The pre-tokenizer's letters for bytes: printable ones stand for themselves, the others for the letters from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -44,11 +41,10 @@ _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c !=
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder_of(path: str, memo: int = MEMO) -> Encoder:
-    """The encoder of this process; a worker keeps the words it knows from task to task."""
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this process."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    _ENCODERS[path].memo = memo
     return _ENCODERS[path]
 
 
@@ -68,12 +64,14 @@ def _pieces(word: str) -> list[str] | None:
 
 
 class Encoder:
-    """Texts to ids of a byte-level BPE file of the tokenizers library, each frequent word encoded once.
+    """Texts to ids of a byte-level BPE file of the tokenizers library, each distinct word of many texts encoded once.
 
     A text is cut before each single space between two characters that are no white space. The pre-tokenizer
     cuts there in any case: only its white-space patterns look at what follows, and these need a run of white
-    space. The words of many texts that are not yet known go to the library as one text; each begins with the one
-    id whose token starts with a space, which tells them apart again. Other tokenizers get whole texts."""
+    space. Words are told apart by Arrow, so only distinct ones become Python's. Words of letters, and the letters of words that
+    end in marks, are one piece each to the pre-tokenizer, so only the library's model runs over them; other words go to the library
+    as one text, where each begins with the one id whose token starts with a space, which tells them apart again. Other
+    tokenizers get whole texts."""
 
     def __init__(self, path: str):
         import json
@@ -88,140 +86,176 @@ class Encoder:
         about = json.loads(self.tokenizer.to_str())
         pre = about.get("pre_tokenizer") or {}
         self.by_word = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not about.get("normalizer") and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in about.get("added_tokens", []))
+        self.by_word = self.by_word and not any(t["content"].replace("|", "").isalpha() for t in about.get("added_tokens", []))
         self.opens = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")
-        self.known: dict[str, bytes | bool] = {}
+        self.known: dict[str, bytes] = {}  # after a space: the first ones met, most of them frequent
         self.bare: dict[str, bytes] = {}
-        self.hot: dict[str, bytes | bool] = {}  # the most frequent words, few enough for the processor's cache
-        self.by_word = self.by_word and not any(t["content"].replace("|", "").isalpha() for t in about.get("added_tokens", []))
         self.end = np.zeros(1, self.dtype).tobytes()
-        self.memo = MEMO
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() if text else b""
 
-    def learn(self, words: set[str]) -> dict[str, bytes | bool]:
-        """Ids of the words as they stand after a space; False for those that no cut may stand beside.
-
-        Letters, then marks, then a line feed between two of these are pieces of their own to the pre-tokenizer, so such
-        words are put together from their pieces, and kept only where the first piece was known; others go to the library as they are."""
-        if len(self.known) > self.memo:
-            kept = {w: x for w, x in self.known.items() if x and len(x) <= 2 * self.dtype.itemsize}
-            self.known = kept if len(kept) < self.memo // 2 else {}
-            self.bare.clear()
-        known, bare, odd, made, spaced, plain, out = self.known, self.bare, [], [], set(), set(), {}
-        for w in words:
+    def words(self, words: list[str]) -> list[bytes | None]:
+        """Ids of distinct words as they stand after a space; None for those that no cut may stand beside."""
+        stems: dict[str, int] = {}
+        out: list = [None] * len(words)
+        plain, made, odd, number = [], [], [], stems.setdefault
+        for i, w in enumerate(words):
             if w.isalpha():
-                spaced.add(w)
+                plain.append((i, number(w, len(stems))))
             elif w[:-1].isalpha() and w[-1] in _MARKS:
-                made.append((w, (w[:-1], w[-1])))
-            elif not w or w[0].isspace() or w[-1].isspace():
-                known[w] = out[w] = False
-            elif parts := _pieces(w):
-                made.append((w, parts))
-            else:
-                odd.append(w)
-        often = [w for w, parts in made if parts[0] in known]
-        spaced.update(parts[0] for _, parts in made if parts[0] not in known)
-        for _, parts in made:
-            plain.update(parts[1:])
-        self.letters(spaced, " ", known)
-        self.letters({x for x in plain if x not in bare and x.isalpha()}, "", bare)
-        for x in plain:
-            if x not in bare:
-                bare[x] = self.whole(x)
-        for w, parts in made:
-            out[w] = known[parts[0]] + bare[parts[1]] if len(parts) == 2 else known[parts[0]] + b"".join(map(bare.__getitem__, parts[1:]))
-        known.update({w: out[w] for w in often})
+                made.append((i, number(w[:-1], len(stems)), w[-1:]))
+            elif w and not w[0].isspace() and not w[-1].isspace():
+                if parts := _pieces(w):
+                    made.append((i, number(parts[0], len(stems)), parts[1:]))
+                else:
+                    odd.append(i)
+        ids = self.letters(list(stems), " ", self.known, MEMO)
+        bare = self.pieces({x for _, _, parts in made for x in parts})
+        for i, k in plain:
+            out[i] = ids[k]
+        for i, k, parts in made:
+            out[i] = ids[k] + (bare[parts] if parts.__class__ is str else b"".join(map(bare.__getitem__, parts)))
         for at in range(0, len(odd), 10_000):
             some = odd[at : at + 10_000]
-            self.share(some, np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, self.dtype), known)
+            text = " " + " ".join([words[i] for i in some])
+            for i, x in zip(some, self.shared(len(some), np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)), strict=True):
+                out[i] = x
         return out
 
-    def letters(self, words: set[str], before: str, to: dict) -> None:
-        """Ids of words of letters, each one piece: only the library's model runs over them, not its splitting."""
-        some = list(words)
-        if not some:
-            return
-        mapped = "|".join(before + w for w in some).encode().decode("latin-1").translate(_BYTES).split("|")
-        run, kind = self.tokenizer.model.tokenize, "H" if self.dtype.itemsize == 2 else "I"
-        to.update(zip(some, [array(kind, [t.id for t in run(w)]).tobytes() for w in mapped], strict=True))
-
-    def share(self, words: list[str], ids: np.ndarray, to: dict) -> None:
+    def pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of these pieces at least, as they stand without a space before."""
+        if len(self.bare) > MEMO:
+            self.bare.clear()
+        new = [x for x in pieces if x not in self.bare]
+        self.letters([x for x in new if x.isalpha()], "", self.bare, MEMO + len(new))
+        self.bare.update((x, self.whole(x)) for x in new if not x.isalpha())
+        return self.bare
+
+    def first(self, words: list[str]) -> list[bytes]:
+        """Ids of words that begin a text."""
+        parts = {w: (w,) if w.isalpha() else _pieces(w) for w in set(words)}
+        bare = self.pieces({x for p in parts.values() if p for x in p})
+        ids = {w: b"".join(map(bare.__getitem__, p)) if p else self.whole(w) for w, p in parts.items()}
+        return list(map(ids.__getitem__, words))
+
+    def letters(self, words: list[str], before: str, known: dict[str, bytes], most: int) -> list[bytes]:
+        """Ids of words of letters, each one piece: only the library's model runs over them, not its splitting. Up to most are kept in known."""
+        ids = list(map(known.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            mapped = (before + f"|{before}".join([words[i] for i in new])).encode().decode("latin-1").translate(_BYTES).split("|")
+            run, kind = self.tokenizer.model.tokenize, "H" if self.dtype.itemsize == 2 else "I"
+            for i, w in zip(new, mapped, strict=True):
+                ids[i] = array(kind, [t.id for t in run(w)]).tobytes()
+            known.update([(words[i], ids[i]) for i in new[: max(0, most - len(known))]])
+        return ids
+
+    def shared(self, n: int, ids: np.ndarray) -> list[bytes]:
+        """The ids of n words encoded as one text, word by word."""
         cuts = (np.flatnonzero(self.opens[ids]) * self.dtype.itemsize).tolist()
-        assert len(cuts) == len(words)
+        if len(cuts) != n:
+            raise ValueError("a word's ids do not begin with a token that starts with a space")
         raw = ids.tobytes()
-        to.update(zip(words, [raw[s:e] for s, e in zip(cuts, [*cuts[1:], len(raw)])], strict=True))
+        return [raw[s:e] for s, e in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
+
+    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an Arrow array of texts, the end id after each, and where each text's ids end."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian bytes, the end id last."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self.by_word:
-            return [self.whole(x or "") + self.end for x in texts]
-        split = [(x or "").split(" ") for x in texts]
-        words = list(chain.from_iterable(split))
-        ids = list(map(self.hot.get, words))
-        new = [i for i, x in enumerate(ids) if x is None]
-        known = self.known.get
-        for i in new:
-            ids[i] = known(words[i])
-        new = [i for i in new if ids[i] is None]
-        made = self.learn({words[i] for i in new})
-        for i in new:
-            x = made.get(words[i])
-            ids[i] = self.known[words[i]] if x is None else x
-        if not self.hot and len(words) > 4 * HOT:
-            at = dict(zip(words, ids, strict=True))
-            self.hot = {w: at[w] for w, _ in Counter(words).most_common(HOT)}
-        out, at = [], 0
-        for text, parts in zip(texts, split, strict=True):
-            at += len(parts)
-            first = parts[0]
-            try:
-                if len(parts) > 1 and (not first or first[-1].isspace()):
-                    raise TypeError
-                out.append((self.bare.get(first) or self.whole(first)) + b"".join(ids[at - len(parts) + 1 : at]) + self.end)
-            except TypeError:
-                out.append(self.runs(parts) + self.end)
-        return out
+            out = [self.whole(x) + self.end for x in texts.to_pylist()]
+            return np.frombuffer(b"".join(out), self.dtype), np.cumsum([len(x) // self.dtype.itemsize for x in out], dtype=np.int64)
+        split = pc.split_pattern(texts, " ")
+        starts = split.offsets.to_numpy()
+        starts, sizes = (starts[:-1] - starts[0]).astype(np.int64), np.diff(starts)
+        parts = split.flatten().dictionary_encode()
+        at, known = parts.indices.to_numpy().copy(), parts.dictionary.to_pylist()
+        ids = self.words(known)
+        first = [known[i] for i in at[starts].tolist()]
+        odd = np.array([not w or w[-1].isspace() for w in first], bool) & (sizes > 1)
+        no_cut = np.array([x is None for x in ids])
+        if no_cut.any():
+            no_cut = no_cut[at]
+            no_cut[starts] = False
+            odd |= np.logical_or.reduceat(no_cut, starts)
+        # first words, and texts with other white space, are pieces of their own
+        lead = self.first(first)
+        for i in np.flatnonzero(odd).tolist():
+            lead[i] = self.runs(texts[i].as_py().split(" "))
+        pieces = [x or b"" for x in ids] + lead + [self.end]
+        at[starts] = len(ids) + np.arange(len(starts), dtype=np.int32)
+        if odd.any():
+            keep = ~np.repeat(odd, sizes)
+            keep[starts] = True
+            at = at[keep]
+        # the pieces of each text in order, the end id last
+        count = np.where(odd, 1, sizes)
+        order = np.insert(at, np.cumsum(count), np.int32(len(pieces) - 1))
+        length = np.array([len(x) for x in pieces], np.int64) // self.dtype.itemsize
+        n = length[order]
+        ends = np.cumsum(n)
+        shift = (np.cumsum(length) - length)[order] - (ends - n)
+        ids = np.frombuffer(b"".join(pieces), self.dtype)
+        return ids[np.repeat(shift, n) + np.arange(int(ends[-1]) if len(ends) else 0)], ends[np.cumsum(count + 1) - 1]
 
     def runs(self, parts: list[str]) -> bytes:
         """A text with other white space: cut only where a single space stands between two other characters."""
         out, held, before = [], [parts[0]], ""
         for last, p in zip(parts, parts[1:]):
             if last and not last[-1].isspace() and p and not p[0].isspace():
-                out.append(self.piece(before, held))
+                out.append(self.whole(before + " ".join(held)))
                 held, before = [p], " "
             else:
                 held.append(p)
-        out.append(self.piece(before, held))
-        return b"".join(out)
-
-    def piece(self, before: str, held: list[str]) -> bytes:
-        ids = self.known.get(held[0]) if before and len(held) == 1 else None
-        return ids or self.whole(before + " ".join(held))
+        return b"".join(out) + self.whole(before + " ".join(held))
 
 
-def encode(docs: DataFrame, tokenizer: str, memo: int = MEMO) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens, ids, counts): a row a document, and a last row of each task with its id counts (counts not null)."""
 
     def run(batches):
         import pyarrow as pa
 
-        encoder = encoder_of(tokenizer, memo)
+        names_of = ["doc_id", "n_tokens", "ids", "counts"]
+        encoder = encoder_of(tokenizer)
         counts = np.zeros(encoder.size, np.int64)
-        gc.disable()  # the many short lists of words hold no cycles
-        empty = pa.array([None], pa.binary())
-        for batch in batches:
-            ids = encoder(batch.column(1).to_pylist())
-            counts += np.bincount(np.frombuffer(b"".join(ids), encoder.dtype), minlength=encoder.size)
-            n = [len(x) // encoder.dtype.itemsize for x in ids]
+
+        def out():
+            nonlocal counts
+            names = pa.concat_arrays([b.column(0) for b in held])
+            flat, ends = encoder(pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in held]))
+            counts += np.bincount(flat, minlength=encoder.size)
+            # batches whose ids fit 32-bit offsets
+            size, s = encoder.dtype.itemsize, 0
+            while s < len(ends):
+                base = int(ends[s - 1]) if s else 0
+                e = max(s + 1, min(s + C.BATCH_ROWS, int(np.searchsorted(ends, base + C.BATCH_BYTES // size, side="right"))))
+                offsets = np.concatenate([[0], ends[s:e] - base]) * size
+                ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), e - s, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat[base : int(ends[e - 1])]))])
+                yield pa.RecordBatch.from_arrays([names[s:e], pa.array(np.diff(offsets) // size), ids.cast(pa.binary()), pa.nulls(e - s, pa.binary())], names=names_of)
+                s = e
+
+        held, n = [], 0
+        gc.disable()  # the many short lists of ids hold no cycles
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    held.append(batch)
+                    n += batch.column(1).nbytes
+                if n >= AT_ONCE:
+                    yield from out()
+                    held, n = [], 0
+            if held:
+                yield from out()
+        finally:
             gc.enable()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
-            gc.disable()
-        gc.enable()
         C.release()
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), empty, pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([None], pa.binary()), pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], names=names_of)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
 
@@ -419,12 +453,12 @@ def read_stretch(uri: str, first: int, n: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, memo: int = MEMO) -> DataFrame:
+def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
     """Write the ids of all texts; return the manifest (part, file, path, n_docs, n_tokens, base), base being the ids before the file."""
     spark = docs.sparkSession
     C.prepare(spark)
     folder = folder or C.shared_dir(spark)
-    encoded = C.handed(encode(docs, tokenizer, memo), "encoded", codec="snappy")
+    encoded = C.handed(encode(docs, tokenizer), "encoded", codec="snappy")
     rows = C.small(id_counts(encoded), 1 << 20, "ids of the vocabulary")
     counts = np.zeros(max([r.id for r in rows], default=0) + 1, np.int64)
     for r in rows:
@@ -484,18 +518,14 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 ends = np.cumsum(sizes)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * (e - s) : 4 * e]) for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
-                if _ENCODERS:  # all texts are encoded by now
-                    _ENCODERS.clear()
-                    C.release()
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(ends - sizes + base), pa.array(sizes), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = C.partitions(manifest.sparkSession, manifest.count(), TASK_FILES)
     return manifest.select("path", "base").repartition(n, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def write_and_read(docs: DataFrame, tokenizer: str, memo: int = MEMO) -> DataFrame:
-    """memo: words a worker keeps; fewer take less memory and more time."""
-    return read_ids(write_ids(docs, tokenizer, memo=memo))
+def write_and_read(docs: DataFrame, tokenizer: str) -> DataFrame:
+    return read_ids(write_ids(docs, tokenizer))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
