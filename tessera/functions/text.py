@@ -1,4 +1,4 @@
-"""Text normalization as column expressions; a Python function only where Spark has none (NFKD outside Latin)."""
+"""Text normalization as column expressions; Arrow functions only for what Spark has none of: NFKD, scripts, Latin readings."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ _FOLD = {chr(c): b for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if len
 _FROM, _TO = "".join(_FOLD), "".join(_FOLD.values())
 _INDIC = "".join(chr(b + 0x66 + d) for b in range(0x900, 0xD80, 0x80) for d in range(10))
 #: Null-like address components, compared after normalization.
-NULL_LIKE = ["null", "na", "n a", "none", "nan", "nil"]
+NULL_LIKE = ["null", "na", "n a", "none", "nan", "-", ""]
 #: Unicode blocks of the Indic scripts, each 0x80 wide, from U+0900.
 SCRIPTS = ["devanagari", "bengali", "gurmukhi", "gujarati", "oriya", "tamil", "telugu", "kannada", "malayalam"]
 
@@ -24,26 +24,45 @@ def nfkd(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x))
 
 
-def base_norm(c: Column, full: bool = False) -> Column:
-    """Lower case, marks off, punctuation and symbols to single spaces. full: NFKD of every script, by an Arrow function."""
-    low = nfkd(F.lower(c)) if full else F.translate(F.lower(c), _FROM, _TO)
-    bare = F.regexp_replace(low, r"[̀-ͯ\p{Cf}]", "")
+def cleaned(c: Column) -> Column:
+    """Lower-case text after NFKD: marks of Latin and format characters off, punctuation and symbols to single spaces."""
+    bare = F.regexp_replace(c, r"[\x{0300}-\x{036F}\p{Cf}]", "")
     return F.trim(F.regexp_replace(bare, r"[\p{P}\p{S}\p{Z}\p{C}]+", " "))
 
 
+def folded(c: Column, full: bool = True) -> Column:
+    """Lower case and NFKD, of every script by an Arrow function; else of Latin letters with marks alone, in the JVM."""
+    return nfkd(F.lower(c)) if full else F.translate(F.lower(c), _FROM, _TO)
+
+
+def base_norm(c: Column, full: bool = True) -> Column:
+    """Lower case, marks off, punctuation and symbols to single spaces."""
+    return cleaned(folded(c, full))
+
+
 def tokens(c: Column) -> Column:
+    """Words between spaces; none of an empty text."""
     return F.filter(F.split(c, " "), lambda x: x != "")
 
 
-def script(c: Column) -> Column:
+def script_of(text: str) -> str:
     """The script most letters are of; any letter outside the Indic blocks counts as latin; none: other. Ties: the Indic block that comes first."""
-    counts = [F.regexp_count(c, F.lit(f"[\\p{{L}}&&[\\x{{{0x900 + 0x80 * i:04X}}}-\\x{{{0x97F + 0x80 * i:04X}}}]]")) for i in range(9)]
-    latin = F.regexp_count(c, F.lit(r"[\p{L}&&[^\x{0900}-\x{0D7F}]]"))
-    top = F.greatest(*counts, latin)
-    first = [F.when(n == top, F.regexp_instr(c, F.lit(f"[\\p{{L}}&&[\\x{{{0x900 + 0x80 * i:04X}}}-\\x{{{0x97F + 0x80 * i:04X}}}]]"))) for i, n in enumerate(counts)]
-    least = F.least(*first)
-    named = F.coalesce(*[F.when(f == least, F.lit(s)) for f, s in zip(first, SCRIPTS, strict=True)])
-    return F.when(top == 0, "other").when(latin == top, F.when(F.greatest(*counts) == top, named).otherwise("latin")).otherwise(named)
+    if text.isascii():
+        return "latin" if any(map(str.isalpha, text)) else "other"
+    counts: dict[int, int] = {}
+    for c in text:
+        if c.isalpha():
+            block = (ord(c) - 0x900) // 0x80
+            block = block if 0 <= block < len(SCRIPTS) else -1
+            counts[block] = counts.get(block, 0) + 1
+    latin = counts.pop(-1, 0)
+    top = max(counts, key=counts.get, default=-1)
+    return SCRIPTS[top] if top >= 0 and counts[top] >= latin else "latin" if latin else "other"
+
+
+@F.pandas_udf(T.StringType())
+def script(text: pd.Series) -> pd.Series:
+    return text.map(lambda x: script_of(x or ""))
 
 
 #: Readings of the Indic blocks, which share one layout: independent vowels from offset 0x05, consonants from 0x15, vowel signs from 0x3E.
@@ -52,6 +71,8 @@ _CONSONANTS = "k kh g gh n c ch j jh n t th d dh n t th d dh n n p ph b bh m y r
 _SIGNS = "ā i ī u ū r r e e e ai o o o au".split()
 _NUKTA, _VIRAMA = 0x3C, 0x4D
 _OTHER = {0x01: "m", 0x02: "n", 0x03: "h", 0x70: "n"} | {0x66 + d: str(d) for d in range(10)}
+#: Malayalam consonants without a vowel have letters of their own.
+_CHILLUS = {0xD7A: "n", 0xD7B: "n", 0xD7C: "r", 0xD7D: "l", 0xD7E: "l", 0xD7F: "k"}
 
 
 def read_indic(text: str) -> str:
@@ -74,7 +95,7 @@ def read_indic(text: str) -> str:
         elif 0x3E <= k <= 0x4C:
             out.append(_SIGNS[k - 0x3E])
         elif k != _VIRAMA:
-            out.append(_OTHER.get(k, c))
+            out.append(_CHILLUS.get(ord(c)) or _OTHER.get(k, c))
     words = ("".join(out) + "a" * bare).split()
     plain = unicodedata.normalize("NFKD", " ".join(w[:-1] if len(w) > 1 and w[-1] == "a" else w for w in words))
     return "".join(x for x in plain if not unicodedata.combining(x)).lower().replace("ph", "f")
@@ -99,27 +120,87 @@ def postcode(address: Column, country: Column) -> Column:
     return F.nullif(found, F.lit(""))
 
 
-#: Legal forms by country; keys are normalized before use.
-LEGAL = {
-    "US": {"inc": "inc", "incorporated": "inc", "llc": "llc", "llp": "llp", "lp": "lp", "corp": "corp", "corporation": "corp", "co": "co", "company": "co", "ltd": "ltd", "limited": "ltd", "pllc": "pllc", "pc": "pc"},
-    "India": {"private": "pvt", "pvt": "pvt", "limited": "ltd", "ltd": "ltd", "llp": "llp", "opc": "opc"},
-    "France": {"sarl": "sarl", "sas": "sas", "sasu": "sasu", "sa": "sa", "eurl": "eurl", "sci": "sci", "snc": "snc"},
-}
+#: Legal forms of all countries, and those that India and France have besides; keys are normalized before use.
+UNIVERSAL_LEGAL = {
+    "inc": "inc", "incorporated": "inc",
+    "corp": "corp", "corporation": "corp",
+    "llc": "llc",
+    "llp": "llp",
+    "lp": "lp",
+    "pllc": "pllc",
+    "pc": "pc",
+    "plc": "plc",
+    "co": "co", "company": "co",
+    "ltd": "ltd", "limited": "ltd",
+}
+INDIA_LEGAL = {
+    "pvt": "pvt", "private": "pvt",
+    "ltd": "ltd", "limited": "ltd",
+    "llp": "llp",
+    "प्राइवेट": "pvt", "प्रा": "pvt", "प्रायवेट": "pvt",
+    "लिमिटेड": "ltd", "लि": "ltd",
+    "ప్రైవేట్": "pvt", "లిమిటెడ్": "ltd",
+    "ಪ್ರೈವೇಟ್": "pvt", "ಲಿಮಿಟೆಡ್": "ltd",
+    "பிரைவேட்": "pvt", "லிமிடெட்": "ltd",
+}
+FRANCE_LEGAL = {
+    "sarl": "sarl", "sas": "sas", "sasu": "sasu", "eurl": "eurl",
+    "sa": "sa", "sci": "sci", "snc": "snc", "ei": "ei",
+}
+#: What makes a name a domain, and the words dropped from such a name.
 DOMAIN = r"(?i)\b[a-z0-9][a-z0-9-]*\.(com|net|org|io|biz|info|in|co)\b"
-DOMAIN_TOKENS = ["www", "com", "net", "org", "io", "biz", "info", "in", "co"]
-#: Address words, for all countries and for France.
-ABBREVIATIONS = {"st": "street", "rd": "road", "ave": "avenue", "av": "avenue", "blvd": "boulevard", "dr": "drive", "ln": "lane", "hwy": "highway", "apt": "apartment", "ste": "suite", "fl": "floor", "bldg": "building", "n": "north", "s": "south", "e": "east", "w": "west"}
-FRENCH = {"r": "rue", "av": "avenue", "bd": "boulevard", "pl": "place", "ch": "chemin", "imp": "impasse", "all": "allee", "rte": "route", "st": "saint"}
+DOMAIN_TOKENS = ["www", "com", "net", "org", "io", "biz", "info", "co", "in", "uk"]
+#: Address words of all countries, and those that India and France have besides.
+GENERIC_ADDRESS = {
+    "st": "street", "str": "street",
+    "rd": "road",
+    "ave": "avenue", "av": "avenue",
+    "blvd": "boulevard",
+    "dr": "drive",
+    "ln": "lane",
+    "ct": "court",
+    "hwy": "highway",
+    "pkwy": "parkway",
+    "pl": "place",
+    "ste": "suite",
+    "apt": "apartment",
+    "no": "number",
+}
+INDIA_ADDRESS = {
+    "nr": "near", "opp": "opposite", "soc": "society",
+    "flr": "floor", "no": "number", "h": "house",
+}
+FRANCE_ADDRESS = {
+    "r": "rue", "n": "number",
+    "bd": "boulevard", "av": "avenue", "ave": "avenue",
+    "all": "allee", "imp": "impasse", "rte": "route",
+    "chem": "chemin", "fg": "faubourg", "pl": "place",
+}
+
+
+def plain_norm(text: str) -> str:
+    """What base_norm makes of one text, in Python: for keys of the tables above."""
+    kept = [c for c in unicodedata.normalize("NFKD", text.lower()) if not (0x300 <= ord(c) <= 0x36F or unicodedata.category(c) == "Cf")]
+    return " ".join("".join(" " if unicodedata.category(c)[0] in "PSZC" else c for c in kept).split())
+
+
+def by_country(country: Column, general: dict[str, str], **also: dict[str, str]) -> Column:
+    """A map column: the general table, with a country's own entries over it."""
+    literal = lambda m: F.create_map(*[F.lit(x) for k, v in m.items() for x in (plain_norm(k), v)])
+    out = None
+    for name, own in also.items():
+        out = (F if out is None else out).when(country == name, literal({**general, **own}))
+    return literal(general) if out is None else out.otherwise(literal(general))
 
 
 def legal_form(words: Column, country: Column) -> tuple[Column, Column]:
-    """Words without legal forms, and the forms' codes joined by _ (pvt and ltd lead as pvt_ltd). Unknown countries use the US list."""
-    maps = {k: F.create_map(*[F.lit(x) for kv in v.items() for x in kv]) for k, v in LEGAL.items()}
-    vocabulary = F.when(country == "India", maps["India"]).when(country == "France", maps["France"]).otherwise(maps["US"])
+    """Words without legal forms, and the forms' codes joined by _ (pvt and ltd lead as pvt_ltd). Unknown countries use the general list."""
+    vocabulary = by_country(country, UNIVERSAL_LEGAL, India=INDIA_LEGAL, France=FRANCE_LEGAL)
     codes = F.array_sort(F.array_distinct(F.filter(F.transform(words, lambda x: vocabulary[x]), lambda x: x.isNotNull())))
     both = F.array_contains(codes, "pvt") & F.array_contains(codes, "ltd")
     rest = F.filter(codes, lambda x: ~x.isin("pvt", "ltd"))
-    return F.filter(words, lambda x: vocabulary[x].isNull()), F.array_join(F.when(both, F.concat(F.array(F.lit("pvt_ltd")), rest)).otherwise(codes), "_")
+    joined = F.array_join(F.when(both, F.concat(F.array(F.lit("pvt_ltd")), rest)).otherwise(codes), "_")
+    return F.filter(words, lambda x: vocabulary[x].isNull()), joined
 
 
 def is_domain(raw: Column) -> Column:
@@ -127,15 +208,19 @@ def is_domain(raw: Column) -> Column:
 
 
 def expand_address(words: Column, country: Column) -> Column:
-    """Abbreviations spelled out, France's own first."""
-    general = F.create_map(*[F.lit(x) for kv in ABBREVIATIONS.items() for x in kv])
-    french = F.create_map(*[F.lit(x) for kv in FRENCH.items() for x in kv])
-    return F.transform(words, lambda x: F.coalesce(F.when(country == "France", french[x]), general[x], x))
+    """Abbreviations spelled out, the country's own first."""
+    table = by_country(country, GENERIC_ADDRESS, India=INDIA_ADDRESS, France=FRANCE_ADDRESS)
+    return F.transform(words, lambda x: F.coalesce(table[x], x))
+
 
+def folded_address(address: Column, full: bool = True) -> Column:
+    """Lower case and NFKD, with U+0001 for the commas, so that other commas, which NFKD makes one of, part nothing."""
+    return folded(F.translate(address, "\u0001,", " \u0001"), full)
 
-def address_components(address: Column, country: Column) -> Column:
-    """Comma-separated parts, normalized and spelled out; empty and null-like ones dropped."""
-    parts = F.filter(F.transform(F.split(address, ","), lambda p: base_norm(p)), lambda x: (x != "") & ~x.isin(NULL_LIKE))
+
+def address_components(folded: Column, country: Column) -> Column:
+    """Comma-separated parts of a folded address, normalized and spelled out; empty and null-like ones dropped."""
+    parts = F.filter(F.transform(F.split(folded, "\u0001"), lambda p: cleaned(p)), lambda x: (x != "") & ~x.isin(NULL_LIKE))
     return F.transform(parts, lambda p: F.array_join(expand_address(tokens(p), country), " "))
 
 
@@ -145,18 +230,15 @@ def address_numbers(address: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(r"(\d+)"), F.lit(1)), lambda x: F.regexp_replace(x, "^0+(.)", "$1")))
 
 
-def normalized(df, name: str = "business_name", address: str = "business_address", country: str = "country", full: bool = False):
-    """The table with name_norm, name_core, name_sorted, name_compact, legal_form, is_domain, addr_norm, addr_components, addr_numbers, state_canon, city_canon, script, name_translit.
-
-    name_translit is name_core, in full mode with names of Indic scripts in Latin letters."""
-    c = F.col(country)
-    df = df.withColumn("name_norm", base_norm(F.col(name), full)).withColumn("is_domain", is_domain(F.col(name)))
-    core, form = legal_form(tokens(F.col("name_norm")), c)
-    core = F.when(F.col("is_domain"), F.filter(core, lambda x: ~x.isin(DOMAIN_TOKENS))).otherwise(core)
-    df = df.withColumn("name_tokens", core).withColumn("legal_form", form).withColumn("addr_components", address_components(F.col(address), c))
-    joined = F.array_join("name_tokens", " ")
-    return df.select(
-        *df.columns, joined.alias("name_core"), (transliterated(joined, script(F.col(name))) if full else joined).alias("name_translit"), F.array_join(F.array_sort("name_tokens"), " ").alias("name_sorted"), F.array_join("name_tokens", "").alias("name_compact"),
-        F.array_join("addr_components", " ").alias("addr_norm"), address_numbers(F.col(address)).alias("addr_numbers"), script(F.col(name)).alias("script"),
-        F.coalesce(F.try_element_at("addr_components", F.lit(-1)), F.lit("")).alias("state_canon"), F.coalesce(F.try_element_at("addr_components", F.lit(-2)), F.lit("")).alias("city_canon"),
-    )
+def entity_number(entity: Column) -> Column:
+    """The number of an id such as S1-12."""
+    return F.substring(entity, 4, 18).try_cast("bigint")
+
+
+def country_code(country: Column, countries: tuple[str, ...] = ("US", "India", "France")) -> Column:
+    """The place of a country in the list, 9 for others."""
+    return F.coalesce(*[F.when(country == c, i) for i, c in enumerate(countries)], F.lit(9))
+
+
+def country_norm(country: Column) -> Column:
+    return F.lower(F.regexp_replace(F.coalesce(country, F.lit("")), r"(?U)^\s+|\s+$", ""))

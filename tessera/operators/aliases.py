@@ -1,33 +1,116 @@
-"""Mining and use of place aliases from matched records."""
+"""Names of states and cities: mined from matched records, kept as a table or as JSON, used in normalization.
+
+The table is (kind, country, variant, canonical, cnt), kind being state or city."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import text as X
+
+SCHEMA = "kind string, country string, variant string, canonical string, cnt bigint"
+#: The table that serves countries without one of their own.
+GENERIC = "_generic"
+#: Aliases of smaller counts, and of variants shorter than this, are not trusted to name a city.
+TRUSTED_COUNT, TRUSTED_LENGTH = 20, 3
+
 
 def alpha(c: Column) -> Column:
     """Letters and marks only, spaces aside; not empty."""
     return F.replace(c, F.lit(" "), F.lit("")).rlike(r"^[\p{L}\p{M}]+$")
 
 
-def alias_pair(canonical: Column, variant: Column) -> Column:
-    """Both of letters, different, and the variant not Latin or short (up to 3) for a longer name."""
-    return (canonical != variant) & alpha(canonical) & alpha(variant) & (variant.rlike(r"[^\x00-\x{024F}]") | ((F.length(variant) <= 3) & (F.length(canonical) > 3)))
+def alias_pair(canonical: Column, variant: Column, script: Column | None = None) -> Column:
+    """Both of letters, different, and the variant not Latin or short (up to 3) for a longer name. script: the variant's, where it is known."""
+    short = (F.length(variant) <= 3) & (F.length(canonical) > 3)
+    other = (X.script(variant) if script is None else script) != "latin"
+    return (canonical != variant) & alpha(canonical) & alpha(variant) & (other | short)
 
 
 def mine(pairs: DataFrame, least: int = 3) -> DataFrame:
     """(country, variant, canonical, cnt) of pairs (country, canonical, variant): of each variant the most frequent name, at least so often."""
     n = pairs.groupBy("country", "variant", "canonical").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("country", "variant").orderBy(F.desc("cnt"), "canonical")
-    return n.withColumn("r", F.row_number().over(w)).filter((F.col("r") == 1) & (F.col("cnt") >= least)).drop("r")
-
-
-def lookup(rows: DataFrame, aliases: DataFrame, column: str, trusted: int | None = None) -> DataFrame:
-    """The column by its canonical name, where the country has one; trusted: names of fewer counts, or variants under 3 characters, become empty."""
-    a = aliases.select(F.col("country").alias("_c"), F.col("variant").alias("_v"), F.col("canonical").alias("_n"), F.col("cnt").alias("_k"))
-    got = rows.join(a, (F.col("country") == F.col("_c")) & (F.col(column) == F.col("_v")), "left")
-    name = F.coalesce("_n", column)
-    if trusted is not None:
-        name = F.when((F.col("_n").isNotNull()) & ((F.length(column) < 3) | (F.col("_k") < trusted)), "").otherwise(name)
-    return got.withColumn(column + "_canon", name).drop("_c", "_v", "_n", "_k")
+    best = n.groupBy("country", "variant").agg(F.min(F.struct((-F.col("cnt")).alias("less"), "canonical")).alias("b"))
+    return best.select("country", "variant", F.col("b.canonical").alias("canonical"), (-F.col("b.less")).alias("cnt")).filter(F.col("cnt") >= least)
+
+
+def observed(records: DataFrame, truth: DataFrame, per_country: int = 150_000) -> DataFrame:
+    """(kind, country, canonical, variant), a row a true pair and kind in which one side's component looks like an alias of the other's.
+
+    records: entity_id, pos, source, country, addr_components. Of each country the first so many matched S1 records count, by position."""
+    s1 = records.filter("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "pos", "country", F.col("addr_components").alias("a"))
+    matched = s1.join(truth.select("s1_id").distinct(), "s1_id", "left_semi")
+    first = matched.withColumn("r", F.row_number().over(Window.partitionBy("country").orderBy("pos", "s1_id"))).filter(F.col("r") <= per_country)
+    other = records.filter("source <> 'S1'").select(F.col("entity_id").alias("target_id"), F.col("addr_components").alias("b"))
+    both = first.select("s1_id", "country", "a").join(truth.select("s1_id", "target_id"), "s1_id").join(other, "target_id")
+    part = lambda x, i: F.try_element_at(x, F.lit(i))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), part("a", i).alias("x"), part("b", i).alias("y")) for k, i in (("state", -1), ("city", -2))]))
+    rows = both.select("country", kinds.alias("k")).select("country", "k.*").filter("x IS NOT NULL AND y IS NOT NULL")
+    rows = rows.filter("x <> y").withColumns({"sx": X.script("x"), "sy": X.script("y")})
+    forth, back = alias_pair(F.col("x"), F.col("y"), F.col("sy")), alias_pair(F.col("y"), F.col("x"), F.col("sx"))
+    rows = rows.withColumn("forth", forth).filter(F.col("forth") | back)
+    return rows.select("kind", "country", F.when(F.col("forth"), F.col("x")).otherwise(F.col("y")).alias("canonical"), F.when(F.col("forth"), F.col("y")).otherwise(F.col("x")).alias("variant"))
+
+
+def mined(records: DataFrame, truth: DataFrame, seeds: DataFrame | None = None, least: int = 3, per_country: int = 150_000) -> DataFrame:
+    """The table of aliases from matched records; seeds (kind, country, variant, canonical) fill in variants that were not found, with count 0."""
+    found = observed(records, truth, per_country)
+    keyed = found.withColumn("country", F.struct("kind", "country"))
+    table = mine(keyed, least).select("country.kind", "country.country", "variant", "canonical", "cnt")
+    if seeds is None:
+        return table
+    more = seeds.join(table, ["kind", "country", "variant"], "left_anti").select("kind", "country", "variant", "canonical", F.lit(0).cast("bigint").alias("cnt"))
+    return table.unionByName(more)
+
+
+def canonical(rows: DataFrame, aliases: DataFrame, kind: str, column: str, name: str) -> DataFrame:
+    """The rows with name, the column by its canonical name, and name_count, the alias's count, null where no alias was used.
+
+    A country without aliases of this kind uses the generic ones. The alias tables decide by their size how they are joined."""
+    a = aliases.filter(F.col("kind") == kind)
+    own = a.select(F.col("country").alias("_c"), F.col("variant").alias("_v"), F.struct("canonical", "cnt").alias("_own"))
+    generic = a.filter(F.col("country") == GENERIC).select(F.col("variant").alias("_gv"), F.struct("canonical", "cnt").alias("_generic"))
+    has = a.select(F.col("country").alias("_hc")).distinct().withColumn("_has", F.lit(True))
+    got = rows.join(own, (F.col("country") == F.col("_c")) & (F.col(column) == F.col("_v")), "left")
+    got = got.join(has, F.col("country") == F.col("_hc"), "left").join(generic, F.col(column) == F.col("_gv"), "left")
+    use = F.when(F.col("_has"), F.col("_own")).otherwise(F.col("_generic"))
+    got = got.withColumns({name: F.coalesce(use["canonical"], F.col(column)), f"{name}_count": use["cnt"]})
+    return got.drop("_c", "_v", "_own", "_gv", "_generic", "_hc", "_has")
+
+
+def trusted_city(city: Column, components: Column, count: Column) -> Column:
+    """The city where its name can be trusted: written out, or by an alias frequent enough; else empty."""
+    variant = F.try_element_at(components, F.lit(-2))
+    return F.when(variant.isNotNull() & ((F.length(variant) < TRUSTED_LENGTH) | (count < TRUSTED_COUNT)), F.lit("")).otherwise(city)
+
+
+def load(spark: SparkSession, state_path: str | None = None, city_path: str | None = None) -> DataFrame:
+    """The table from JSON files country -> variant -> {canonical, count}; a file that is not there gives no rows."""
+    out = spark.createDataFrame([], SCHEMA)
+    for kind, path in (("state", state_path), ("city", city_path)):
+        if path is None or not _exists(spark, path):
+            continue
+        text = spark.read.text(path, wholetext=True)
+        entries = F.from_json("value", "map<string, map<string, struct<canonical: string, count: bigint>>>")
+        rows = text.select(F.explode(entries).alias("country", "table")).select("country", F.explode("table").alias("variant", "entry"))
+        out = out.unionByName(rows.select(F.lit(kind).alias("kind"), "country", "variant", "entry.canonical", F.col("entry.count").alias("cnt")))
+    return out
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def as_json(aliases: DataFrame, kind: str, most: int = 1_000_000) -> str:
+    """One kind of the table as JSON, keys sorted. The table is small by nature; more rows than most are an error."""
+    rows = aliases.filter(F.col("kind") == kind).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} aliases")
+    out: dict = {}
+    for r in rows:
+        out.setdefault(r.country, {})[r.variant] = {"canonical": r.canonical, "count": r.cnt}
+    return json.dumps(out, ensure_ascii=False, indent=1, sort_keys=True)

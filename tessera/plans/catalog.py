@@ -1,496 +1,701 @@
-"""Named queries over the test tables, and the SQL that each must equal.
-
-Records come from documents: three sources by id, names the first 40 characters, addresses made of columns. True pairs are
-records of S1 and of another source with the same text, each target with the lowest such S1 record."""
+"""Named queries over the test tables, and the SQL that each must equal."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import similarity as S
 from tessera.functions import text as X
 from tessera.operators import aliases as A
-from tessera.operators import linkage as L
-from tessera.operators import profile as P
+from tessera.operators import assignment as M
+from tessera.operators import blocking as B
+from tessera.operators import evaluation as E
+from tessera.operators import features as S
+from tessera.operators import probe, profile, sampling, submission
+from tessera.operators import records as R
+from tessera.plans import fixture
+from tessera.plans import oracle as O
+from tessera.plans.fixture import records, table, truth
+from tessera.sources import splits, store, tsv
+
+#: The guard's columns where only set measures are at hand.
+_GUARD = {"name": "name_jaccard", "address": "address_component_jaccard"}
+_Q: dict = {}
+_SQL: dict[str, str] = {}
 
-THRESHOLDS = [round(0.30 + 0.02 * i, 2) for i in range(33)]
 
+def _q(name: str, sql: str | None = None):
+    def keep(f):
+        _Q[name] = f
+        if sql:
+            _SQL[name] = sql
+        return f
 
-def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return keep
 
 
-def records(spark: SparkSession, sf: str, text: bool = False) -> DataFrame:
-    s = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
-    address = F.concat((F.col("n_chars") % 50).cast("string"), F.lit(" st, "), "source", F.lit(", "), "lang")
-    cols = [F.concat(s, F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"), F.col("doc_id").alias("pos"), s.alias("source"), F.substring("text", 1, 40).alias("business_name"), address.alias("business_address"), F.col("lang").alias("country")]
-    return _t(spark, sf, "documents").select(*cols, *(["text"] if text else []))
+def norm(spark: SparkSession, sf: str) -> DataFrame:
+    return R.normalized(records(spark, sf), fixture.aliases(spark))
 
 
-def norm(spark: SparkSession, sf: str) -> DataFrame:
-    return X.normalized(records(spark, sf))
+def pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    n = norm(spark, sf)
+    return n, B.candidates(*B.sides(B.block_keys(n)))
 
 
-def truth(spark: SparkSession, sf: str) -> DataFrame:
-    r = records(spark, sf, True).withColumn("h", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
-    first = r.filter("source = 'S1'").groupBy("h").agg(F.min_by("entity_id", "pos").alias("s1_id"))
-    return r.filter("source <> 'S1'").join(first, "h").select("s1_id", F.col("entity_id").alias("target_id"), F.col("source").alias("target_source"), "country")
+def scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    n, p = pairs(spark, sf)
+    return n, M.score(S.set_features(p, n))
 
 
-def sides(r: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return r.filter("source = 'S1'"), r.filter("source <> 'S1'")
+def won(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    n, s = scored(spark, sf)
+    return n, M.many_to_one(M.accepted(s, M.THRESHOLD, **_GUARD))
 
 
-def pairs(spark: SparkSession, sf: str, cap: int = 30) -> tuple[DataFrame, DataFrame]:
-    n = norm(spark, sf)
-    s1, other = sides(L.block_keys(n))
-    return n, L.candidates(s1, other, cap)
+def _n(alias: str = "n"):
+    return F.count(F.lit(1)).alias(alias)
 
 
-def scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    n, p = pairs(spark, sf)
-    return n, L.score(L.features(p, n))
+# Scans, files
 
 
-def matched(spark: SparkSession, sf: str, t: float = 0.7) -> tuple[DataFrame, DataFrame]:
-    n, s = scored(spark, sf)
-    return n, L.many_to_one(L.accepted(s, t))
+@_q("scan_project", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 1000")
+def scan_project(spark, sf):
+    return table(spark, sf, "orders").filter("o_orderstatus = 'F' AND o_totalprice >= 1000").select("o_orderkey", "o_totalprice")
 
 
-_Q: dict = {}
-_SQL: dict[str, str] = {}
+def _written(spark, sf, source: str = "S1") -> str:
+    path = f"{store.shared_dir(spark)}/{source}.tsv"
+    rows = records(spark, sf).filter(F.col("source") == source).orderBy("pos", "entity_id")
+    tsv.write(rows.select("country", "entity_id", "business_name", "business_address"), path, one_file=True)
+    return path
 
 
-def _q(name: str, sql: str | None = None):
-    def keep(f):
-        _Q[name] = f
-        if sql:
-            _SQL[name] = sql
-        return f
+_S = "SELECT * FROM rec WHERE source = '{}'"
 
-    return keep
 
+@_q("tsv_round_trip", f"WITH {O.REC} SELECT entity_id, business_name, business_address, country FROM ({_S.format('S2')})")
+def tsv_round_trip(spark, sf):
+    return tsv.read(spark, _written(spark, sf, "S2"))
 
-def _map(m: dict) -> str:
-    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in m.items()) + "}"
-
-
-_N = r"trim(regexp_replace(strip_accents(lower({})), '[\p{{P}}\p{{S}}\p{{Z}}\p{{C}}]+', ' ', 'g'))"
-_LEGAL, _ABBR = _map(X.LEGAL["US"]), _map(X.ABBREVIATIONS)
-_REC = "rec AS (SELECT 'S' || (d.doc_id % 3 + 1) || '-' || d.doc_id AS entity_id, d.doc_id AS pos, 'S' || (d.doc_id % 3 + 1) AS source, substr(d.text, 1, 40) AS business_name, (d.n_chars % 50) || ' st, ' || d.source || ', ' || d.lang AS business_address, d.lang AS country, d.text FROM documents d)"
-_NORM = _REC + rf""", n0 AS (SELECT *, {_N.format('business_name')} AS name_norm, regexp_matches(business_name, '{X.DOMAIN}') AS is_domain FROM rec),
-n1 AS (SELECT *, list_filter(string_split(name_norm, ' '), x -> x <> '') AS toks FROM n0),
-n2 AS (SELECT *, list_filter(toks, x -> len(map_extract({_LEGAL}, x)) = 0 AND NOT (is_domain AND x IN {tuple(X.DOMAIN_TOKENS)})) AS name_tokens,
-  list_sort(list_distinct(list_transform(list_filter(toks, x -> len(map_extract({_LEGAL}, x)) > 0), x -> map_extract({_LEGAL}, x)[1]))) AS forms,
-  list_transform(list_filter(list_transform(string_split(business_address, ','), p -> {_N.format('p')}), p -> p <> '' AND p NOT IN {tuple(X.NULL_LIKE)}),
-    p -> array_to_string(list_transform(string_split(p, ' '), t -> coalesce(map_extract({_ABBR}, t)[1], t)), ' ')) AS addr_components,
-  list_distinct(list_transform(regexp_extract_all(business_address, '[0-9]+'), x -> regexp_replace(x, '^0+(.)', '\1'))) AS addr_numbers FROM n1),
-norm AS (SELECT *, array_to_string(name_tokens, ' ') AS name_core, array_to_string(name_tokens, '') AS name_compact, array_to_string(forms, '_') AS legal_form, array_to_string(addr_components, ' ') AS addr_norm,
-  coalesce(addr_components[-1], '') AS state_canon, coalesce(addr_components[-2], '') AS city_canon FROM n2)"""
-_KEYS = _NORM + """, keys AS (SELECT DISTINCT entity_id, pos, source, unnest(list_concat(list_transform(addr_numbers, x -> 'a|' || lower(trim(country)) || '|' || x || '|' || state_canon),
-  list_transform(list_filter(list_sort(list_distinct(name_tokens))[1:4], x -> length(x) >= 3), x -> 'n|' || lower(trim(country)) || '|' || x))) AS key FROM norm WHERE trim(country) <> '')"""
-_CAND = _KEYS + """, allp AS (SELECT DISTINCT a.entity_id AS s1_id, a.pos AS s1_pos, b.entity_id AS target_id, b.source AS target_source, b.pos AS target_pos FROM keys a JOIN keys b ON a.key = b.key WHERE a.source = 'S1' AND b.source <> 'S1'),
-cand AS (SELECT * FROM allp QUALIFY row_number() OVER (PARTITION BY s1_id, target_source ORDER BY target_pos, target_id) <= 30)"""
-_TRUTH = ", truth AS (SELECT f.s1_id, t.entity_id AS target_id, t.source AS target_source, t.country FROM rec t JOIN (SELECT text, arg_min(entity_id, pos) AS s1_id FROM rec WHERE source = 'S1' GROUP BY text) f USING (text) WHERE t.source <> 'S1')"
-_J = "CASE WHEN len(list_distinct(list_concat({0}, {1}))) = 0 THEN 0.0 ELSE len(list_intersect({0}, {1})) / len(list_distinct(list_concat({0}, {1}))) END"
-_SAME = "CAST(a.{0} = b.{0} AND a.{0} <> '' AS INT)"
-_FEAT = _CAND + f""", feat AS (SELECT c.*, {_SAME.format('name_core')} AS name_core_exact, {_SAME.format('name_compact')} AS name_compact_exact, {_SAME.format('addr_norm')} AS address_exact,
-  CAST(len(list_intersect(a.addr_numbers, b.addr_numbers)) AS INT) AS addr_number_overlap, {_SAME.format('state_canon')} AS state_match, {_SAME.format('city_canon')} AS city_match, {_SAME.format('legal_form')} AS legal_form_match,
-  CAST(a.country = b.country AS INT) AS country_match, CAST(abs(length(a.name_core) - length(b.name_core)) AS INT) AS name_len_diff, CAST(abs(length(a.addr_norm) - length(b.addr_norm)) AS INT) AS address_len_diff,
-  {_J.format('a.addr_components', 'b.addr_components')} AS addr_component_jaccard, {_J.format('a.name_tokens', 'b.name_tokens')} AS name_jaccard
-  FROM cand c JOIN norm a ON a.entity_id = c.s1_id JOIN norm b ON b.entity_id = c.target_id),
-scored AS (SELECT *, round(0.6 * name_jaccard + 0.2 * addr_component_jaccard + 0.1 * state_match + 0.1 * name_core_exact, 6) AS probability FROM feat),
-acc AS (SELECT * FROM scored WHERE NOT (name_jaccard < 0.35 AND addr_component_jaccard < 0.20 AND state_match = 0)),
-won AS (SELECT * FROM acc WHERE probability >= 0.7 QUALIFY row_number() OVER (PARTITION BY target_source, target_id ORDER BY probability DESC, s1_pos) = 1)"""
-
-
-def _f(pred: str, by: str = "", single: str = "1.0") -> str:
-    also = f"{by}, " if by else ""
-    every = f"(SELECT entity_id AS s1_id{', ' + by if by else ''} FROM rec{', th' if by else ''} WHERE source = 'S1')"
-    on = f"e.s1_id = p.s1_id{f' AND e.{by} = p.{by}' if by else ''}"
-    return f""", pt AS (SELECT {also}s1_id, count(*) AS p, count(*) FILTER (WHERE (s1_id, target_id) IN (SELECT (s1_id, target_id) FROM truth)) AS tp FROM {pred} GROUP BY ALL), tt AS (SELECT s1_id, count(*) AS t FROM truth GROUP BY 1),
-ev AS (SELECT e.*, coalesce(t, 0) AS t, coalesce(p, 0) AS p, coalesce(tp, 0) AS tp FROM {every} e LEFT JOIN tt USING (s1_id) LEFT JOIN pt p ON {on}),
-pr AS (SELECT *, CASE WHEN p = 0 THEN 0.0 ELSE tp / p END AS pre, CASE WHEN t = 0 THEN 1.0 ELSE tp / t END AS re FROM ev)
-SELECT {also}count(*) AS n, round(avg(CASE WHEN t = 0 AND p = 0 THEN {single} WHEN 0.25 * pre + re = 0 THEN 0.0 ELSE 1.25 * pre * re / (0.25 * pre + re) END), 6) AS macro_f05 FROM pr {'GROUP BY ' + by if by else ''}"""
 
+@_q("tsv_lines", f"WITH {O.REC} SELECT row_number() OVER (ORDER BY pos, entity_id) + 1 AS lineno, entity_id, 4 AS n_fields FROM ({_S.format('S1')})")
+def tsv_lines(spark, sf):
+    return tsv.rows(spark, _written(spark, sf)).select("lineno", F.col("fields")[1].alias("entity_id"), F.size("fields").alias("n_fields"))
 
-@_q("scan_project", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 1000")
-def scan_project(spark, sf):
-    return _t(spark, sf, "orders").filter("o_orderstatus = 'F' AND o_totalprice >= 1000").select("o_orderkey", "o_totalprice")
+
+@_q("tsv_scan", f"WITH {O.REC}, s AS ({_S.format('S2')}) SELECT CAST(count(*) + 1 AS BIGINT) AS lines, CAST(count(*) + 1 AS BIGINT) AS feeds, 0::BIGINT AS returns, 0::BIGINT AS no_final_feed, 0::BIGINT AS malformed, CAST(49 + sum(strlen(entity_id) + strlen(business_name) + strlen(business_address) + strlen(country) + 4) AS BIGINT) AS bytes FROM s")
+def tsv_scan(spark, sf):
+    return tsv.scan(spark, _written(spark, sf, "S2")).drop("examples")
+
+
+@_q("tsv_positions", f"WITH {O.REC} SELECT entity_id, row_number() OVER (ORDER BY pos, entity_id) AS pos FROM ({_S.format('S3')})")
+def tsv_positions(spark, sf):
+    return tsv.positioned(spark, _written(spark, sf, "S3")).select("entity_id", "pos")
+
+
+@_q("submission_ids", f"WITH {O.REC} SELECT entity_id FROM ({_S.format('S3')})")
+def submission_ids(spark, sf):
+    path = f"{store.shared_dir(spark)}/ids.tsv"
+    tsv.write(records(spark, sf).filter("source = 'S3'").select("entity_id", "country"), path)
+    return submission.read_ids(spark, path)
+
+
+_TRUTH_LISTS = "gt AS (SELECT entity_id AS s1, coalesce(string_agg(target_id, ', ' ORDER BY target_id), '') AS ids FROM rec LEFT JOIN truth ON s1_id = entity_id WHERE source = 'S1' GROUP BY 1)"
+
+
+def _truth_lists(spark, sf) -> DataFrame:
+    return M.listed(records(spark, sf).filter("source = 'S1'").drop("pos"), truth(spark, sf), "matched_entity_ids")
+
+
+@_q("truth_pairs", f"WITH {O.REC} SELECT s1_id, target_id, target_source FROM truth")
+def truth_pairs(spark, sf):
+    return tsv.truth_pairs(_truth_lists(spark, sf))
 
 
-@_q("normalize_name", f"WITH {_NORM} SELECT entity_id, name_norm, name_core, array_to_string(list_sort(name_tokens), ' ') AS name_sorted, name_compact FROM norm")
+@_q("matched_ids", f"WITH {O.REC} SELECT DISTINCT target_id AS entity_id FROM truth JOIN rec ON entity_id = s1_id WHERE country = 'India'")
+def matched_ids(spark, sf):
+    return tsv.matched_ids(_truth_lists(spark, sf), records(spark, sf).filter("source = 'S1' AND country = 'India'"))
+
+
+@_q("split_loaded", f"WITH {O.REC} SELECT source, count(*) AS n, CAST(sum(length(business_name)) AS BIGINT) AS letters FROM rec GROUP BY 1 UNION ALL SELECT 'truth', count(*), 0 FROM truth")
+def split_loaded(spark, sf):
+    data = splits.load(spark, _split_folder(spark, sf), "train")
+    counts = data.records.groupBy("source").agg(_n(), F.sum(F.length("business_name")).alias("letters"))
+    return counts.unionByName(data.truth.agg(_n()).select(F.lit("truth").alias("source"), "n", F.lit(0).cast("bigint").alias("letters")))
+
+
+def _split_folder(spark, sf) -> str:
+    folder = store.shared_dir(spark)
+    for i in (1, 2, 3):
+        tsv.write(records(spark, sf).filter(f"source = 'S{i}'").select(*tsv.COLUMNS), f"{folder}/train/train_source{i}.tsv")
+    tsv.write(_truth_lists(spark, sf), f"{folder}/train/train_ground_truth.tsv")
+    return folder
+
+
+@_q("preprocessed", f"WITH {O.NORM} SELECT entity_id, name_core, legal_form, addr_norm, state_canon, city_canon FROM norm WHERE source = 'S2'")
+def preprocessed(spark, sf):
+    folder = _split_folder(spark, sf)
+    splits.preprocess(spark, folder, "train", f"{folder}/normalized", fixture.aliases(spark))
+    return R.read(spark, f"{folder}/normalized/train_source2.parquet").select("entity_id", "name_core", "legal_form", "addr_norm", "state_canon", "city_canon")
+
+
+# Normalization
+
+
+@_q("normalize_name", f"WITH {O.NORM} SELECT entity_id, name_norm, name_core, name_sorted, name_compact FROM norm")
 def normalize_name(spark, sf):
     return norm(spark, sf).select("entity_id", "name_norm", "name_core", "name_sorted", "name_compact")
 
 
-_PART = f"p0 AS (SELECT p_partkey, list_filter(string_split({_N.format('p_name || chr(32) || ' + chr(39) + 'Co. Ltd' + chr(39))}, ' '), x -> x <> '') AS w FROM part)"
+@_q("normalize_record", f"WITH {O.NORM} SELECT entity_id, legal_form, is_domain, addr_norm, array_to_string(addr_components, '|') AS components, state_canon, city_canon, city_trusted, country_norm FROM norm")
+def normalize_record(spark, sf):
+    city = A.trusted_city(F.col("city_canon"), F.col("addr_components"), F.col("city_count")).alias("city_trusted")
+    return norm(spark, sf).select("entity_id", "legal_form", "is_domain", "addr_norm", F.array_join("addr_components", "|").alias("components"), "state_canon", "city_canon", city, "country_norm")
 
 
-@_q("legal_strip", f"WITH {_PART} SELECT p_partkey, array_to_string(list_filter(w, x -> len(map_extract({_LEGAL}, x)) = 0), ' ') AS rest, array_to_string(list_sort(list_distinct(list_transform(list_filter(w, x -> len(map_extract({_LEGAL}, x)) > 0), x -> map_extract({_LEGAL}, x)[1]))), '_') AS form FROM p0")
+@_q("legal_strip", f"WITH {O.NORM} SELECT entity_id, country, array_to_string(list_filter(toks, x -> NOT ({O.IS})), ' ') AS rest, legal_form FROM norm")
 def legal_strip(spark, sf):
-    w = X.tokens(X.base_norm(F.concat("p_name", F.lit(" Co. Ltd"))))
-    rest, form = X.legal_form(w, F.lit("US"))
-    return _t(spark, sf, "part").select("p_partkey", F.array_join(rest, " ").alias("rest"), form.alias("form"))
+    rest, form = X.legal_form(X.tokens(X.base_norm(F.col("business_name"))), F.col("country"))
+    return records(spark, sf).select("entity_id", "country", F.array_join(rest, " ").alias("rest"), form.alias("legal_form"))
 
 
-@_q("domain_flag", f"SELECT page_id, regexp_matches(url, '{X.DOMAIN}') AS is_domain FROM pages")
+@_q("domain_flag", f"SELECT page_id, regexp_matches(url, '{O.DOMAIN}') AS is_domain FROM pages")
 def domain_flag(spark, sf):
-    return _t(spark, sf, "pages").select("page_id", X.is_domain(F.col("url")).alias("is_domain"))
+    return table(spark, sf, "pages").select("page_id", X.is_domain(F.col("url")).alias("is_domain"))
 
 
-@_q("addr_components", f"WITH {_NORM} SELECT entity_id, array_to_string(addr_components, '|') AS components, state_canon, city_canon FROM norm")
+@_q("addr_components", f"WITH {O.PARTS} SELECT entity_id, array_to_string(addr_components, '|') AS components, coalesce(addr_components[-1], '') AS last, coalesce(addr_components[-2], '') AS before_last FROM n2")
 def addr_components(spark, sf):
-    return norm(spark, sf).select("entity_id", F.array_join("addr_components", "|").alias("components"), "state_canon", "city_canon")
+    n = R.normalized(records(spark, sf))
+    return n.select("entity_id", F.array_join("addr_components", "|").alias("components"), F.col("state_canon").alias("last"), F.col("city_canon").alias("before_last"))
 
 
-@_q("addr_numbers", f"WITH {_NORM} SELECT entity_id, array_to_string(list_sort(addr_numbers), '|') AS numbers FROM norm")
+@_q("addr_numbers", f"WITH {O.PARTS} SELECT entity_id, array_to_string(list_sort(addr_numbers), '|') AS numbers FROM n2")
 def addr_numbers(spark, sf):
-    return norm(spark, sf).select("entity_id", F.array_join(F.array_sort("addr_numbers"), "|").alias("numbers"))
+    return records(spark, sf).select("entity_id", F.array_join(F.array_sort(X.address_numbers(F.col("business_address"))), "|").alias("numbers"))
 
 
-_AL = "al AS (SELECT n_name AS canonical, left(n_name, 2) AS variant, r_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+@_q("entity_numbers", f"WITH {O.REC} SELECT entity_id, CAST(substr(entity_id, 4) AS BIGINT) AS number, CASE country WHEN 'US' THEN 0 WHEN 'India' THEN 1 WHEN 'France' THEN 2 ELSE 9 END AS code, lower(trim(country)) AS country_norm FROM rec")
+def entity_numbers(spark, sf):
+    c = F.col("country")
+    return records(spark, sf).select("entity_id", X.entity_number(F.col("entity_id")).alias("number"), X.country_code(c).alias("code"), X.country_norm(c).alias("country_norm"))
 
 
-def _alias_rows(spark, sf):
-    return _t(spark, sf, "customer").join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("canonical"), F.left("n_name", F.lit(2)).alias("variant"), F.col("r_name").alias("country"))
+@_q("script_of", rf"WITH {O.REC}, s AS (SELECT *, len(regexp_extract_all(business_name, '[\x{{904}}-\x{{939}}]')) AS h, len(regexp_extract_all(business_name, '[a-zA-ZÀ-ɏ]')) AS l FROM rec) SELECT entity_id, CASE WHEN h = 0 AND l = 0 THEN 'other' WHEN h > 0 AND h >= l THEN 'devanagari' ELSE 'latin' END AS script FROM s")
+def script_of(spark, sf):
+    return records(spark, sf).select("entity_id", X.script(F.col("business_name")).alias("script"))
 
 
-_MINED = _AL + ", mined AS (SELECT country, variant, canonical, count(*) AS cnt FROM al GROUP BY country, variant, canonical QUALIFY row_number() OVER (PARTITION BY country, variant ORDER BY count(*) DESC, canonical) = 1), mi AS (SELECT * FROM mined WHERE cnt >= 3)"
+_OBSERVED = """alpha AS (SELECT 1), both_sides AS (SELECT a.country, unnest([{'kind': 'state', 'x': a.addr_components[-1], 'y': b.addr_components[-1]}, {'kind': 'city', 'x': a.addr_components[-2], 'y': b.addr_components[-2]}]) AS s FROM truth t JOIN n2 a ON a.entity_id = t.s1_id JOIN n2 b ON b.entity_id = t.target_id),
+flat AS (SELECT country, s.kind AS kind, s.x AS x, s.y AS y FROM both_sides WHERE s.x IS NOT NULL AND s.y IS NOT NULL AND s.x <> s.y AND regexp_matches(replace(s.x, ' ', ''), '^[\\p{L}\\p{M}]+$') AND regexp_matches(replace(s.y, ' ', ''), '^[\\p{L}\\p{M}]+$')),
+obs AS (SELECT kind, country, x AS canonical, y AS variant FROM flat WHERE regexp_matches(y, '[\\x{900}-\\x{D7F}]') OR (length(y) <= 3 AND length(x) > 3)
+ UNION ALL SELECT kind, country, y, x FROM flat WHERE NOT (regexp_matches(y, '[\\x{900}-\\x{D7F}]') OR (length(y) <= 3 AND length(x) > 3)) AND (regexp_matches(x, '[\\x{900}-\\x{D7F}]') OR (length(x) <= 3 AND length(y) > 3)))"""
 
 
-@_q("alias_mine", f"WITH {_MINED} SELECT * FROM mi")
+@_q("alias_mine", f"WITH {O.PARTS}, {_OBSERVED} SELECT kind, country, variant, canonical, count(*) AS cnt FROM obs GROUP BY kind, country, variant, canonical QUALIFY row_number() OVER (PARTITION BY kind, country, variant ORDER BY count(*) DESC, canonical) = 1 AND count(*) >= 3")
 def alias_mine(spark, sf):
-    return A.mine(_alias_rows(spark, sf))
+    return A.mined(R.normalized(records(spark, sf)), truth(spark, sf))
+
 
+@_q("alias_seeded", f"WITH {O.PARTS}, {_OBSERVED}, m AS (SELECT kind, country, variant, canonical, count(*) AS cnt FROM obs GROUP BY kind, country, variant, canonical QUALIFY row_number() OVER (PARTITION BY kind, country, variant ORDER BY count(*) DESC, canonical) = 1 AND count(*) >= 3), {O.ALIASES} SELECT * FROM m UNION ALL SELECT kind, country, variant, canonical, 0 FROM alias a WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.kind = a.kind AND m.country = a.country AND m.variant = a.variant)")
+def alias_seeded(spark, sf):
+    return A.mined(R.normalized(records(spark, sf)), truth(spark, sf), fixture.aliases(spark).drop("cnt"))
 
-@_q("alias_lookup", f"WITH {_MINED} SELECT al.country, al.variant, al.canonical, CASE WHEN mi.canonical IS NOT NULL AND (length(al.variant) < 2 OR cnt < 20) THEN '' ELSE coalesce(mi.canonical, al.variant) END AS named FROM al LEFT JOIN mi USING (country, variant)")
+
+@_q("alias_lookup", f"WITH {O.NORM} SELECT entity_id, state_raw, state_canon, coalesce(state_alias.cnt, -1) AS cnt FROM norm")
 def alias_lookup(spark, sf):
-    rows = _alias_rows(spark, sf)
-    mined = A.mine(rows)
-    got = A.lookup(rows.withColumn("v", F.concat("variant", F.lit("_"))), mined.withColumn("variant", F.concat("variant", F.lit("_"))), "v", 20)
-    return got.select("country", "variant", "canonical", F.when(F.col("v_canon") == F.col("v"), F.col("variant")).otherwise(F.col("v_canon")).alias("named"))
+    n = R.normalized(records(spark, sf)).withColumnRenamed("state_canon", "state_raw")
+    got = A.canonical(n, fixture.aliases(spark), "state", "state_raw", "state_canon")
+    return got.select("entity_id", "state_raw", "state_canon", F.coalesce("state_canon_count", F.lit(-1).cast("bigint")).alias("cnt"))
 
 
-@_q("alias_pair_pred", rf"SELECT n_nationkey, n_name <> left(n_name, 3) AND regexp_matches(replace(n_name, ' ', ''), '^[\p{{L}}\p{{M}}]+$') AND (regexp_matches(left(n_name, 3), '[^\x00-\x{{24F}}]') OR length(n_name) > 3) AS is_pair FROM nation")
+@_q("alias_pair_pred", r"SELECT n_nationkey, n_name <> left(n_name, 3) AND regexp_matches(replace(n_name, ' ', ''), '^[\p{L}\p{M}]+$') AND (regexp_matches(left(n_name, 3), '[\x{900}-\x{D7F}]') OR length(n_name) > 3) AS is_pair FROM nation")
 def alias_pair_pred(spark, sf):
-    return _t(spark, sf, "nation").select("n_nationkey", A.alias_pair(F.col("n_name"), F.left("n_name", F.lit(3))).alias("is_pair"))
+    return table(spark, sf, "nation").select("n_nationkey", A.alias_pair(F.col("n_name"), F.left("n_name", F.lit(3))).alias("is_pair"))
+
+
+# Blocking
 
 
-@_q("block_keys", f"WITH {_KEYS} SELECT entity_id, key FROM keys")
+@_q("block_keys", f"WITH {O.KEYS} SELECT entity_id, key FROM keys")
 def block_keys(spark, sf):
-    return L.block_keys(norm(spark, sf)).select("entity_id", "key")
+    return B.block_keys(norm(spark, sf)).select("entity_id", "key")
 
 
-@_q("semi_reduced_keys", f"WITH {_KEYS} SELECT entity_id, key FROM keys WHERE source <> 'S1' AND key IN (SELECT key FROM keys WHERE source = 'S1')")
+@_q("semi_reduced_keys", f"WITH {O.KEYS} SELECT entity_id, key FROM keys WHERE source <> 'S1' AND key IN (SELECT key FROM keys WHERE source = 'S1')")
 def semi_reduced_keys(spark, sf):
-    s1, other = sides(L.block_keys(norm(spark, sf)))
-    return L.semi_reduced(other, s1).select("entity_id", "key")
+    s1, other = B.sides(B.block_keys(norm(spark, sf)))
+    return B.semi_reduced(other, s1).select("entity_id", "key")
 
 
-@_q("candidates_capped", f"WITH {_CAND} SELECT s1_id, target_id, target_source FROM cand")
+@_q("candidates_capped", f"WITH {O.CAND} SELECT s1_id, target_id, target_source FROM cand")
 def candidates_capped(spark, sf):
     return pairs(spark, sf)[1].select("s1_id", "target_id", "target_source")
 
 
-@_q("candidates_union", f"WITH {_CAND} SELECT target_source, count(*) AS n, count(DISTINCT s1_id) AS n_s1 FROM cand GROUP BY 1")
+@_q("candidates_union", f"WITH {O.CAND} SELECT target_source, count(*) AS n, count(DISTINCT s1_id) AS n_s1 FROM cand GROUP BY 1")
 def candidates_union(spark, sf):
-    return pairs(spark, sf)[1].groupBy("target_source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s1_id").alias("n_s1"))
+    return pairs(spark, sf)[1].groupBy("target_source").agg(_n(), F.count_distinct("s1_id").alias("n_s1"))
 
 
-_WORD = _NORM + ", word AS (SELECT entity_id, source, unnest(list_distinct(name_tokens)) AS token FROM norm), rare AS (SELECT token FROM word WHERE source <> 'S1' GROUP BY 1 HAVING count(*) < 0.01 * (SELECT count(*) FROM norm WHERE source <> 'S1')), rp AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS target_id FROM word a JOIN word b ON a.token = b.token JOIN rare r ON r.token = a.token WHERE a.source = 'S1' AND b.source <> 'S1')"
+@_q("rare_token_block", f"WITH {O.WORD} SELECT * FROM rp")
+def rare_token_block(spark, sf):
+    return B.rare_token_pairs(*B.sides(norm(spark, sf)))
 
 
-@_q("rare_token_block", f"WITH {_WORD} SELECT * FROM rp")
-def rare_token_block(spark, sf):
-    return L.rare_token_pairs(*sides(norm(spark, sf)))
+@_q("postcode", f"WITH {O.REC} SELECT entity_id, {O.CODE} AS postcode FROM rec")
+def postcode(spark, sf):
+    return records(spark, sf).select("entity_id", X.postcode(F.col("business_address"), F.col("country")).alias("postcode"))
 
 
-@_q("union_strategy", f"WITH {_CAND + _WORD[len(_NORM):]} SELECT s1_id, target_id FROM rp UNION SELECT s1_id, target_id FROM cand")
+@_q("postcode_block", f"WITH {O.REC}, p AS (SELECT *, {O.CODE} AS postcode FROM rec) SELECT a.entity_id AS s1_id, b.entity_id AS target_id, postcode FROM p a JOIN p b USING (country, postcode) WHERE a.source = 'S1' AND b.source <> 'S1'")
+def postcode_block(spark, sf):
+    return B.postcode_pairs(*B.sides(records(spark, sf)))
+
+
+@_q("tfidf_topk", f"WITH {O.NORM}{O.similar('n', 'norm', 'name_core', False, 5)} SELECT s1_id, target_id, rank, similarity FROM n_top")
+def tfidf_topk(spark, sf):
+    s1, pool = B.sides(norm(spark, sf))
+    return B.nearest(B.tfidf(s1, pool), B.tfidf(pool, pool), 5).select("s1_id", "target_id", "rank", "similarity")
+
+
+@_q("tfidf_by_country", f"WITH {O.PROBE}{O.similar('d', 'pr0', 'name_address', True, 10)} SELECT s1_id, target_id, rank, similarity FROM d_top")
+def tfidf_by_country(spark, sf):
+    return probe.neighbours(*B.sides(probe.with_text(norm(spark, sf))), "name_address", 10).select("s1_id", "target_id", "rank", "similarity")
+
+
+@_q("union_strategy", f"WITH {O.PROBE}{O.similar('c', 'pr0', 'name_text', True, 10)} SELECT a.entity_id AS s1_id, b.entity_id AS target_id FROM pr0 a JOIN pr0 b USING (country, code) WHERE a.source = 'S1' AND b.source <> 'S1' UNION SELECT s1_id, target_id FROM c_top")
 def union_strategy(spark, sf):
-    n, p = pairs(spark, sf)
-    return L.rare_token_pairs(*sides(n)).union(p.select("s1_id", "target_id")).distinct()
+    s1, pool = B.sides(probe.with_text(norm(spark, sf)))
+    near = probe.neighbours(s1, pool, "name_text", 10).select("s1_id", "target_id")
+    return B.postcode_pairs(s1, pool).select("s1_id", "target_id").union(near).distinct()
+
+
+_KS = (5, 10)
+_STRATEGY = f"""WITH {O.PROBE}{O.similar('c', 'pr0', 'name_text', True, 10)}{O.similar('d', 'pr0', 'name_address', True, 10)},
+w AS (SELECT entity_id, source, country, unnest(list_distinct(nt)) AS token FROM pr0),
+pn AS (SELECT country, count(*) AS n FROM pr0 WHERE source <> 'S1' GROUP BY 1), rt AS (SELECT country, token FROM (SELECT country, token, count(*) AS df FROM w WHERE source <> 'S1' GROUP BY ALL) JOIN pn USING (country) WHERE df < 0.01 * n),
+a AS (SELECT a.entity_id AS s1_id, b.entity_id AS target_id FROM pr0 a JOIN pr0 b USING (country, code) WHERE a.source = 'S1' AND b.source <> 'S1'),
+found AS (SELECT 'a' AS strategy, * FROM a UNION ALL SELECT DISTINCT 'b', x.entity_id, y.entity_id FROM w x JOIN w y USING (country, token) JOIN rt USING (country, token) WHERE x.source = 'S1' AND y.source <> 'S1'
+ UNION ALL SELECT 'c@5', s1_id, target_id FROM c_top WHERE rank <= 5 UNION ALL SELECT 'c@10', s1_id, target_id FROM c_top UNION ALL SELECT 'd@5', s1_id, target_id FROM d_top WHERE rank <= 5 UNION ALL SELECT 'd@10', s1_id, target_id FROM d_top
+ UNION ALL SELECT 'e', s1_id, target_id FROM (SELECT * FROM a UNION SELECT s1_id, target_id FROM c_top)),
+qc AS (SELECT entity_id AS s1_id, unnest([country, 'all']) AS country FROM rec WHERE source = 'S1'), nq AS (SELECT country, count(*) AS n FROM qc GROUP BY 1), nt2 AS (SELECT country, count(*) AS t FROM truth JOIN qc USING (s1_id) GROUP BY 1),
+h AS (SELECT strategy, country, count(*) AS c, count(t.target_id) AS hits FROM found f LEFT JOIN truth t USING (s1_id, target_id) JOIN qc USING (s1_id) GROUP BY ALL)
+SELECT strategy, country, round(CASE WHEN coalesce(t, 0) = 0 THEN 1.0 ELSE coalesce(hits, 0) / t END, 6) AS recall, round(coalesce(c, 0) / n, 6) AS mean_candidates FROM (SELECT unnest(['a', 'b', 'c@5', 'c@10', 'd@5', 'd@10', 'e']) AS strategy) CROSS JOIN nq LEFT JOIN nt2 USING (country) LEFT JOIN h USING (strategy, country)"""
+
+
+@_q("strategy_recall", _STRATEGY)
+def strategy_recall(spark, sf):
+    s1, pool = B.sides(norm(spark, sf))
+    return probe.measured(probe.strategies(s1, pool, _KS), s1, truth(spark, sf), _KS)
+
+
+_DIST = ", ".join(f"round(quantile_cont(x, {q}), 6) AS p{int(q * 100)}" for q in (0.05, 0.25, 0.5, 0.75, 0.95))
+
+
+@_q("score_distribution", f"""WITH {O.PROBE}{O.similar('d', 'pr0', 'name_address', True, 10)}, m AS (SELECT DISTINCT s1_id FROM truth), j AS (SELECT d.*, t.s1_id IS NOT NULL AS is_true, m.s1_id IS NOT NULL AS matched FROM d_top d LEFT JOIN truth t USING (s1_id, target_id) LEFT JOIN m ON m.s1_id = d.s1_id),
+k AS (SELECT 'top-1 (singletons)' AS kind, s1_id, similarity AS x, is_true FROM j WHERE rank = 1 AND NOT matched UNION ALL SELECT 'top-1 (matched)', s1_id, similarity, is_true FROM j WHERE rank = 1 AND matched UNION ALL SELECT 'best true (matched)', s1_id, max(similarity), true FROM j WHERE is_true GROUP BY 2)
+SELECT kind, count(*) AS n, {_DIST}, {O.share('x >= 0.5')} AS from50, {O.share('x >= 0.7')} AS from70, {O.share('x >= 0.9')} AS from90, {O.share('is_true')} AS top_is_true FROM k GROUP BY 1""")
+def score_distribution(spark, sf):
+    s1, pool = B.sides(probe.with_text(norm(spark, sf)))
+    return probe.score_distribution(probe.neighbours(s1, pool, "name_address", 10), s1, truth(spark, sf))
+
+
+@_q("cosine_topk", "WITH q AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT q.vec_id AS query_id, b.vec_id AS vec_id, round(list_dot_product(q.e, b.embedding::DOUBLE[]) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 5) AS similarity FROM q, embeddings b WHERE q.vec_id <> b.vec_id) SELECT query_id, vec_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INT) AS rank, similarity FROM s QUALIFY rank <= 10")
+def cosine_topk(spark, sf):
+    """A stated query set (ids divisible by 50) against all rows, in blocks of queries and of rows; each vector is brought to length one once."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    e = e.withColumn("l", F.sqrt(dot(F.col("e"), F.col("e")))).select("vec_id", F.transform("e", lambda x: x / F.col("l")).alias("e"))
+    q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = B.fragment_pairs(q, e, 1 + q.count() // 2000, tasks).filter("vec_id <> query_id")
+    similar = both.select("query_id", "vec_id", F.round(dot(F.col("q"), F.col("e")), 5).alias("similarity"))
+    order = [F.desc("similarity"), F.col("vec_id")]
+    from pyspark.sql import Window
+
+    ranked = similar.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    return ranked.filter("rank <= 10").select("query_id", "vec_id", "rank", "similarity")
+
+
+# Features, matches, measures
 
 
-@_q("recall_at_cap", f"WITH {_CAND + _TRUTH} SELECT count(*) AS n_true, count(c.s1_id) AS n_found, CASE WHEN count(*) = 0 THEN 1.0 ELSE count(c.s1_id) / count(*) END AS recall FROM truth t LEFT JOIN cand c ON t.s1_id = c.s1_id AND t.target_id = c.target_id")
+@_q("recall_at_cap", f"WITH {O.CAND} SELECT count(*) AS n_true, count(c.s1_id) AS n_found, CASE WHEN count(*) = 0 THEN 1.0 ELSE count(c.s1_id) / count(*) END AS recall FROM truth t LEFT JOIN cand c ON t.s1_id = c.s1_id AND t.target_id = c.target_id")
 def recall_at_cap(spark, sf):
-    return L.recall(truth(spark, sf), pairs(spark, sf)[1])
+    return E.recall(truth(spark, sf), pairs(spark, sf)[1])
 
 
-@_q("label_pairs", f"WITH {_CAND + _TRUTH} SELECT c.s1_id, c.target_id, CAST(t.s1_id IS NOT NULL AS INT) AS label FROM cand c LEFT JOIN truth t ON t.s1_id = c.s1_id AND t.target_id = c.target_id")
+@_q("label_pairs", f"WITH {O.CAND} SELECT c.s1_id, c.target_id, CAST(t.s1_id IS NOT NULL AS INT) AS label FROM cand c LEFT JOIN truth t ON t.s1_id = c.s1_id AND t.target_id = c.target_id")
 def label_pairs(spark, sf):
-    return L.labelled(pairs(spark, sf)[1], truth(spark, sf)).select("s1_id", "target_id", "label")
+    return E.labelled(pairs(spark, sf)[1], truth(spark, sf)).select("s1_id", "target_id", "label")
 
 
-@_q("features_setwise", f"WITH {_FEAT} SELECT s1_id, target_id, {', '.join(c if 'jaccard' not in c else f'round({c}, 9) AS {c}' for c in L.FEATURES)} FROM feat")
+_ROUNDED = ", ".join(c if "jaccard" not in c else f"round({c}, 9) AS {c}" for c in S.SET_FEATURES)
+
+
+@_q("features_setwise", f"WITH {O.FEAT} SELECT s1_id, target_id, {_ROUNDED} FROM feat")
 def features_setwise(spark, sf):
     n, p = pairs(spark, sf)
-    return L.features(p, n).select("s1_id", "target_id", *[F.round(c, 9).alias(c) if "jaccard" in c else F.col(c) for c in L.FEATURES])
+    return S.set_features(p, n).select("s1_id", "target_id", *[F.round(c, 9).alias(c) if "jaccard" in c else F.col(c) for c in S.SET_FEATURES])
 
 
-@_q("many_to_one", f"WITH {_FEAT} SELECT s1_id, target_id, probability FROM won")
+@_q("many_to_one", f"WITH {O.FEAT} SELECT s1_id, target_id, probability FROM won")
 def many_to_one(spark, sf):
-    return matched(spark, sf)[1].select("s1_id", "target_id", "probability")
+    return won(spark, sf)[1].select("s1_id", "target_id", "probability")
 
 
-@_q("second_best_margin", f"WITH {_FEAT} SELECT s1_id, target_id, max(probability) OVER w AS best_score, coalesce(nth_value(probability, 2) OVER o, 0.0) AS second_best_score, round(max(probability) OVER w - coalesce(nth_value(probability, 2) OVER o, 0.0), 6) AS margin FROM scored WINDOW w AS (PARTITION BY target_source, target_id), o AS (PARTITION BY target_source, target_id ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+@_q("second_best_margin", f"WITH {O.FEAT} SELECT s1_id, target_id, max(probability) OVER w AS best_score, coalesce(nth_value(probability, 2) OVER o, 0.0) AS second_best_score, round(max(probability) OVER w - coalesce(nth_value(probability, 2) OVER o, 0.0), 6) AS margin FROM scored WINDOW w AS (PARTITION BY target_source, target_id), o AS (PARTITION BY target_source, target_id ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
 def second_best_margin(spark, sf):
-    return L.margins(scored(spark, sf)[1]).select("s1_id", "target_id", "best_score", "second_best_score", "margin")
+    return M.margins(scored(spark, sf)[1]).select("s1_id", "target_id", "best_score", "second_best_score", "margin")
+
 
+_LISTS = "g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM {} GROUP BY 1) SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS {} FROM rec LEFT JOIN g ON s1_id = entity_id WHERE source = 'S1'"
 
-@_q("match_results", f"WITH {_FEAT}, g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM won GROUP BY 1) SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids FROM rec LEFT JOIN g ON s1_id = entity_id WHERE source = 'S1'")
+
+@_q("match_results", f"WITH {O.FEAT}, " + _LISTS.format("won", "matched_entity_ids"))
 def match_results(spark, sf):
-    n, won = matched(spark, sf)
-    return L.listed(n.filter("source = 'S1'"), won, "matched_entity_ids")
+    n, s = scored(spark, sf)
+    return M.results(n.filter("source = 'S1'"), s, M.THRESHOLD, **_GUARD)
 
 
-@_q("candidate_output", f"WITH {_CAND}, g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM cand GROUP BY 1) SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS candidate_entity_ids FROM rec LEFT JOIN g ON s1_id = entity_id WHERE source = 'S1'")
+@_q("candidate_output", f"WITH {O.CAND}, " + _LISTS.format("cand", "candidate_entity_ids"))
 def candidate_output(spark, sf):
     n, p = pairs(spark, sf)
-    return L.listed(n.filter("source = 'S1'"), p, "candidate_entity_ids")
+    return M.listed(n.filter("source = 'S1'"), p, "candidate_entity_ids")
 
 
-@_q("macro_f05_spec", f"WITH {_FEAT + _TRUTH}" + _f("won"))
+@_q("macro_f05_spec", f"WITH {O.FEAT}" + O.macro("won"))
 def macro_f05_spec(spark, sf):
-    n, won = matched(spark, sf)
-    return L.f_half(n.filter("source = 'S1'"), truth(spark, sf), won)
+    n, w = won(spark, sf)
+    return E.f_half(n.filter("source = 'S1'"), truth(spark, sf), w)
 
 
-@_q("macro_f05_code", f"WITH {_FEAT + _TRUTH}" + _f("won", single="0.0"))
+@_q("macro_f05_code", f"WITH {O.FEAT}" + O.macro("won", single="0.0"))
 def macro_f05_code(spark, sf):
-    n, won = matched(spark, sf)
-    return L.f_half(n.filter("source = 'S1'"), truth(spark, sf), won, singleton=0.0)
+    n, w = won(spark, sf)
+    return E.f_half(n.filter("source = 'S1'"), truth(spark, sf), w, singleton=0.0)
 
 
-_TH = f", th AS (SELECT unnest({THRESHOLDS})::DOUBLE AS threshold), sw AS (SELECT a.*, threshold FROM acc a JOIN th ON probability >= threshold QUALIFY row_number() OVER (PARTITION BY target_source, target_id, threshold ORDER BY probability DESC, s1_pos) = 1)"
+def _swept(spark, sf) -> DataFrame:
+    n, s = scored(spark, sf)
+    return E.sweep(n.filter("source = 'S1'"), truth(spark, sf), s, **_GUARD)
 
 
-@_q("threshold_sweep", f"WITH {_FEAT + _TRUTH + _TH}" + _f("sw", "threshold"))
+@_q("threshold_sweep", f"WITH {O.SWEEP}" + O.macro("sw", "threshold"))
 def threshold_sweep(spark, sf):
-    n, s = scored(spark, sf)
-    return L.sweep(n.filter("source = 'S1'"), truth(spark, sf), s, THRESHOLDS)
+    return _swept(spark, sf)
+
+
+@_q("threshold_choice", f"SELECT threshold, macro_f05 FROM (WITH {O.SWEEP}" + O.macro("sw", "threshold") + ") ORDER BY macro_f05 DESC, threshold LIMIT 1")
+def threshold_choice(spark, sf):
+    return E.choose(_swept(spark, sf))
+
+
+@_q("jaccard_bins", f"WITH {O.PAIRS} SELECT country, target_source, {O.BIN.format('j')} AS bin, count(*) AS n FROM pm GROUP BY ALL")
+def jaccard_bins(spark, sf):
+    from tessera.functions import similarity
+
+    both = S.beside(truth(spark, sf), norm(spark, sf).withColumn("w", X.tokens(F.col("name_norm"))), ["w", "country"])
+    binned = both.withColumn("j", similarity.jaccard(F.col("a_w"), F.col("b_w"), 1.0))
+    return binned.groupBy(F.col("b_country").alias("country"), "target_source", E.binned("j").alias("bin")).agg(_n())
+
+
+_SHARES = ", ".join(f"{O.share('(' + O.BIN.format('j') + f') = {b!r}')} AS bin{i}" for i, (b, _) in enumerate(E.BINS))
+
+
+@_q("pair_metrics", f"""WITH {O.PAIRS} SELECT country, target_source, count(*) AS n, {O.share('lower(an) = lower(bn)')} AS eq_lower, {O.share('ann = bnn')} AS eq_norm, {O.mean('j')} AS name_jaccard, {O.mean('aj')} AS address_jaccard, {_SHARES},
+ {O.share('ac IS NOT NULL')} AS has_code_s1, {O.share('bc IS NOT NULL')} AS has_code_target, count(*) FILTER (WHERE ac IS NOT NULL AND bc IS NOT NULL) AS n_codes, {O.share('CASE WHEN ac IS NOT NULL AND bc IS NOT NULL THEN ac = bc END')} AS codes_agree FROM pm GROUP BY ALL""")
+def pair_metrics(spark, sf):
+    return E.pair_metrics(truth(spark, sf), norm(spark, sf))
+
+
+@_q("before_after", f"WITH {O.BEFORE_AFTER}")
+def before_after(spark, sf):
+    n, t = norm(spark, sf), truth(spark, sf)
+    s1, pool = B.sides(n)
+    kinds = t.withColumn("kind", F.lit("pair")).unionByName(sampling.random_others(s1, pool, t).withColumn("kind", F.lit("non-pair")))
+    return E.before_after(kinds, n).filter("variant <> 'TRANSLIT'")
+
+
+@_q("nonmatch_sample", f"WITH {O.REC}{O.HASHED} SELECT * FROM other")
+def nonmatch_sample(spark, sf):
+    return sampling.random_others(*B.sides(records(spark, sf)), truth(spark, sf))
 
 
-@_q("inventory", f"WITH {_REC} SELECT source, count(*) AS n_rows, count(DISTINCT entity_id) AS n_ids, count(*) FILTER (WHERE trim(business_name) = '') AS n_empty_name, count(*) FILTER (WHERE lower(trim(business_name)) IN ('null', 'na', 'n/a', 'none', 'nan', '')) AS n_null_like, count(*) FILTER (WHERE NOT regexp_matches(entity_id, '^S[123]-[0-9]+$')) AS n_bad_id FROM rec GROUP BY 1")
+@_q("hardest_pairs", f"WITH {O.PAIRS} SELECT country, s1_id, target_id, round(j, 9) AS name_jaccard FROM pm QUALIFY row_number() OVER (PARTITION BY country ORDER BY round(j, 9), md5(s1_id || target_id || '42'), s1_id, target_id) <= 5")
+def hardest_pairs(spark, sf):
+    return profile.hardest_pairs(truth(spark, sf), norm(spark, sf))
+
+
+# Profiles
+
+
+_NULLISH = "('null', '<null>', 'n/a', 'na', 'none', 'nan', '-', '--', 'nil', '#n/a')"
+_FIELDS = ", ".join(f"count(*) FILTER (WHERE trim({c}) = '') AS empty_{c}, count(*) FILTER (WHERE lower(trim({c})) IN {_NULLISH}) AS null_{c}" for c in tsv.COLUMNS)
+
+
+@_q("inventory", f"""WITH {O.REC}, cn AS (SELECT source, string_agg(country || ':' || n, ', ' ORDER BY country) AS countries FROM (SELECT source, country, count(*) AS n FROM rec GROUP BY ALL) GROUP BY 1)
+SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE NOT regexp_matches(entity_id, '^S[123]-[0-9]+$')) AS n_bad_id, count(*) FILTER (WHERE left(entity_id, 3) <> source || '-') AS n_foreign_id, count(*) FILTER (WHERE contains(business_name || business_address, '"')) AS n_quoted, {_FIELDS}, count(DISTINCT entity_id) AS n_ids, count(*) - count(DISTINCT entity_id) AS n_repeated, any_value(countries) AS countries FROM rec JOIN cn USING (source) GROUP BY source""")
 def inventory(spark, sf):
-    return P.inventory(records(spark, sf))
+    return profile.inventory(records(spark, sf))
+
+
+_COUNTS = "mc AS (SELECT r.entity_id, r.country, count(*) FILTER (WHERE target_source = 'S2') AS n2, count(*) FILTER (WHERE target_source = 'S3') AS n3 FROM rec r LEFT JOIN truth t ON t.s1_id = r.entity_id WHERE r.source = 'S1' GROUP BY ALL)"
+
+
+@_q("label_structure", f"""WITH {O.REC}, {_COUNTS} SELECT country, count(*) AS n, count(*) FILTER (WHERE n2 + n3 = 0) AS singletons, {O.share('n2 + n3 = 0')} AS singleton_share, {O.mean('n2 + n3')} AS mean_matches, {O.mean('n2')} AS mean_s2, {O.mean('n3')} AS mean_s3,
+ {O.share('n2 > 0 AND n3 = 0')} AS only_s2, {O.share('n3 > 0 AND n2 = 0')} AS only_s3, {O.share('n2 > 0 AND n3 > 0')} AS both, max(n2 + n3) AS most, count(*) FILTER (WHERE n2 + n3 >= 10) AS n_ten_up FROM mc GROUP BY ROLLUP (country)""")
+def label_structure(spark, sf):
+    return profile.label_structure(records(spark, sf).filter("source = 'S1'"), truth(spark, sf))
 
 
 @_q("country_rollup", "SELECT c_mktsegment, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ROLLUP (c_mktsegment, n_name)")
 def country_rollup(spark, sf):
-    c = _t(spark, sf, "customer").join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return c.rollup("c_mktsegment", "n_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return c.rollup("c_mktsegment", "n_name").agg(_n(), F.round(F.sum("c_acctbal"), 2).alias("balance"))
 
 
-@_q("match_histogram", f"WITH {_REC + _TRUTH} SELECT CAST(least(coalesce(t, 0), 5) AS BIGINT) AS matches, count(*) AS n FROM rec LEFT JOIN (SELECT s1_id, count(*) AS t FROM truth GROUP BY 1) ON s1_id = entity_id WHERE source = 'S1' GROUP BY 1")
+@_q("match_histogram", f"WITH {O.REC}, {_COUNTS}, h AS (SELECT unnest([country, NULL]) AS country, unnest([['S2+S3', (n2 + n3)::VARCHAR], ['S2', n2::VARCHAR], ['S3', n3::VARCHAR]]) AS k FROM mc), h2 AS (SELECT c.country, k FROM (SELECT entity_id, unnest([{{'counted': 'S2+S3', 'v': n2 + n3}}, {{'counted': 'S2', 'v': n2}}, {{'counted': 'S3', 'v': n3}}]) AS k FROM mc) JOIN (SELECT entity_id, unnest([country, NULL]) AS country FROM mc) c USING (entity_id)) SELECT country, k.counted AS counted, CAST(least(k.v, 5) AS BIGINT) AS matches, count(*) AS n FROM h2 GROUP BY ALL")
 def match_histogram(spark, sf):
-    t = truth(spark, sf).groupBy(F.col("s1_id").alias("entity_id")).agg(F.count(F.lit(1)).alias("t"))
-    return records(spark, sf).filter("source = 'S1'").join(t, "entity_id", "left").groupBy(F.least(F.coalesce("t", F.lit(0)), F.lit(5)).cast("bigint").alias("matches")).agg(F.count(F.lit(1)).alias("n"))
+    return profile.match_histogram(records(spark, sf).filter("source = 'S1'"), truth(spark, sf))
 
 
 @_q("multiplicity_check", "SELECT count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_multiple, max(n) AS most FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1)")
 def multiplicity_check(spark, sf):
-    return _t(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("n") > 1).alias("n_multiple"), F.max("n").alias("most"))
+    return profile.multiplicity(table(spark, sf, "lineitem"), "l_partkey")
 
 
-@_q("unmatched_anti", f"WITH {_REC + _TRUTH} SELECT source, country, count(*) AS n FROM rec WHERE source <> 'S1' AND entity_id NOT IN (SELECT target_id FROM truth) GROUP BY ALL")
+@_q("unmatched_anti", f"WITH {O.REC}, u AS (SELECT source, country, entity_id NOT IN (SELECT target_id FROM truth) AS alone FROM rec WHERE source <> 'S1') SELECT source, country, count(*) AS n, count(*) FILTER (WHERE alone) AS n_unmatched, {O.share('alone')} AS share FROM u GROUP BY ALL")
 def unmatched_anti(spark, sf):
-    t = truth(spark, sf).select(F.col("target_id").alias("entity_id"))
-    return records(spark, sf).filter("source <> 'S1'").join(t, "entity_id", "left_anti").groupBy("source", "country").agg(F.count(F.lit(1)).alias("n"))
+    return profile.unmatched(records(spark, sf), truth(spark, sf))
 
 
-@_q("country_crosstab", f"WITH {_REC + _TRUTH} SELECT r.country AS c1, t.country AS c2, count(*) AS n FROM truth t JOIN rec r ON r.entity_id = t.s1_id GROUP BY ALL")
-def country_crosstab(spark, sf):
-    r = records(spark, sf).select(F.col("entity_id").alias("s1_id"), F.col("country").alias("c1"))
-    return truth(spark, sf).withColumnRenamed("country", "c2").join(r, "s1_id").groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"))
+@_q("id_integrity", f"""WITH {O.REC} SELECT 'truth S1 ids not in S1' AS "check", count(DISTINCT s1_id) FILTER (WHERE s1_id NOT IN (SELECT entity_id FROM rec WHERE source = 'S1')) AS n FROM truth
+UNION ALL SELECT 'S1 ids not in truth', count(*) FROM rec WHERE source = 'S1' AND entity_id NOT IN (SELECT s1_id FROM truth)
+UNION ALL SELECT 'truth target ids not in S2 or S3', count(DISTINCT target_id) FILTER (WHERE target_id NOT IN (SELECT entity_id FROM rec WHERE source <> 'S1')) FROM truth
+UNION ALL SELECT 'S2 numbers that S3 has', count(*) FROM rec WHERE source = 'S2' AND substr(entity_id, 4) IN (SELECT substr(entity_id, 4) FROM rec WHERE source = 'S3')""")
+def id_integrity(spark, sf):
+    return profile.integrity(records(spark, sf), truth(spark, sf))
 
 
-@_q("source_ratios", f"WITH {_REC} SELECT source, country, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY source), 6) AS share FROM rec GROUP BY source, country")
-def source_ratios(spark, sf):
-    n = records(spark, sf).groupBy("source", "country").agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("source")), 6))
+@_q("country_crosstab", f"WITH {O.REC} SELECT a.country AS c1, b.country AS c2, count(*) AS n FROM truth t JOIN rec a ON a.entity_id = t.s1_id JOIN rec b ON b.entity_id = t.target_id GROUP BY ALL")
+def country_crosstab(spark, sf):
+    return profile.country_crosstab(records(spark, sf), truth(spark, sf))
 
 
-_BINS = [("0", "j = 0"), ("(0,.25)", "j < 0.25"), ("[.25,.5)", "j < 0.5"), ("[.5,.75)", "j < 0.75"), ("[.75,1)", "j < 1"), ("1", "true")]
-_CASE = "CASE " + " ".join(f"WHEN {c} THEN '{b}'" for b, c in _BINS) + " END"
+_SHAPE = ", ".join(f"count(*) FILTER (WHERE source = 'S{i}') AS n{i}" for i in (1, 2, 3))
 
 
-@_q("jaccard_bins", f"WITH {_FEAT}, j AS (SELECT target_source, name_jaccard AS j FROM feat) SELECT target_source, {_CASE} AS bin, count(*) AS n FROM j GROUP BY ALL")
-def jaccard_bins(spark, sf):
-    n, p = pairs(spark, sf)
-    return L.features(p, n).withColumn("j", F.col("name_jaccard")).groupBy("target_source", F.expr(_CASE).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+@_q("source_ratios", f"WITH {O.REC}, c AS (SELECT country, {_SHAPE} FROM rec GROUP BY 1 UNION ALL SELECT 'all', {_SHAPE} FROM rec), t AS (SELECT n1 AS t1, n2 AS t2, n3 AS t3 FROM c WHERE country = 'all') SELECT country, n1, n2, n3, round(n1 / t1, 6) AS share1, round(n2 / t2, 6) AS share2, round(n3 / t3, 6) AS share3, round(n2 / nullif(n1, 0), 6) AS ratio2, round(n3 / nullif(n1, 0), 6) AS ratio3, round((n2 + n3) / nullif(n1, 0), 6) AS ratio23 FROM c, t")
+def source_ratios(spark, sf):
+    return profile.source_shape(records(spark, sf))
 
 
-_PCT = ", ".join(f"round(quantile_cont(length(text), {q}), 6) AS p{int(q * 100)}" for q in (0.05, 0.25, 0.5, 0.75, 0.95))
+_PCT = ", ".join(f"round(quantile_cont(length({{0}}), {q}), 6) AS p{int(q * 100)}" for q in profile.QUANTILES)
+_LENGTHS = "count(*) AS n, round(avg(length({0})), 6) AS mean_len, " + _PCT + ", max(length({0})) AS max_len"
 
 
-@_q("length_percentiles", f"SELECT lang, round(avg(length(text)), 6) AS mean_len, {_PCT}, max(length(text)) AS max_len FROM documents GROUP BY 1")
+@_q("length_percentiles", f"SELECT lang, {_LENGTHS.format('text')} FROM documents GROUP BY 1")
 def length_percentiles(spark, sf):
-    return P.length_percentiles(_t(spark, sf, "documents"), "text", "lang")
+    return profile.length_percentiles(table(spark, sf, "documents"), "text", "lang")
+
+
+@_q("address_lengths", f"WITH {O.REC} SELECT source, country, {_LENGTHS.format('business_address')} FROM rec GROUP BY ALL")
+def address_lengths(spark, sf):
+    return profile.length_percentiles(records(spark, sf), "business_address", "source", "country")
 
 
-@_q("token_topk", f"WITH {_NORM}, w AS (SELECT country, unnest(name_tokens) AS token FROM norm), c AS (SELECT country, token, count(*) AS n FROM w GROUP BY ALL) SELECT country, token, n, round(n / sum(n) OVER (PARTITION BY country), 6) AS share, CAST(row_number() OVER (PARTITION BY country ORDER BY n DESC, token) AS INT) AS rank FROM c QUALIFY row_number() OVER (PARTITION BY country ORDER BY n DESC, token) <= 30")
+@_q("token_topk", f"WITH {O.PARTS}, w AS (SELECT country, unnest(toks) AS token FROM n2 WHERE pos % 4 = 0), c AS (SELECT country, token, count(*) AS n FROM w GROUP BY ALL) SELECT country, token, n, round(n / sum(n) OVER (PARTITION BY country), 6) AS share, CAST(row_number() OVER (PARTITION BY country ORDER BY n DESC, token) AS INT) AS rank FROM c QUALIFY rank <= 30")
 def token_topk(spark, sf):
-    return P.top_tokens(norm(spark, sf), "name_tokens", "country", 30)
+    rows = sampling.every_nth(records(spark, sf), 4).select("country", X.tokens(X.base_norm(F.col("business_name"))).alias("words"))
+    return profile.top_tokens(rows, "words", "country", 30)
 
 
-@_q("doc_freq", f"WITH {_NORM}, w AS (SELECT unnest(list_distinct(name_tokens)) AS token FROM norm) SELECT token, count(*) AS df FROM w GROUP BY 1")
+@_q("doc_freq", f"WITH {O.PARTS}, w AS (SELECT unnest(list_distinct(name_tokens)) AS token FROM n2) SELECT token, count(*) AS df FROM w GROUP BY 1")
 def doc_freq(spark, sf):
-    return norm(spark, sf).select(F.explode(F.array_distinct("name_tokens")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return R.normalized(records(spark, sf)).select(F.explode(F.array_distinct("name_tokens")).alias("token")).groupBy("token").agg(_n("df"))
 
 
-_TF = _NORM + """, g AS (SELECT entity_id, source, substr(name_core, i, 3) AS gram, count(*) AS tf FROM (SELECT entity_id, source, name_core, unnest(range(1, length(name_core) - 1)) AS i FROM norm) GROUP BY ALL),
-df AS (SELECT gram, count(*) AS df FROM g WHERE source <> 'S1' GROUP BY 1),
-x AS (SELECT g.*, tf * (ln((1 + (SELECT count(*) FROM norm WHERE source <> 'S1')) / (1 + df)) + 1) AS x FROM g JOIN df USING (gram)),
-wt AS (SELECT entity_id, source, gram, x / sqrt(sum(x * x) OVER (PARTITION BY entity_id)) AS w FROM x),
-sim AS (SELECT a.entity_id AS s1_id, b.entity_id AS target_id, round(sum(a.w * b.w), 6) AS similarity FROM wt a JOIN wt b USING (gram) WHERE a.source = 'S1' AND a.entity_id LIKE '%0' AND b.source <> 'S1' GROUP BY ALL)"""
+_ACC, _OTHER = r"[\x{C0}-\x{24F}\x{1E00}-\x{1EFF}]", r"[^\x{0}-\x{24F}\x{1E00}-\x{1EFF}\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{2100}-\x{214F}]"
+_FLAG = {
+    **{f"{p}_{k}": f"regexp_matches({c}, '{r}')" for p, c in (("name", "business_name"), ("addr", "business_address")) for k, r in (("non_ascii", r"[^\x00-\x7F]"), ("accented", _ACC), ("non_latin", _OTHER))},
+    "addr_null_part": r"regexp_matches(business_address, '(?i)(?:^|,)\s*(?:null|<null>|n/a|none|nan)\s*(?:,|$)')", "addr_postcode": f"({O.CODE}) IS NOT NULL",
+    "name_domain": r"regexp_matches(business_name, '(?i)\.(?:com|in|net|org|co|fr|io|biz)\b')", "name_all_upper": "upper(business_name) = business_name AND lower(business_name) <> business_name",
+}
 
 
-def _weights(spark, sf):
-    n = norm(spark, sf)
-    s1, pool = sides(n)
-    return L.tfidf(s1, pool), L.tfidf(pool)
+@_q("quality_flags", f"WITH {O.REC} SELECT entity_id, {', '.join(f'{x} AS {c}' for c, x in _FLAG.items())} FROM rec")
+def quality_flags(spark, sf):
+    return profile.quality_flags(records(spark, sf)).select("entity_id", *profile.FLAGS)
 
 
-@_q("tfidf_topk", f"WITH {_TF.replace(chr(39) + '%0' + chr(39), chr(39) + '%' + chr(39))} SELECT s1_id, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY similarity DESC, target_id) AS INT) AS rank, round(similarity, 4) AS similarity FROM sim QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY similarity DESC, target_id) <= 5")
-def tfidf_topk(spark, sf):
-    return L.nearest(*_weights(spark, sf), 5).select("s1_id", "rank", F.round("similarity", 4).alias("similarity"))
+@_q("flag_rates", f"WITH {O.REC} SELECT source, country, count(*) AS n, {', '.join(f'{O.share(x)} AS {c}' for c, x in _FLAG.items())} FROM rec GROUP BY ALL")
+def flag_rates(spark, sf):
+    return profile.flag_rates(records(spark, sf))
 
 
-@_q("cosine_topk", "WITH q AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT q.vec_id AS query_id, b.vec_id AS vec_id, round(list_dot_product(q.e, b.embedding::DOUBLE[]) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 5) AS similarity FROM q, embeddings b WHERE q.vec_id <> b.vec_id) SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INT) AS rank, similarity FROM s QUALIFY rank <= 10")
-def cosine_topk(spark, sf):
-    """A stated query set (ids divisible by 50) against all rows: the queries are the broadcast side while they are few enough."""
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    e = _t(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"))
-    s = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot(F.col("q"), F.col("e")) / F.sqrt(dot(F.col("q"), F.col("q")) * dot(F.col("e"), F.col("e"))), 5).alias("similarity"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
-    return s.withColumn("rank", F.row_number().over(w)).filter("rank <= 10").select("query_id", "rank", "similarity")
+# Samples
 
 
-@_q("score_distribution", f"WITH {_FEAT} SELECT target_source, round(quantile_cont(probability, 0.05), 6) AS p5, round(quantile_cont(probability, 0.5), 6) AS p50, round(quantile_cont(probability, 0.95), 6) AS p95, round(avg(CAST(probability >= 0.5 AS INT)), 6) AS share50, round(avg(CAST(probability >= 0.9 AS INT)), 6) AS share90 FROM scored GROUP BY 1")
-def score_distribution(spark, sf):
-    s = scored(spark, sf)[1]
-    at = lambda q: F.round(F.percentile("probability", F.lit(q)), 6)
-    over = lambda t: F.round(F.avg((F.col("probability") >= t).cast("int")), 6)
-    return s.groupBy("target_source").agg(at(0.05).alias("p5"), at(0.5).alias("p50"), at(0.95).alias("p95"), over(0.5).alias("share50"), over(0.9).alias("share90"))
+_MD5 = "md5(c_custkey || '42'), c_custkey"
 
 
-@_q("hardest_pairs", f"WITH {_FEAT} SELECT target_source, s1_id, target_id, round(name_jaccard, 9) AS name_jaccard FROM feat QUALIFY row_number() OVER (PARTITION BY target_source ORDER BY round(name_jaccard, 9), md5(s1_id || target_id), s1_id, target_id) <= 5")
-def hardest_pairs(spark, sf):
-    n, p = pairs(spark, sf)
-    f = L.features(p, n).select("target_source", "s1_id", "target_id", F.round("name_jaccard", 9).alias("name_jaccard"))
-    w = Window.partitionBy("target_source").orderBy("name_jaccard", F.md5(F.concat("s1_id", "target_id").cast("binary")), "s1_id", "target_id")
-    return f.withColumn("r", F.row_number().over(w)).filter("r <= 5").drop("r")
+@_q("split_85_15", f"SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY {_MD5}) <= ceil(0.15 * count(*) OVER ()) THEN 'valid' ELSE 'train' END AS part FROM customer")
+def split_85_15(spark, sf):
+    return sampling.split(table(spark, sf, "customer").select("c_custkey"), 0.15, "42", "c_custkey")
 
 
-@_q("nonmatch_sample", f"WITH {_CAND + _TRUTH} SELECT s1_id, target_id FROM cand c WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE t.s1_id = c.s1_id AND t.target_id = c.target_id) QUALIFY row_number() OVER (PARTITION BY s1_id, target_source ORDER BY md5(s1_id || target_id || '42'), target_id) = 1")
-def nonmatch_sample(spark, sf):
-    p = pairs(spark, sf)[1].join(truth(spark, sf).select("s1_id", "target_id"), ["s1_id", "target_id"], "left_anti")
-    w = Window.partitionBy("s1_id", "target_source").orderBy(F.md5(F.concat("s1_id", "target_id", F.lit("42")).cast("binary")), "target_id")
-    return p.withColumn("r", F.row_number().over(w)).filter("r = 1").select("s1_id", "target_id")
+_MOST = 120
 
 
-@_q("split_85_15", "SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY md5(c_custkey || '42'), c_custkey) <= ceil(0.15 * count(*) OVER ()) THEN 'valid' ELSE 'train' END AS part FROM customer")
-def split_85_15(spark, sf):
-    return P.split(_t(spark, sf, "customer").select("c_custkey"), 0.15, "42", "c_custkey")
+@_q("train_downsample", f"WITH l AS (SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id || '42'), doc_id) AS r, count(*) FILTER (WHERE toxic = 1) OVER () AS pos, count(*) OVER () AS total FROM labels) SELECT doc_id, toxic FROM l WHERE total <= {_MOST} OR r <= CASE WHEN toxic = 1 THEN least(pos, 30) ELSE {_MOST} - least(pos, 30) END")
+def train_downsample(spark, sf):
+    return sampling.training_rows(table(spark, sf, "labels").select("doc_id", "toxic"), _MOST, "42", "doc_id", "toxic")
 
 
-@_q("train_downsample", "SELECT doc_id, toxic FROM labels QUALIFY row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id || '42'), doc_id) <= CASE WHEN toxic = 1 THEN 25 ELSE 75 END")
-def train_downsample(spark, sf):
-    w = Window.partitionBy("toxic").orderBy(P.by_hash("doc_id", "42"), "doc_id")
-    return _t(spark, sf, "labels").select("doc_id", "toxic").withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.when(F.col("toxic") == 1, 25).otherwise(75)).drop("r")
+@_q("class_balance", "SELECT CAST(sum(toxic) AS BIGINT) AS pos, CAST(sum(1 - toxic) AS BIGINT) AS neg, greatest(1.0, sum(1 - toxic) / greatest(sum(toxic), 1)) AS weight FROM labels")
+def class_balance(spark, sf):
+    return sampling.class_balance(table(spark, sf, "labels"), "toxic")
+
+
+_NEED = "SELECT o_custkey FROM orders WHERE o_totalprice > 400000"
 
 
-@_q("required_sample", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) UNION ALL (SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) ORDER BY md5(c_custkey || '42'), c_custkey LIMIT 100)")
+def _needed(spark, sf) -> DataFrame:
+    return table(spark, sf, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+
+
+@_q("required_sample", f"SELECT c_custkey FROM customer WHERE c_custkey IN ({_NEED}) UNION ALL (SELECT c_custkey FROM customer WHERE c_custkey NOT IN ({_NEED}) ORDER BY {_MD5} LIMIT 100)")
 def required_sample(spark, sf):
-    req = _t(spark, sf, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return P.required_sample(_t(spark, sf, "customer").select("c_custkey"), req, 100, "42", "c_custkey")
+    return sampling.required_sample(table(spark, sf, "customer").select("c_custkey"), _needed(spark, sf), 100, "42", "c_custkey")
 
 
-@_q("dq_duplicates", "SELECT text, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
-def dq_duplicates(spark, sf):
-    return P.duplicates(_t(spark, sf, "documents"), "text")
+@_q("capped_sample", f"WITH c AS (SELECT c_custkey, c_custkey IN ({_NEED}) AS need FROM customer) SELECT c_custkey FROM c QUALIFY need OR row_number() OVER (PARTITION BY need ORDER BY {_MD5}) <= greatest(0, 140 - count(*) FILTER (WHERE need) OVER ())")
+def capped_sample(spark, sf):
+    return sampling.capped(table(spark, sf, "customer").select("c_custkey"), _needed(spark, sf), 140, "42", "c_custkey")
+
+
+@_q("chunk_sample", f"""WITH c AS (SELECT c_custkey, c_custkey // 50 AS chunk, c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 495000) AS need FROM customer), n AS (SELECT chunk, least(count(*), 18) AS take FROM c GROUP BY 1),
+b AS (SELECT chunk, least(take, greatest(0, 90 - (sum(take) OVER (ORDER BY chunk) - take))) AS take FROM n), d AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY {_MD5}) AS r FROM c),
+k AS (SELECT d.* FROM d JOIN b USING (chunk) WHERE r <= take AND NOT need) SELECT c_custkey FROM c WHERE need UNION ALL (SELECT c_custkey FROM k QUALIFY row_number() OVER (ORDER BY chunk, r) <= greatest(0, 90 - (SELECT count(*) FROM c WHERE need)))""")
+def chunk_sample(spark, sf):
+    rows = table(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") + 1).alias("pos"))
+    needed = table(spark, sf, "orders").filter("o_totalprice > 495000").select(F.col("o_custkey").alias("c_custkey"))
+    return sampling.chunk_sample(rows, needed, 90, 50, "42", "c_custkey").select("c_custkey")
+
+
+@_q("group_heads", f"WITH {O.REC} SELECT entity_id, source, country FROM rec WHERE source <> 'S1' QUALIFY row_number() OVER (PARTITION BY source, country ORDER BY pos) <= 20")
+def group_heads(spark, sf):
+    return sampling.first_of_group(records(spark, sf).filter("source <> 'S1'"), 20, "source", "country").select("entity_id", "source", "country")
 
 
-_OUT = _CAND + ", g AS (SELECT s1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM cand GROUP BY 1), l AS (SELECT s1_id, string_split(ids || ',S1-1,X-2,' || ids, ',') AS x FROM g)"
+@_q("example_draws", f"WITH {O.REC} SELECT entity_id, country FROM rec WHERE source = 'S1' QUALIFY row_number() OVER (PARTITION BY country ORDER BY md5(entity_id || '20260925'), entity_id) <= 8")
+def example_draws(spark, sf):
+    return sampling.examples(records(spark, sf).filter("source = 'S1'").select("entity_id", "country"), 8, "20260925", "country")
+
+
+@_q("head_rows", f"WITH {O.REC} SELECT entity_id FROM rec WHERE source = 'S1' AND pos <= 25")
+def head_rows(spark, sf):
+    return sampling.head(records(spark, sf).filter("source = 'S1'"), 25).select("entity_id")
+
+
+# Rules for result files
+
+
+@_q("dq_duplicates", "SELECT text, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def dq_duplicates(spark, sf):
+    return profile.duplicates(table(spark, sf, "documents"), "text")
 
 
 def _lists(spark, sf):
     n, p = pairs(spark, sf)
-    return L.listed(n.filter("source = 'S1'"), p, "ids").filter("ids <> ''").select(F.col("source1_entity_id").alias("s1_id"), F.concat("ids", F.lit(",S1-1,X-2,"), "ids").alias("ids"))
+    filled = M.listed(n.filter("source = 'S1'"), p, "ids").filter("ids <> ''")
+    return filled.select(F.col("source1_entity_id").alias("s1_id"), F.concat("ids", F.lit(",S1-1,X-2,"), "ids").alias("ids"))
 
 
-@_q("dq_list_dupes", f"WITH {_OUT} SELECT s1_id, CAST(len(x) AS BIGINT) AS n_ids, len(x) <> len(list_distinct(x)) AS has_duplicate FROM l")
+@_q("dq_list_dupes", f"WITH {O.OUT} SELECT s1_id, CAST(len(x) AS BIGINT) AS n_ids, len(x) <> len(list_distinct(x)) AS has_duplicate FROM l")
 def dq_list_dupes(spark, sf):
-    return P.list_problems(_lists(spark, sf), "s1_id", "ids").select("s1_id", "n_ids", "has_duplicate")
+    return submission.list_problems(_lists(spark, sf), "s1_id", "ids").select("s1_id", "n_ids", "has_duplicate")
 
 
-@_q("dq_prefix", f"WITH {_OUT} SELECT s1_id, CAST(len(list_filter(x, v -> v LIKE 'S1-%')) AS BIGINT) AS n_s1, CAST(len(list_filter(x, v -> NOT regexp_matches(v, '^S[123]-'))) AS BIGINT) AS n_bad_prefix FROM l")
+@_q("dq_prefix", f"WITH {O.OUT} SELECT s1_id, CAST(len(list_filter(x, v -> v LIKE 'S1-%')) AS BIGINT) AS n_s1, CAST(len(list_filter(x, v -> NOT regexp_matches(v, '^S[123]-'))) AS BIGINT) AS n_bad_prefix FROM l")
 def dq_prefix(spark, sf):
-    return P.list_problems(_lists(spark, sf), "s1_id", "ids").select("s1_id", "n_s1", "n_bad_prefix")
+    return submission.list_problems(_lists(spark, sf), "s1_id", "ids").select("s1_id", "n_s1", "n_bad_prefix")
 
 
-@_q("dq_unknown_ids", f"WITH {_OUT}, i AS (SELECT s1_id, unnest(x) AS id FROM l) SELECT s1_id, id FROM i WHERE id NOT IN (SELECT entity_id FROM rec WHERE source <> 'S1')")
+@_q("dq_unknown_ids", f"WITH {O.OUT}, i AS (SELECT s1_id, unnest(x) AS id FROM l) SELECT s1_id, id FROM i WHERE id NOT IN (SELECT entity_id FROM rec WHERE source <> 'S1')")
 def dq_unknown_ids(spark, sf):
     known = records(spark, sf).filter("source <> 'S1'").select(F.col("entity_id").alias("id"))
-    return P.exploded(_lists(spark, sf), "s1_id", "ids").join(known, "id", "left_anti").select("s1_id", "id")
+    return submission.exploded(_lists(spark, sf), "s1_id", "ids").join(known, "id", "left_anti").select("s1_id", "id")
 
 
 @_q("dq_missing_extra", "SELECT 'missing' AS kind, c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT 'extra', o_custkey FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
 def dq_missing_extra(spark, sf):
-    c, o = _t(spark, sf, "customer").select(F.col("c_custkey").alias("id")), _t(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct()
+    c, o = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf, "orders").select(F.col("o_custkey").alias("id")).distinct()
     side = lambda a, b, kind: a.join(b, "id", "left_anti").select(F.lit(kind).alias("kind"), "id")
     return side(c, o, "missing").union(side(o, c, "extra"))
 
 
-@_q("dq_subset", f"WITH {_FEAT + _TRUTH} SELECT DISTINCT s1_id FROM truth t WHERE NOT EXISTS (SELECT 1 FROM cand c WHERE c.s1_id = t.s1_id AND c.target_id = t.target_id)")
+@_q("dq_subset", f"WITH {O.CAND} SELECT DISTINCT s1_id FROM truth t WHERE NOT EXISTS (SELECT 1 FROM cand c WHERE c.s1_id = t.s1_id AND c.target_id = t.target_id)")
 def dq_subset(spark, sf):
-    return truth(spark, sf).join(pairs(spark, sf)[1].select("s1_id", "target_id"), ["s1_id", "target_id"], "left_anti").select("s1_id").distinct()
-
-
-@_q("quality_flags", r"SELECT doc_id, regexp_matches(text, '[^\x00-\x7F]') AS non_ascii, regexp_matches(text, '[\x{C0}-\x{24F}]') AS accented, upper(text) = text AND regexp_matches(text, '[A-Z]') AS all_upper FROM documents")
-def quality_flags(spark, sf):
-    t = F.col("text")
-    return _t(spark, sf, "documents").select("doc_id", t.rlike(r"[^\x00-\x7F]").alias("non_ascii"), t.rlike(r"[\x{C0}-\x{24F}]").alias("accented"), ((F.upper(t) == t) & t.rlike("[A-Z]")).alias("all_upper"))
-
-
-_ZIP = "CASE WHEN {0}_acctbal < 0 THEN {0}_name ELSE {0}_name || ', 12 Main St, CA ' || (10000 + {0}_nationkey * 1000 + {1} % 1000) || CASE WHEN {1} % 7 = 0 THEN '-0001' ELSE '' END END"
-_FOUND = "nullif(regexp_extract({0}, '" + X.US_ZIP.replace("{", "{{").replace("}", "}}") + "', 1), '')"
-
-
-def shops(spark, sf, table: str, prefix: str, key: str) -> DataFrame:
-    address = F.expr(_ZIP.format(prefix, key))
-    return _t(spark, sf, table).select(F.col(key).alias("entity_id"), address.alias("business_address"), F.lit("US").alias("country"))
-
-
-@_q("postcode", f"SELECT c_custkey AS entity_id, {_FOUND.format(_ZIP.format('c', 'c_custkey'))} AS postcode FROM customer")
-def postcode(spark, sf):
-    c = shops(spark, sf, "customer", "c", "c_custkey")
-    return c.select("entity_id", X.postcode(F.col("business_address"), F.col("country")).alias("postcode"))
-
-
-@_q("postcode_block", f"SELECT s1_id, target_id, postcode FROM (SELECT c_custkey AS s1_id, {_FOUND.format(_ZIP.format('c', 'c_custkey'))} AS postcode FROM customer) JOIN (SELECT s_suppkey AS target_id, {_FOUND.format(_ZIP.format('s', 's_suppkey'))} AS postcode FROM supplier) USING (postcode)")
-def postcode_block(spark, sf):
-    return L.postcode_block(shops(spark, sf, "customer", "c", "c_custkey"), shops(spark, sf, "supplier", "s", "s_suppkey"))
+    lists = lambda df: df.groupBy("s1_id").agg(F.collect_set("target_id").alias("ids"))
+    return submission.outside(lists(truth(spark, sf)), lists(pairs(spark, sf)[1]))
+
+
+#: Faults planted in the truth as a result file: every 50th record left out, every 40th twice, strange ids, lines without a tab.
+_FAULTS = f"""{_TRUTH_LISTS}, k AS (SELECT s1, CAST(substr(s1, 4) AS BIGINT) AS k, CASE WHEN ids = '' THEN [] ELSE string_split(replace(ids, ', ', ','), ',') END AS x FROM gt),
+r AS (SELECT s1 AS s1_id, list_concat(x, CASE k % 30 WHEN 1 THEN ['S1-7'] WHEN 2 THEN ['Q-' || k] WHEN 3 THEN ['S2-999999' || k] WHEN 4 THEN x ELSE [] END) AS x FROM k WHERE k % 50 <> 0 UNION ALL SELECT s1, x FROM k WHERE k % 40 = 7 UNION ALL SELECT 'S1-X' || k, [] FROM k WHERE k % 90 = 8),
+i AS (SELECT s1_id, unnest(x) AS id FROM r), need AS (SELECT entity_id FROM rec WHERE source = 'S1'),
+f AS (SELECT 'duplicate_row' AS rule, s1_id AS item FROM r GROUP BY 2 HAVING count(*) > 1 UNION SELECT 'repeated_id', s1_id FROM r WHERE len(x) <> len(list_distinct(x)) UNION SELECT 's1_id', id FROM i WHERE id LIKE 'S1-%'
+ UNION SELECT 'bad_prefix', id FROM i WHERE NOT regexp_matches(id, '^S[123]-') UNION SELECT 'unknown_id', id FROM i WHERE regexp_matches(id, '^S[23]-') AND id NOT IN (SELECT entity_id FROM rec WHERE source <> 'S1')
+ UNION SELECT 'missing_s1', entity_id FROM need WHERE entity_id NOT IN (SELECT s1_id FROM r) UNION SELECT 'extra_s1', s1_id FROM r WHERE s1_id NOT IN (SELECT entity_id FROM need) UNION SELECT 'no_tab', 'no tab here')"""
+
+
+@_q("submission_findings", f"WITH {O.REC}, {_FAULTS} SELECT rule, count(*) AS n, array_to_string(list_sort(list(item))[1:5], ', ') AS examples FROM f GROUP BY 1")
+def submission_findings(spark, sf):
+    k = F.substring("source1_entity_id", 4, 18).cast("bigint")
+    lists = _truth_lists(spark, sf).select(F.col("source1_entity_id").alias("s1_id"), k.alias("k"), "matched_entity_ids")
+    x = F.when(F.col("matched_entity_ids") == "", F.array().cast("array<string>")).otherwise(F.split("matched_entity_ids", ","))
+    lists = lists.withColumn("x", x)
+    one = lambda c: F.array(c)
+    m, none = F.col("k") % 30, F.array().cast("array<string>")
+    more = F.when(m == 1, one(F.lit("S1-7"))).when(m == 2, one(F.concat(F.lit("Q-"), F.col("k")))).when(m == 3, one(F.concat(F.lit("S2-999999"), F.col("k")))).when(m == 4, F.col("x")).otherwise(none)
+    rows = lists.filter("k % 50 <> 0").select("s1_id", F.concat("x", more).alias("x")).union(lists.filter("k % 40 = 7").select("s1_id", "x"))
+    rows = rows.union(lists.filter("k % 90 = 8").select(F.concat(F.lit("S1-X"), F.col("k")), none))
+    lines = rows.select(F.concat_ws("\t", "s1_id", F.array_join("x", ",")).alias("line"))
+    lines = lines.union(spark.createDataFrame([("no tab here",), ("   ",)], "line string"))
+    path = f"{store.shared_dir(spark)}/matching.tsv"
+    lines.withColumn("o", F.lit(1)).union(spark.createDataFrame([("\t".join(submission.MATCHING), 0)], "line string, o int")).coalesce(1).sortWithinPartitions("o").select("line").write.text(path)
+    found, tabless = submission.rows_of(spark, path)
+    r = records(spark, sf)
+    return submission.findings(found, tabless, r.filter("source = 'S1'"), r.filter("source <> 'S1'"))
+
+
+# Without SQL: edit-based ratios and trees
 
 
 @_q("features_full")
 def features_full(spark, sf):
     n, p = pairs(spark, sf)
-    return L.all_features(p.select("s1_id", "target_id"), n)
+    return S.features(p.select("s1_id", "target_id"), n)
 
 
 @_q("gbt_score")
 def gbt_score(spark, sf):
+    """Trees learned from 85 % of the S1 records' candidates score those of the others."""
     from tessera.operators import model
 
     n, p = pairs(spark, sf)
-    rows = L.labelled(L.all_features(p, n), truth(spark, sf))
-    return model.predict(model.train(rows, L.ALL_FEATURES), rows).select("s1_id", "target_id", "label", "probability")
+    rows = store.handed(E.labelled(S.features(p, n), truth(spark, sf)), "features")
+    parts = sampling.split(n.filter("source = 'S1'").select(F.col("entity_id").alias("s1_id")), 0.15, "42", "s1_id")
+    rows = rows.join(parts, "s1_id")
+    fitted = model.train(rows.filter("part = 'train'"), maxIter=20, maxDepth=4, stepSize=0.1)
+    return model.predict(fitted, rows.filter("part = 'valid'")).select("s1_id", "target_id", "label", "probability")
 
 
 def queries() -> dict:

@@ -1,37 +1,64 @@
+"""Normalization and similarity on cases written out by hand, and ratios against plain loops."""
+
 import random
 
 from pyspark.sql import functions as F
 
 from tessera.functions import similarity as S
 from tessera.functions import text as X
-from tessera.operators import linkage as L
-from tessera.operators import model
-from tessera.plans import catalog
-from tessera.sources import tsv
-
-
-def one(spark, name, address="", country="US"):
-    return X.normalized(spark.createDataFrame([(name, address, country)], "business_name string, business_address string, country string"), full=True).first()
-
-
-def test_names(spark):
-    assert one(spark, "5LV Marketing Private", country="India").name_core == "5lv marketing"
-    assert one(spark, "SLV Marketing Prívate Límited", country="India").name_core == "slv marketing"
-    assert one(spark, "Prospect Limited Private Brothers", country="India").name_sorted == "brothers prospect"
-    assert one(spark, "Vaughn Tailwind Inc").name_compact == "vaughntailwind"
-    r = one(spark, "vaughntailwind.com")
-    assert r.name_compact == "vaughntailwind" and r.is_domain
-    assert one(spark, "अच‌ल", country="India").name_norm == "अचल"
-    assert one(spark, "Schmidt GmbH", "12 Hauptstrasse, Berlin", "Germany").name_norm == "schmidt gmbh"
-    assert one(spark, "ఆనంద్ ఫుడ్", country="India").script == "telugu"
-
-
-def test_translit(spark):
-    assert one(spark, "आनंद", country="India").name_translit == "anand"
-    assert one(spark, "शर्मा फल", country="India").name_translit == "sarma fal"
-    assert one(spark, "ఆనంద్ ఫుడ్", country="India").name_translit == "anand fud"
-    assert one(spark, "Crème Œuvre").name_translit == one(spark, "Crème Œuvre").name_core
-    assert X.read_indic("") == "" and X.read_indic("क १२") == "k 12"
+from tessera.operators import aliases as A
+from tessera.operators import features
+from tessera.operators import records as R
+
+SCHEMA = "entity_id string, business_name string, business_address string, country string"
+ALIASES = [("state", "US", "az", "arizona", 2634), ("state", "India", "తెలంగాణ", "telangana", 900), ("city", "US", "phx", "phoenix", 5), ("state", "_generic", "be", "berlin", 3)]
+
+
+def aliases(spark):
+    return spark.createDataFrame(ALIASES, A.SCHEMA)
+
+
+def several(spark, rows, names=None):
+    return R.normalized(spark.createDataFrame([(f"S1-{i}", *r) for i, r in enumerate(rows)], SCHEMA), names)
+
+
+def test_records(spark):
+    rows = {
+        "typo": ("5LV Marketing Private", "", "India"), "legal": ("SLV Private Marketing (Limited)", "", "India"), "accents": ("SLV Marketing Prívate Límited", "", "India"),
+        "order1": ("Prospect Limited Private Brothers", "", "India"), "order2": ("Prospect Brothers Private Limited", "", "India"),
+        "inc": ("Vaughn Tailwind Inc", "", "US"), "domain": ("vaughntailwind.com", "", "US"), "uk": ("bar.co.uk", "", "US"),
+        "rue": ("Ets Test SAS", "63 R. DE DIEPPE, LILLE", "France"), "number": ("Azaé Transports SA", "N°237 R. DES BOIS BLANCS", "France"),
+        "zeros": ("Test Co", "001122 MARSHALL ST", "US"), "plain": ("Test Co", "1122 Marshall Street", "US"),
+        "dashes": ("Anand Food Private Limited", "18 2 279, Jangammet, Hyderabad, Telangana", "India"), "dashes2": ("Anand Food Pirvre Limited", "Hyderabad, No G-18 2 279, Hyderabad, TG, Jangammet", "India"),
+        "telugu": ("ఆనంద్ ఫుడ్ ప్రైవేట్ లిమిటెడ్", "", "India"), "unseen": ("Schmidt GmbH", "12 Hauptstrasse, Berlin", "Germany"), "joiner": ("अच‌ल", "", "India"),
+        "state": ("Some Co", "100 Main St, PHX, AZ", "US"), "script": ("Some Co", "100 MG Road, Hyderabad, తెలంగాణ", "India"), "generic": ("x", "1 y, BE", "Germany"), "own": ("x", "1 y, BE", "US"),
+        "gaps": ("Some Co", "a, NULL, N/A, nil, -, b", "US"), "null": (None, None, "US"), "nocountry": ("Foo plc", "5 x", None), "wide": ("ＡＣＭＥ ﬁne Ｉｎｃ", "1 a，b, c", "US"),
+        "india": ("Acme Inc", "nr market, opp temple, Fl 2", "India"), "france": ("Acme Corp SARL", "5 bd x, all y", "France"), "case": ("Acme Pvt Ltd", "", "india"),
+    }
+    got = dict(zip(rows, sorted(several(spark, rows.values(), aliases(spark)).collect(), key=lambda r: int(r.entity_id[3:])), strict=True))
+    cores = {"typo": "5lv marketing", "legal": "slv marketing", "accents": "slv marketing", "uk": "bar", "india": "acme", "france": "acme", "nocountry": "foo", "wide": "acme fine", "case": "acme pvt", "null": "", "unseen": "schmidt gmbh"}
+    assert {k: got[k].name_core for k in cores} == cores
+    assert S.indel(got["typo"].name_core, got["legal"].name_core) >= 0.9
+    assert got["order1"].name_sorted == got["order2"].name_sorted == "brothers prospect" and got["order1"].legal_form == "pvt_ltd" and got["legal"].legal_form == "pvt_ltd"
+    assert got["inc"].name_compact == got["domain"].name_compact == "vaughntailwind" and got["domain"].is_domain and not got["inc"].is_domain
+    assert got["rue"].addr_norm == "63 rue de dieppe lille" and got["number"].addr_numbers == ["237"] and got["zeros"].addr_numbers == got["plain"].addr_numbers == ["1122"]
+    assert set(got["dashes"].addr_numbers) & set(got["dashes2"].addr_numbers)
+    t = got["telugu"]
+    assert (t.legal_form, t.script, t.name_translit) == ("pvt_ltd", "telugu", "anand fud") and t.name_norm.startswith("ఆనంద్") and S.indel(t.name_translit, "anand food") >= 0.8
+    assert got["joiner"].name_norm == "अचल"
+    assert [got[k].state_canon for k in ("state", "script", "generic", "own")] == ["arizona", "telangana", "berlin", "be"]
+    assert (got["state"].city_canon, got["state"].city_count) == ("phoenix", 5)
+    assert got["gaps"].addr_components == ["a", "nil", "b"] and got["gaps"].addr_norm == "a null n a nil b"
+    assert got["null"].addr_components == [] and got["null"].state_canon == "" == got["null"].city_canon and got["null"].script == "other"
+    assert got["wide"].addr_components == ["1 a b", "c"]
+    assert got["india"].addr_components == ["near market", "opposite temple", "fl 2"] and got["france"].addr_components == ["5 boulevard x", "allee y"]
+
+
+def test_readings_of_indic_names(spark):
+    assert X.read_indic("आनंद") == "anand" and X.read_indic("शर्मा फल") == "sarma fal" and X.read_indic("ఆనంద్ ఫుడ్") == "anand fud"
+    assert X.read_indic("") == "" and X.read_indic("क १२") == "k 12" and X.read_indic("അവൻ") == "avan" and X.read_indic("എൽ") == "el"
+    cases = {"": "other", "12 -": "other", "abc": "latin", "Привет": "latin", "आनंद foo": "devanagari", "आन foo": "latin", "आन fo": "devanagari", "ఆనంద్": "telugu", "అ आ": "telugu", "ක": "latin"}
+    assert {k: X.script_of(k) for k in cases} == cases
 
 
 def test_postcodes(spark):
@@ -45,88 +72,72 @@ def test_postcodes(spark):
     assert [got[i] for i in range(len(cases))] == [x for _, _, x in cases]
 
 
-def test_best_ratio(spark):
-    names = [("S1-1", "Anand Foods"), ("S2-1", "आनंद"), ("S3-1", "Anand Foods")]
-    n = X.normalized(spark.createDataFrame([(i, x, "", "India") for i, x in names], "entity_id string, business_name string, business_address string, country string"), full=True)
-    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S3-1")], "s1_id string, target_id string")
-    got = {r.target_id: r for r in L.string_features(pairs, n).collect()}
-    assert got["S2-1"].name_best_ratio == S.indel("anand foods", "anand") > got["S2-1"].name_core_ratio and got["S3-1"].name_best_ratio == 1.0
-
-
-def test_all_features(spark, monkeypatch):
-    names = [("S1-1", "Sun Light Foods"), ("S2-1", "Foods SunLight"), ("S3-1", "Light Foods Sun")]
-    n = X.normalized(spark.createDataFrame([(i, x, "1 Main St, Rome", "US") for i, x in names], "entity_id string, business_name string, business_address string, country string"))
-    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S3-1")], "s1_id string, target_id string")
-    all_of = L.all_features(pairs, n)
-    assert all_of.columns == ["s1_id", "target_id", *L.ALL_FEATURES] and len(L.ALL_FEATURES) == 21
-    got = {r.target_id: r for r in all_of.collect()}
-    for i, name in (("S2-1", "foods sunlight"), ("S3-1", "light foods sun")):
-        want = S.indel("foods light sun", " ".join(sorted(name.split()))), S.indel("sunlightfoods", name.replace(" ", ""))
-        assert (got[i].name_sorted_ratio, got[i].name_compact_ratio) == want
-    used = []
-    monkeypatch.setattr(model, "train", lambda rows, features, trees=20, depth=4: used.append((features, trees, depth)))
-    monkeypatch.setattr(model, "predict", lambda m, rows: rows.withColumn("probability", F.lit(0.5)))
-    catalog.queries()["gbt_score"](spark, "/root/testdata/sf0.001")
-    assert used == [(L.ALL_FEATURES, 20, 4)]
-
-
-def test_addresses(spark):
-    assert "rue de dieppe" in one(spark, "Ets Test SAS", "63 R. DE DIEPPE, LILLE", "France").addr_norm
-    assert one(spark, "A", "N°237 R. DES BOIS BLANCS", "France").addr_numbers == ["237"]
-    assert one(spark, "A", "001122 MARSHALL ST").addr_numbers == ["1122"]
-    assert one(spark, "A", "१२ x", "India").addr_numbers == ["12"]
-    r = one(spark, "A", "")
-    assert r.addr_components == [] and r.addr_numbers == [] and r.state_canon == "" and r.city_canon == ""
+def lcs(a, b):
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
 
 
-def test_ratios():
-    random.seed(4)
-
-    def slow(a, b):
-        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
-        return t[-1][-1]
-
-    for _ in range(500):
-        a, b = ("".join(random.choices("abcd ", k=random.randint(0, 12))) for _ in range(2))
-        assert S.lcs(a, b) == slow(a, b)
-        if a and b:
-            s, t = sorted((a, b), key=len)
-            windows = [t[max(0, i) : i + len(s)] for i in range(1 - len(s), len(t))]
-            best = max(S.indel(s, w) for w in windows)
-            assert S.partial(a, b) >= best - 1e-12
-    assert round(S.indel("5lv marketing", "slv marketing"), 3) == 0.923
-    assert S.indel("", "") == 1.0 and S.partial("", "") == 0.0 and S.token_set("a b", "b a c") == 1.0
-
+def ratio(a, b):
+    return 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
 
-def test_scores(spark):
-    s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
-    none = spark.createDataFrame([], "s1_id string, target_id string")
-    assert L.f_half(s1, none, none).first().macro_f05 == 1.0
-    assert L.f_half(s1, none, none, singleton=0.0).first().macro_f05 == 0.0
-    truth = spark.createDataFrame([("S1-1", "a"), ("S1-1", "c")], none.schema)
-    guess = spark.createDataFrame([("S1-1", "a"), ("S1-1", "b"), ("S1-1", "c")], none.schema)
-    assert round(L.f_half(s1.filter("entity_id = 'S1-1'"), truth, guess).first().macro_f05, 3) == 0.714
 
+def plain_partial(a, b):
+    def best(s, t):
+        return max(ratio(s, w) for i in range(1 - len(s), len(t)) if (w := t[max(0, i) : i + len(s)]))
 
-def test_tie_goes_to_lower_position(spark):
-    rows = spark.createDataFrame([("S1-9", 1, "S2", "S2-1", 0.9), ("S1-3", 2, "S2", "S2-1", 0.9), ("S1-3", 2, "S3", "S3-1", 0.5)], "s1_id string, s1_pos long, target_source string, target_id string, probability double")
-    assert {(r.s1_id, r.target_id) for r in L.many_to_one(rows).collect()} == {("S1-9", "S2-1"), ("S1-3", "S3-1")}
+    if not a or not b:
+        return 0.0
+    s, t = sorted((a, b), key=len)
+    return max(best(s, t), best(t, s)) if len(s) == len(t) else best(s, t)
 
 
-def test_tsv(spark, tmp_path):
-    p = tmp_path / "t.tsv"
-    p.write_text('country\tentity_id\tbusiness_name\tbusiness_address\nUS\tS1-1\tAcme "x\t\nUS\tS1-2\tshort\nUS\tS1-3\tB\tNULL\n')
-    rows = tsv.read(spark, str(p)).orderBy("entity_id").collect()
-    assert [r.entity_id for r in rows] == ["S1-1", "S1-2", "S1-3"] and rows[0].business_name == 'Acme "x' and rows[0].business_address == "" and rows[2].business_address == "NULL"
-    assert tsv.read(spark, str(p), malformed="DROPMALFORMED").count() == 2
-    tsv.write(spark.createDataFrame([("S1-1", "")], "a string, b string"), str(tmp_path / "o"))
-    assert spark.read.text(str(tmp_path / "o")).filter("value = 'S1-1\t'").count() == 1
+def test_ratios():
+    rng = random.Random(4)
+    for _ in range(400):
+        a, b = ("".join(rng.choices("abcd ", k=rng.randint(0, 11))) for _ in range(2))
+        assert S.lcs(a, b) == lcs(a, b) and abs(S.indel(a, b) - ratio(a, b)) < 1e-12
+        assert abs(S.partial(a, b) - plain_partial(a, b)) < 1e-12, (a, b)
+    assert round(S.indel("5lv marketing", "slv marketing"), 3) == 0.923
+    assert S.indel("", "") == 1.0 and S.indel("", "a") == 0.0 and S.partial("", "") == 0.0 and S.token_set("a b", "b a c") == 1.0 and S.token_sort("", "a") == 0.0
 
 
-def test_empty(spark):
-    n = X.normalized(spark.createDataFrame([], "entity_id string, pos long, source string, business_name string, business_address string, country string"))
-    keys = L.block_keys(n)
-    assert L.listed(n, L.candidates(keys, keys), "ids").count() == 0
+def test_features_by_brute_force(spark):
+    """All 21 columns of every pair of some records, against plain Python."""
+    rows = [
+        ("Sun Light Foods Inc", "12 Main St, PHX, AZ", "US"), ("Foods SunLight", "12 main street, Phoenix, Arizona", "US"), ("", "", "US"), ("आनंद फूड", "MG Road", "India"), ("Anand Food Pvt Ltd", "", "India"),
+        ("Light Foods Sun", "7 a, b", "us"), ("sunlight.com", "0012 x, Phoenix, AZ", "US"),
+    ]
+    n = several(spark, rows, aliases(spark))
+    r = {x.entity_id: x for x in n.collect()}
+    pairs = spark.createDataFrame([(a, b) for a in r for b in r if a < b], "s1_id string, target_id string")
+    sim = lambda x, y: 1.0 if not x and not y else 0.0 if not x or not y else ratio(x, y)
+    same = lambda x, y: int(bool(x) and x == y)
+    some = lambda f, x, y: f(x, y) if x and y else 0.0
+
+    def city(x):
+        if len(x.addr_components) >= 2 and (len(x.addr_components[-2]) < 3 or (x.city_count is not None and x.city_count < 20)):
+            return ""
+        return x.city_canon
+
+    got = features.features(pairs, n)
+    assert got.columns == ["s1_id", "target_id", *features.FEATURES, "name_jaccard"] and len(features.FEATURES) == 21
+    for g in got.collect():
+        a, b = r[g.s1_id], r[g.target_id]
+        best = sim(a.name_core, b.name_core)
+        if a.script != "latin" or b.script != "latin":
+            best = max(best, sim(a.name_translit, b.name_translit))
+        ca, cb = set(a.addr_components), set(b.addr_components)
+        want = {
+            "name_core_exact": same(a.name_core, b.name_core), "name_core_ratio": sim(a.name_core, b.name_core), "name_core_partial": some(plain_partial, a.name_core, b.name_core),
+            "name_core_token_set": some(S.token_set, a.name_core, b.name_core), "name_core_token_sort": some(lambda x, y: ratio(" ".join(sorted(x.split())), " ".join(sorted(y.split()))), a.name_core, b.name_core),
+            "name_sorted_ratio": sim(a.name_sorted, b.name_sorted), "name_compact_exact": same(a.name_compact, b.name_compact), "name_compact_ratio": sim(a.name_compact, b.name_compact), "name_best_ratio": best,
+            "address_exact": same(a.addr_norm, b.addr_norm), "address_ratio": sim(a.addr_norm, b.addr_norm), "address_partial": some(plain_partial, a.addr_norm, b.addr_norm),
+            "address_component_jaccard": len(ca & cb) / len(ca | cb) if ca | cb else 0.0, "addr_number_overlap": len(set(a.addr_numbers) & set(b.addr_numbers)),
+            "state_match": same(a.state_canon, b.state_canon), "city_match": same(city(a), city(b)), "legal_form_match": same(a.legal_form, b.legal_form), "country_match": int(a.country.strip().lower() == b.country.strip().lower()),
+            "name_len_diff": abs(len(a.name_core) - len(b.name_core)), "address_len_diff": abs(len(a.addr_norm) - len(b.addr_norm)),
+            "combined_ratio": sim(f"{a.name_core} {a.addr_norm}".strip(), f"{b.name_core} {b.addr_norm}".strip()),
+        }
+        assert {k: round(g[k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()}
