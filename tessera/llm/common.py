@@ -6,14 +6,11 @@ that one job writes for a later one goes there, so a lost executor costs a task
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.store import cleanup, handed, qualified, shared_dir  # noqa: F401
+
 #: Arrow batches handed to Python hold at most this many rows and bytes; one text may still be larger.
 BATCH_ROWS, BATCH_BYTES = 1024, 16 << 20
 
@@ -36,54 +33,6 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-#: Folders of this process's intermediates, deleted when it ends.
-_MADE: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder URI under spark.checkpoint.dir; where that is unset, under the warehouse, or for a local master under a temporary folder.
-
-    A path without a scheme is one of Hadoop's default file system. The folder is deleted when the driver's Python ends, or by ``cleanup``."""
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master.startswith("local") and not master.startswith("local-cluster"):
-            base = "file://" + os.path.join(tempfile.gettempdir(), "tessera-work")
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-    _MADE.append(f"{qualified(spark, base).rstrip('/')}/{uuid.uuid4().hex}")
-    return _MADE[-1]
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path as a URI, by Hadoop's default file system where it has no scheme."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return uri if "://" in uri else uri.replace(":", "://", 1)
-
-
-def cleanup() -> None:
-    """Delete all folders that this process has made; results that still read from them are lost."""
-    while _MADE:
-        try:
-            fs, path = open_fs(_MADE.pop())
-            fs.delete_dir(path)
-        except OSError:
-            pass  # never written to, or its store is gone
-
-
-atexit.register(cleanup)
-
-
-def handed(df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
-    """Write the rows to the shared folder as Parquet and read them back: later jobs start from files, not from lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession, amount: float = 0, each: float = 1) -> int:
     """Tasks for so much input at so much a task, the session's shuffle partitions at least."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount) // int(each)))
