@@ -59,6 +59,15 @@ def test_aliases(spark, tmp_path):
     assert A.mined(records, truth, per_country=2).count() == 0 and [r.cnt for r in A.mined(records, truth, per_country=3).collect()] == [3]
 
 
+def test_aliases_count_all_records(spark):
+    """More matched records of a country than any round number."""
+    n = 150_010
+    i = spark.range(n).select(F.col("id").cast("string").alias("k"), F.col("id").alias("pos"), F.lit("US").alias("country"))
+    side = lambda s, name: i.select(F.concat(F.lit(f"{s}-"), "k").alias("entity_id"), "pos", F.lit(s).alias("source"), "country", F.array(F.lit("x"), F.lit(name)).alias("addr_components"))
+    truth = i.select(F.concat(F.lit("S1-"), "k").alias("s1_id"), F.concat(F.lit("S2-"), "k").alias("target_id"))
+    assert [r.cnt for r in A.mined(side("S1", "arizona").union(side("S2", "az")), truth).collect()] == [n]
+
+
 def test_candidates_keep_the_lowest(spark):
     """The cut before the join changes nothing, for any cap."""
     import random
