@@ -171,6 +171,12 @@ def test_tfidf_topk_copies_no_rows(spark):
     assert not _spread(catalog.queries()["tfidf_topk"](spark, "/root/testdata/sf0.001"))
 
 
+def test_tfidf_by_country_copies_no_rows(spark):
+    from tessera.plans import catalog
+
+    assert not _spread(catalog.queries()["tfidf_by_country"](spark, "/root/testdata/sf0.001"))
+
+
 def test_scores(spark):
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     none = spark.createDataFrame([], "s1_id string, target_id string")
