@@ -183,6 +183,12 @@ def test_score_distribution_copies_no_rows(spark):
     assert not _spread(catalog.queries()["score_distribution"](spark, "/root/testdata/sf0.001"))
 
 
+def test_union_strategy_copies_no_rows(spark):
+    from tessera.plans import catalog
+
+    assert not _spread(catalog.queries()["union_strategy"](spark, "/root/testdata/sf0.001"))
+
+
 def test_scores(spark):
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     none = spark.createDataFrame([], "s1_id string, target_id string")
