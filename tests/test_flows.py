@@ -189,6 +189,15 @@ def test_union_strategy_copies_no_rows(spark):
     assert not _spread(catalog.queries()["union_strategy"](spark, "/root/testdata/sf0.001"))
 
 
+def test_strategy_recall_copies_no_rows(spark):
+    from tessera.plans import catalog
+
+    from tessera.operators import probe
+
+    s1, pool = blocking.sides(probe.with_text(catalog.norm(spark, "/root/testdata/sf0.001")))
+    assert not any(_spread(probe.neighbours(s1, pool, c, 10)) for c in ("name_text", "name_address"))
+
+
 def test_scores(spark):
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     none = spark.createDataFrame([], "s1_id string, target_id string")
