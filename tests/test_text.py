@@ -141,3 +141,17 @@ def test_features_by_brute_force(spark):
             "combined_ratio": sim(f"{a.name_core} {a.addr_norm}".strip(), f"{b.name_core} {b.addr_norm}".strip()),
         }
         assert {k: round(g[k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_ratios_of_many_pairs():
+    """All at once as one by one: short, long and empty strings, characters beyond 16 bits, few and many of a size."""
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choices("ab cdé अ𝒳 12", k=rng.randint(0, n)))
+    pairs = []
+    for n, times in ((3, 60), (12, 200), (64, 60), (70, 40), (150, 30), (400, 3)):
+        for _ in range(times):
+            a = text(n)
+            pairs.append((a, rng.choice([text(n), a, a[: len(a) // 2] + text(4), text(n // 3), "".join(rng.sample(a, len(a)))])))
+    for one, many in S._MANY.items():
+        assert many(pairs).tolist() == [one(a, b) for a, b in pairs]
+    assert many([]).tolist() == []
