@@ -112,7 +112,11 @@ def search(part: Part, starts: np.ndarray, gram: np.ndarray, w: np.ndarray, k: i
         j = int(np.searchsorted(lower[i], SLACK * (bound or 0.5), side="right")) - 1
         sums = summed(b + int(count[i, j]))
         if bound == 0 and part.n > seeds:
-            first = np.argpartition(sums, part.n - seeds)[-seeds:]
+            first = np.flatnonzero(sums > 0.6 * sums.max())
+            if len(first) < seeds:
+                first = np.flatnonzero(sums)
+            if len(first) > seeds:
+                first = first[np.argpartition(sums[first], len(first) - seeds)[-seeds:]]
             found = part.similar(first, dense)
             found = found[found > 0]
             bound = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
