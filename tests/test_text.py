@@ -155,3 +155,12 @@ def test_ratios_of_many_pairs():
     for one, many in S._MANY.items():
         assert many(pairs).tolist() == [one(a, b) for a, b in pairs]
     assert many([]).tolist() == []
+
+
+def test_ratios_of_a_batch_take_no_loop_a_pair(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(S, "lcs", None)  # the plain ratios' loop
+    name = lambda s: pd.Series([f"{s} {i:03} road" for i in range(60)])
+    got = S.ratios.func(*[name(s) for _ in range(6) for s in ("alpha", "omega")])
+    assert len(got) == 60 and got["address_ratio"].between(0.5, 0.9).all()
