@@ -1,43 +1,78 @@
-"""Exact nearest neighbours of sparse vectors: lists of the rows of rare grams, and a bound for what the frequent ones can add.
+"""Exact nearest neighbours of sparse vectors: lists of the rows of rare grams, and a matrix product that bounds what the frequent ones add.
 
-Vectors have unit length and no negative weight. A task takes a chunk of queries and reads the pool's parts one after another from the
-shared folder; nothing is copied to tasks by a shuffle. Of each part it keeps the rows by gram. A query adds up the lists of its
-rare grams only; by Cauchy-Schwarz the frequent ones add at most the product of both sides' lengths over them, so rows whose sum and
-bound stay below the query's k-th similarity so far are passed over, and the others are compared in full."""
+Vectors have no negative weight. A task takes a chunk of queries and reads the pool's parts one after another from the shared folder;
+nothing is copied to tasks by a shuffle. Of each part it keeps the rows by rare gram, and of the frequent grams each row's coordinates
+along the part's main directions and the length of what they leave out. A query's product with these, by blocks, and by Cauchy-Schwarz the
+product of the lengths left out, is at least what the frequent grams add; the lists of its rare grams are added as they are. Rows whose
+sum stays below the query's k-th similarity so far are passed over, and the others are compared in full."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Frequency classes: grams that more than 1, 1/2, 1/4, ... of a part's rows have.
-LEVELS = 12
-#: Of a query's k-th similarity so far, the share that its frequent grams' squared weights may have.
-SLACK = 0.5
+#: Grams that more than this share of a part's rows have are frequent; directions at most, and rows that they are found by.
+FREQUENT, DIRECTIONS, SAMPLE = 0.01, 128, 4096
+#: Queries and rows whose products are made at once; rows that are brought to their coordinates at once.
+QUERIES, BLOCK, ROWS = 128, 4096, 2048
 #: Similarities are rounded to six places; a bound is passed over when it is lower by more than what rounding and single precision give.
-EPS = 2e-6
+EPS = 3e-5
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, gram, count) of the character trigrams of texts, by row and gram; a gram is its three code points as one number."""
+    row, number, count, grams = _counted(texts)
+    return row, grams[number], count
+
+
+def _counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``trigrams`` with the grams as places among the distinct ones, and these in order."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    c = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    c = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     n = np.maximum(sizes - 2, 0)
     row = np.repeat(np.arange(len(texts)), n)
+    if not len(row):
+        return row, row, row, np.zeros(0, np.int64)
     at = np.arange(len(row)) + (np.cumsum(sizes) - sizes - np.cumsum(n) + n)[row]
-    known, gram = np.unique(c[at] << 42 | c[at + 1] << 21 | c[at + 2], return_inverse=True) if len(row) else (np.zeros(0, np.int64),) * 2
-    key, count = np.unique(row * max(1, len(known)) + gram, return_counts=True)
-    return key // max(1, len(known)), known[key % max(1, len(known))] if len(known) else known, count
+    # characters by their place in the alphabet, so that a row and a gram are one small number, and order stays
+    alphabet = np.flatnonzero(np.bincount(c)) if len(c) > 1 << 16 else np.unique(c).astype(np.int64)
+    place = np.zeros(int(alphabet[-1]) + 1, np.int64)
+    place[alphabet] = np.arange(len(alphabet))
+    c, z = place[c], len(alphabet)
+    code = (c[at] * z + c[at + 1]) * z + c[at + 2]
+    if z**3 > max(1 << 22, len(code)) or z**3 * len(texts) >= 1 << 62:
+        known, number = np.unique(code, return_inverse=True)
+    else:
+        known = np.flatnonzero(np.bincount(code, minlength=z**3))
+        place = np.zeros(z**3, np.int64)
+        place[known] = np.arange(len(known))
+        number = place[code]
+    key, count = np.unique(row * len(known) + number, return_counts=True)
+    grams = alphabet[known // (z * z)] << 42 | alphabet[known // z % z] << 21 | alphabet[known % z]
+    return key // len(known), key % len(known), count, grams
 
 
 def weighted(texts: list[str], grams: np.ndarray, df: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, gram, weight) of texts: count times ln((1 + n) / (1 + df)) + 1, unit length. grams are sorted; one not among them has df 0."""
-    row, gram, tf = trigrams(texts)
-    at = np.searchsorted(grams, gram)
-    at[at == len(grams)] = 0
-    own = np.where(grams[at] == gram, df[at], 0) if len(grams) else np.zeros(len(gram), np.int64)
-    x = tf * (np.log((1 + n) / (1 + own)) + 1)
+    starts, number, w, own, _ = _weighed(texts, grams, df, n)
+    return starts, own[number], w
+
+
+def placed(texts: list[str], grams: np.ndarray, df: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``weighted`` with each gram given by its place among grams, -1 if it isn't there."""
+    starts, number, w, _, at = _weighed(texts, grams, df, n)
+    return starts, at[number], w
+
+
+def _weighed(texts: list[str], grams: np.ndarray, df: np.ndarray, n: int) -> tuple:
+    row, number, tf, own = _counted(texts)
+    at = np.full(len(own), -1)
+    if len(grams):
+        found = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
+        at = np.where(grams[found] == own, found, -1)
+    idf = np.log((1 + n) / (1 + (np.where(at >= 0, df[at], 0) if len(grams) else np.zeros(len(own))))) + 1
+    x = tf * idf[number]
     length = np.sqrt(np.bincount(row, x * x, len(texts)))
-    return np.searchsorted(row, np.arange(len(texts) + 1)), gram, x / length[row]
+    return np.searchsorted(row, np.arange(len(texts) + 1)), number, x / length[row], own, at
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -46,105 +81,177 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Part:
-    """Rows of the pool with their lists by gram."""
+    """Rows of the pool with their lists by rare gram and their coordinates."""
 
     def __init__(self, starts: np.ndarray, gram: np.ndarray, w: np.ndarray):
         self.n, self.starts, self.w = len(starts) - 1, starts, w
         self.sizes = np.diff(starts)
-        self.grams, at = np.unique(gram, return_inverse=True)
-        self.at = at.astype(np.int32)
-        df = np.bincount(at, minlength=len(self.grams))
-        self.ends = np.cumsum(df)
-        self.level = np.minimum(np.floor(np.log2(self.n / np.maximum(df, 1))), LEVELS - 1).astype(np.int64)
-        order = np.argsort(self.at, kind="stable")
-        row = np.repeat(np.arange(self.n, dtype=np.int32), self.sizes)
-        self.rows, self.row_w = row[order].astype(np.intp), w[order]
-        square = np.bincount(row * np.int64(LEVELS) + self.level[at], w * w, self.n * LEVELS).reshape(self.n, LEVELS)
-        #: By level, each row's length over the grams of lower levels.
-        self.rest = np.sqrt(np.concatenate([np.zeros((1, self.n)), np.cumsum(square, 1).T[:-1]])).astype(np.float32)
-        self.most = self.rest.max(1)
-
-    def similar(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """The products of rows with a query, given by its weight for each of the part's grams."""
-        sizes = self.sizes[rows]
-        at = _ragged(self.starts[rows], sizes)
-        return np.round(np.add.reduceat(self.w[at] * query[self.at[at]], np.cumsum(sizes) - sizes), 6) if len(at) else np.zeros(len(rows))
+        if len(gram) and 0 <= gram.min() and gram.max() < 1 << 22:  # places
+            self.grams = np.flatnonzero(np.bincount(gram))
+            place = np.zeros(int(self.grams[-1]) + 1, np.int32)
+            place[self.grams] = np.arange(len(self.grams), dtype=np.int32)
+            self.at = place[gram]
+        else:
+            self.grams, at = np.unique(gram, return_inverse=True)
+            self.at = at.astype(np.int32)
+        df = np.bincount(self.at, minlength=len(self.grams))
+        frequent = df > FREQUENT * self.n
+        #: Of each gram its place among the frequent ones, -1 for a rare one.
+        self.place = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
+        self.frequent = int(frequent.sum())
+        rare = np.flatnonzero(~frequent[self.at])
+        order = rare[np.argsort(self.at[rare], kind="stable")]
+        self.rows, self.row_w = np.repeat(np.arange(self.n), self.sizes)[order], w[order].astype(np.float32)
+        some = np.unique(np.linspace(0, self.n - 1, min(self.n, SAMPLE)).astype(np.int64)) if self.n else np.zeros(0, np.int64)
+        self.directions = None  # all frequent grams as they are
+        if self.frequent > DIRECTIONS:
+            x = self._dense(starts[some], self.sizes[some], self.at, w)
+            self.directions = np.linalg.eigh((x.T @ x).astype(np.float64))[1][:, ::-1][:, :DIRECTIONS].astype(np.float32)
+        self.coordinates = np.concatenate([self._reduced(starts[i : i + ROWS], self.sizes[i : i + ROWS], self.at, w) for i in range(0, max(1, self.n), ROWS)])
+        #: By gram, where each block's rows begin in its list; a block's rows stand together.
+        blocks = -(-max(1, self.n) // BLOCK)
+        key = self.at[order].astype(np.int64) * blocks + self.rows // BLOCK
+        self.cuts = np.searchsorted(key, np.arange(len(self.grams) * blocks + 1)).astype(np.int64) if len(self.grams) * blocks < 1 << 24 else None
+        self.blocks, self.key = blocks, key
+
+    def lists(self, grams: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the rows of a block begin and end in the lists of grams."""
+        at = grams.astype(np.int64) * self.blocks + block
+        return (self.cuts[at], self.cuts[at + 1]) if self.cuts is not None else (np.searchsorted(self.key, at), np.searchsorted(self.key, at + 1))
+
+    def _dense(self, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Rows' weights of the frequent grams."""
+        out, entry = np.zeros((len(sizes), self.frequent), np.float32), _ragged(starts[: len(sizes)], sizes)
+        place = self.place[at[entry]]
+        has = place >= 0
+        out[np.repeat(np.arange(len(sizes)), sizes)[has], place[has]] = w[entry[has]]
+        return out
+
+    def _reduced(self, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Rows' coordinates along the directions, and the length of the rest."""
+        x = self._dense(starts, sizes, at, w)
+        if self.directions is None:
+            return x
+        c = x @ self.directions
+        square = np.einsum("ij,ij->i", x, x)
+        # what single precision may hide is added, unless there is nothing to hide
+        rest = np.where(square > 0, np.sqrt(np.maximum(square - np.einsum("ij,ij->i", c, c), 0) + np.float32(1e-6)), 0)
+        return np.concatenate([c, rest[:, None]], 1, dtype=np.float32)
+
+    def similar(self, rows: np.ndarray, queries: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The products of rows with the queries beside them, given by their weights for each of the part's grams."""
+        out, step = np.zeros(len(rows)), 1 << 15
+        for s in range(0, len(rows), step):
+            some, q = rows[s : s + step], of[s : s + step]
+            sizes = self.sizes[some]
+            at = _ragged(self.starts[some], sizes)
+            products = self.w[at] * queries.ravel()[np.repeat(q * queries.shape[1], sizes) + self.at[at]]
+            has = sizes > 0
+            if len(at):
+                out[s : s + step][has] = np.round(np.add.reduceat(products, (np.cumsum(sizes) - sizes)[has]), 6)
+        return out
+
+
+def _set(mask: np.ndarray) -> np.ndarray:
+    """The places that are true, few as a rule, by eight at a time."""
+    mask = mask.ravel()
+    whole = len(mask) // 8 * 8
+    eight = np.flatnonzero(mask[:whole].view(np.uint64))
+    at = np.flatnonzero(mask[:whole].reshape(-1, 8)[eight])
+    return np.concatenate([eight[at // 8] * 8 + at % 8, whole + np.flatnonzero(mask[whole:])])
+
+
+def _kth(of: np.ndarray, value: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """The highest values of each query so far, with more of them: (query, place)."""
+    k = top.shape[1]
+    order = np.lexsort((-value, of))
+    of, value = of[order], value[order]
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    more = np.zeros_like(top)
+    more[of[place < k], place[place < k]] = value[place < k]
+    both = np.concatenate([top, more], 1)
+    return np.partition(both, k, axis=1)[:, k:]
 
 
 def search(part: Part, starts: np.ndarray, gram: np.ndarray, w: np.ndarray, k: int, least: np.ndarray, seeds: int):
     """(query, row, similarity) arrays of rows that may be among a query's k nearest: all of the part that are as similar as least, its
     k-th similarity so far (0: fewer than k were found), or as the k-th of the part."""
-    n_q = len(starts) - 1
+    n_q, out = len(starts) - 1, []
     at = np.searchsorted(part.grams, gram)
     at[at == len(part.grams)] = 0
-    has = part.grams[at] == gram
-    at, w, of = at[has], w[has], np.repeat(np.arange(n_q), np.diff(starts))[has]
-    level = part.level[at]
-    order = np.lexsort((-level, of))
-    at, w, level = at[order], w[order], level[order]
+    has = part.grams[at] == gram if len(part.grams) else np.zeros(len(gram), bool)
+    at, w, of = at[has].astype(np.int32), w[has], np.repeat(np.arange(n_q), np.diff(starts))[has]
     starts = np.searchsorted(of, np.arange(n_q + 1))
-    square = np.bincount(of[order] * LEVELS + level, w * w, n_q * LEVELS).reshape(n_q, LEVELS)
-    lower = np.concatenate([np.zeros((n_q, 1)), np.cumsum(square, 1)[:, :-1]], 1)  # of levels below each
-    count = np.cumsum(np.bincount(of[order] * LEVELS + level, minlength=n_q * LEVELS).reshape(n_q, LEVELS)[:, ::-1], 1)[:, ::-1]
-    low = part.ends[at] - np.diff(part.ends, prepend=0)[at]
-    high = part.ends[at]
-    dense, out = np.zeros(len(part.grams)), []
-    low_, high_, w_, starts_ = low.tolist(), high.tolist(), w.tolist(), starts.tolist()
-    buffer = np.empty(len(part.rows))
-    for i in range(n_q):
-        b, e = starts_[i], starts_[i + 1]
-        if b == e:
-            continue
-        dense[at[b:e]] = w[b:e]
-
-        def summed(to, b=b):
-            if to == b:
-                return np.zeros(part.n)
-            rows, by, o = [], buffer, 0
-            for lo, hi, x in zip(low_[b:to], high_[b:to], w_[b:to], strict=True):
-                rows.append(part.rows[lo:hi])
-                np.multiply(part.row_w[lo:hi], x, by[o : o + hi - lo])
-                o += hi - lo
-            return np.bincount(np.concatenate(rows), by[:o], part.n)
-
-        bound = least[i]
-        # the highest level whose lower ones weigh little
-        j = int(np.searchsorted(lower[i], SLACK * (bound or 0.5), side="right")) - 1
-        sums = summed(b + int(count[i, j]))
-        if bound == 0 and part.n > seeds:
-            first = np.flatnonzero(sums > 0.6 * sums.max())
-            if len(first) < seeds:
-                first = np.flatnonzero(sums)
-            if len(first) > seeds:
-                first = first[np.argpartition(sums[first], len(first) - seeds)[-seeds:]]
-            found = part.similar(first, dense)
-            found = found[found > 0]
-            bound = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
-        if bound == 0:
-            sums = summed(e) if j else sums
-            rows = np.flatnonzero(sums > 0)
-        else:
-            rest = float(lower[i, j]) ** 0.5
-            rows = np.flatnonzero(sums >= bound - EPS - rest * float(part.most[j]))
-            if j:
-                rows = rows[sums[rows] + rest * part.rest[j][rows] >= bound - EPS]
-        value = part.similar(rows, dense)
-        dense[at[b:e]] = 0
-        keep = value >= max(bound, 1e-6)
-        rows, value = rows[keep], value[keep]
-        if len(rows) > k:
-            enough = value >= np.partition(value, len(value) - k)[len(value) - k]
-            rows, value = rows[enough], value[enough]
-        out.append((i, rows, value))
+    buffer = np.empty(QUERIES * BLOCK, np.float32)
+    for s in range(0, n_q, QUERIES):
+        e = min(n_q, s + QUERIES)
+        some = slice(starts[s], starts[e])
+        dense = np.zeros((e - s, len(part.grams)))
+        dense[of[some] - s, at[some]] = w[some]
+        mine = part._reduced(starts[s:e], np.diff(starts[s : e + 1]), at, w)
+        rare = np.flatnonzero(part.place[at[some]] < 0) + starts[s]
+        top, bound = np.zeros((e - s, k)), least[s:e].copy()
+        found: list = []
+        for block in range(part.blocks if part.n else 0):
+            first = block * BLOCK
+            n = min(part.n - first, BLOCK)
+            sums = np.matmul(mine, part.coordinates[first : first + n].T, out=buffer[: (e - s) * n].reshape(e - s, n))
+            low, high = part.lists(at[rare], block)
+            sizes = high - low
+            entry = _ragged(low, sizes)
+            if len(entry):
+                np.add.at(sums.reshape(-1), np.repeat((of[rare] - s) * n - first, sizes) + part.rows[entry], np.repeat(w[rare].astype(np.float32), sizes) * part.row_w[entry])
+            new = np.flatnonzero(bound == 0)
+            if len(new) and n > seeds:
+                rows = np.argpartition(sums[new], n - seeds, axis=1)[:, -seeds:]
+                value = part.similar(rows.ravel() + first, dense, np.repeat(new, seeds)).reshape(len(new), seeds)
+                bound[new] = np.partition(value, seeds - k, axis=1)[:, seeds - k]
+            # without a bound, whatever may share a gram
+            q, row = np.divmod(_set(sums >= np.where(bound > 0, bound - EPS, 1e-7).astype(np.float32)[:, None]), n)
+            if len(q):
+                value = part.similar(row + first, dense, q)
+                keep = value >= np.maximum(bound, 1e-6)[q]
+                q, row, value = q[keep], row[keep] + first, value[keep]
+                found.append((q, row, value))
+                top = _kth(q, value, top)
+                bound = np.maximum(bound, top[:, 0])
+        if found:
+            q, row, value = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = value >= bound[q]
+            q, row, value = q[keep], row[keep], value[keep]
+            order = np.argsort(q, kind="stable")
+            q, row, value = q[order], row[order], value[order]
+            cut = np.flatnonzero(np.diff(q)) + 1
+            out += [(s + int(i[0]), r, v) for i, r, v in zip(np.split(q, cut), np.split(row, cut), np.split(value, cut), strict=True) if len(i)]
     return out
 
 
-def merged(best: list, found, ids: list, k: int, least: np.ndarray) -> None:
-    """Put what a part gave into the k best of each query, (-similarity, id, row's ids), lowest first; ids: of each row of the part, the lowest first."""
+class Ids:
+    """The ids of a part's rows, made when asked for."""
+
+    def __init__(self, of):
+        self._of = of
+
+    def __getitem__(self, row: int) -> list:
+        return self._of(row)
+
+
+def merged(best: list, found, ids, k: int, least: np.ndarray) -> None:
+    """Put what a part gave into the k best of each query, (-similarity, first id, row's ids), lowest first; ids: of each row of the part, the lowest first."""
     for i, rows, value in found:
         if len(rows):
-            more = best[i] + [(-v, ids[r][0], ids[r]) for r, v in zip(rows.tolist(), value.tolist(), strict=True)]
-            more.sort()
+            more = best[i] + [(-v, (x := ids[r])[0], x) for r, v in zip(rows.tolist(), value.tolist(), strict=True)]
+            more.sort(key=_first)
             best[i] = more[:k]
             if len(best[i]) == k:
                 least[i] = -best[i][-1][0]
+
+
+def _first(x: tuple) -> tuple:
+    return x[0], x[1][0] if isinstance(x[1], tuple) else x[1]
+
+
+def counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(gram, n): how many of the texts have each trigram."""
+    _, number, _, grams = _counted(texts)
+    return grams, np.bincount(number, minlength=len(grams)).astype(np.int64)

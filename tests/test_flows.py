@@ -198,6 +198,43 @@ def test_strategy_recall_copies_no_rows(spark):
     assert not any(_spread(probe.neighbours(s1, pool, c, 10)) for c in ("name_text", "name_address"))
 
 
+def test_directions_pass_over_no_neighbour(monkeypatch):
+    """More frequent grams than directions, in blocks of queries and rows, with rows and queries that share nothing."""
+    import numpy as np
+
+    from tessera.operators import nearest as N
+
+    rng = np.random.default_rng(7)
+    for name, v in (("FREQUENT", 0.02), ("DIRECTIONS", 6), ("SAMPLE", 50), ("QUERIES", 7), ("BLOCK", 64), ("ROWS", 30)):
+        monkeypatch.setattr(N, name, v)
+    word = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(90)]
+    texts = [" ".join(word[int(i)] for i in rng.integers(0, 90, 3)) if j % 19 else "xyz"[: j % 4] for j in range(600)]
+    grams, _ = N.counts(texts)
+    df = np.array([sum(chr(g >> 42) + chr(g >> 21 & 0x1FFFFF) + chr(g & 0x1FFFFF) in t for t in texts) for g in grams.tolist()])
+    assert (N.counts(texts)[1] == df).all()
+    starts, gram, w = N.placed(texts, grams, df, 600)
+    table = np.zeros((600, len(grams)))
+    table[np.repeat(np.arange(600), np.diff(starts)), gram] = w
+    least, best = np.zeros(100), [[] for _ in range(100)]
+    for s, e in ((0, 200), (200, 600)):
+        part = N.Part(starts[s : e + 1] - starts[s], gram[starts[s] : starts[e]], w[starts[s] : starts[e]])
+        assert part.directions is not None
+        N.merged(best, N.search(part, starts[:101], gram[: starts[100]], w[: starts[100]], 10, least, 20), [[f"{i:04}"] for i in range(s, e)], 10, least)
+    for i, near in enumerate(best):
+        all_ = np.round(table @ table[i], 6)
+        assert [(int(x), -s) for s, x, _ in near] == [(int(j), all_[j]) for j in np.lexsort((np.arange(600), -all_))[:10] if all_[j] > 0]
+
+
+def _plan(name: str, spark) -> str:
+    from tessera.plans import catalog
+
+    return catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tfidf_by_country_deals_out_no_neighbours(spark):
+    assert "Exchange" not in _plan("tfidf_by_country", spark)
+
+
 def test_scores(spark):
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     none = spark.createDataFrame([], "s1_id string, target_id string")
