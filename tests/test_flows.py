@@ -235,6 +235,17 @@ def test_tfidf_by_country_deals_out_no_neighbours(spark):
     assert "Exchange" not in _plan("tfidf_by_country", spark)
 
 
+def _by_record(plan: str) -> bool:
+    """Rows dealt out by S1 record."""
+    import re
+
+    return bool(re.search(r"hashpartitioning\([^)]*(s1_id|x_id)", plan))
+
+
+def test_score_distribution_deals_out_no_neighbours(spark):
+    assert not _by_record(_plan("score_distribution", spark))
+
+
 def test_scores(spark):
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     none = spark.createDataFrame([], "s1_id string, target_id string")
