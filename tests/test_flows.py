@@ -250,6 +250,10 @@ def test_union_strategy_deals_out_no_pairs(spark):
     assert not _by_record(_plan("union_strategy", spark))
 
 
+def test_strategy_recall_deals_out_no_pairs(spark):
+    assert not _by_record(_plan("strategy_recall", spark))
+
+
 def test_scores(spark):
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",)], "entity_id string")
     none = spark.createDataFrame([], "s1_id string, target_id string")
