@@ -29,8 +29,8 @@ MAGIC = b"TIDS0002"
 _HEAD = struct.Struct("<8sIIIQII")
 #: Ids of a block, ids between two checkpoints, longest code in bits, ids of a file, ids that a task writes, files that a task reads.
 BLOCK, CHECKPOINT, MAX_BITS, FILE_IDS, TASK_IDS, TASK_FILES = 1 << 16, 256, 18, 2_000_000, 32_000_000, 16
-#: Bytes of text that a worker encodes at once; words, and pieces after a mark or line feed, that it keeps.
-AT_ONCE, MEMO = 16 << 20, 200_000
+#: Bytes of text that a worker encodes at once, in some 20 times as many of memory; words, and pieces after a mark or line feed, that it keeps.
+AT_ONCE, MEMO = 4 << 20, 200_000
 
 #: The pre-tokenizer's letters for bytes: printable ones stand for themselves, the others for the letters from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -215,49 +215,51 @@ class Encoder:
         return b"".join(out) + self.whole(before + " ".join(held))
 
 
-def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, counts): a row a document, and a last row of each task with its id counts (counts not null)."""
+def encoded_rows(batches, tokenizer: str):
+    """What ``encode`` returns of a task's batches (doc_id, text)."""
+    import pyarrow as pa
+
+    names_of = ["doc_id", "n_tokens", "ids", "counts"]
+    encoder = encoder_of(tokenizer)
+    counts = np.zeros(encoder.size, np.int64)
+
+    def out():
+        nonlocal counts
+        names = pa.concat_arrays([b.column(0) for b in held])
+        flat, ends = encoder(pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in held]))
+        counts += np.bincount(flat, minlength=encoder.size)
+        # batches whose ids fit 32-bit offsets
+        size, s = encoder.dtype.itemsize, 0
+        while s < len(ends):
+            base = int(ends[s - 1]) if s else 0
+            e = max(s + 1, min(s + C.BATCH_ROWS, int(np.searchsorted(ends, base + C.BATCH_BYTES // size, side="right"))))
+            offsets = np.concatenate([[0], ends[s:e] - base]) * size
+            ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), e - s, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat[base : int(ends[e - 1])]))])
+            yield pa.RecordBatch.from_arrays([names[s:e], pa.array(np.diff(offsets) // size), ids.cast(pa.binary()), pa.nulls(e - s, pa.binary())], names=names_of)
+            s = e
+
+    held, n = [], 0
+    gc.disable()  # the many short lists of ids hold no cycles
+    try:
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.column(1).nbytes
+            if n >= AT_ONCE:
+                yield from out()
+                held, n = [], 0
+        if held:
+            yield from out()
+    finally:
+        gc.enable()
+    C.release()
+    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([None], pa.binary()), pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], names=names_of)
 
-    def run(batches):
-        import pyarrow as pa
 
-        names_of = ["doc_id", "n_tokens", "ids", "counts"]
-        encoder = encoder_of(tokenizer)
-        counts = np.zeros(encoder.size, np.int64)
-
-        def out():
-            nonlocal counts
-            names = pa.concat_arrays([b.column(0) for b in held])
-            flat, ends = encoder(pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in held]))
-            counts += np.bincount(flat, minlength=encoder.size)
-            # batches whose ids fit 32-bit offsets
-            size, s = encoder.dtype.itemsize, 0
-            while s < len(ends):
-                base = int(ends[s - 1]) if s else 0
-                e = max(s + 1, min(s + C.BATCH_ROWS, int(np.searchsorted(ends, base + C.BATCH_BYTES // size, side="right"))))
-                offsets = np.concatenate([[0], ends[s:e] - base]) * size
-                ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), e - s, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat[base : int(ends[e - 1])]))])
-                yield pa.RecordBatch.from_arrays([names[s:e], pa.array(np.diff(offsets) // size), ids.cast(pa.binary()), pa.nulls(e - s, pa.binary())], names=names_of)
-                s = e
-
-        held, n = [], 0
-        gc.disable()  # the many short lists of ids hold no cycles
-        try:
-            for batch in batches:
-                if batch.num_rows:
-                    held.append(batch)
-                    n += batch.column(1).nbytes
-                if n >= AT_ONCE:
-                    yield from out()
-                    held, n = [], 0
-            if held:
-                yield from out()
-        finally:
-            gc.enable()
-        C.release()
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([None], pa.binary()), pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())], names=names_of)
+def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, counts): a row a document, and a last row of each task with its id counts (counts not null)."""
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda batches: encoded_rows(batches, tokenizer), "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:

@@ -245,3 +245,23 @@ def test_pipeline_keeps_clean_documents(spark):
     assert all(mixed.count(i) == n for i, n in times.items())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_join", "decontaminate", "source_mix", "token_ids"]
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_encoding_holds_little_at_once():
+    """op7: what a worker holds beside Arrow's buffers while it encodes 24 MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    words = np.array(["".join(x) for x in rng.choice(list("abcdefghij"), (3000, 5))])
+    batches = [pa.record_batch({"doc_id": pa.array([i]), "text": pa.array([" ".join(rng.choice(words, 170_000))], pa.large_string())}) for i in range(24)]
+    sum(1 for _ in tokenids.encoded_rows(batches[:1], P.path("byte_bpe_50k.json")))
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in tokenids.encoded_rows(batches, P.path("byte_bpe_50k.json")))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print("peak MB", round(peak / 2**20))
+    assert n == 25 and peak < 150 << 20, peak
