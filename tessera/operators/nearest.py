@@ -251,7 +251,8 @@ def _first(x: tuple) -> tuple:
     return x[0], x[1][0] if isinstance(x[1], tuple) else x[1]
 
 
-def counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(gram, n): how many of the texts have each trigram."""
-    _, number, _, grams = _counted(texts)
-    return grams, np.bincount(number, minlength=len(grams)).astype(np.int64)
+def counts(texts: list[str], times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(gram, n): how many of the texts have each trigram; times: how often each text stands."""
+    row, number, _, grams = _counted(texts)
+    weights = None if times is None else times[row].astype(np.float64)
+    return grams, np.bincount(number, weights, minlength=len(grams)).astype(np.int64)
